@@ -1,0 +1,24 @@
+"""Broadcast only behind a proven size bound.
+
+``F.broadcast`` is used directly only for tables whose size is fixed by definition (nation,
+region, literal dictionaries, one-row totals).  Any other side goes through
+``broadcast_if_small``: a bounded count (``limit(n + 1).count()`` reads at most n + 1 rows of the
+already-filtered side) proves the bound; beyond it the join is left to the planner (sort-merge,
+or AQE's run-time broadcast when the shuffled side turns out small).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound for a key-only side: about 10^6 keys (tens of MB as a hashed relation).
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
