@@ -178,7 +178,7 @@ def warehouse_stock(spark: SparkSession, d: str, quantity: int = INITIAL_STOCK)
     """Stock rows: every part in every warehouse holds ``quantity`` units (J04: part x series)."""
     p = load(spark, d, "part")
     return p.select(
-        F.explode(F.sequence(F.lit(0), F.lit(WAREHOUSES - 1))).cast("long").alias("warehouse_id"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WAREHOUSES - 1).cast("long"))).alias("warehouse_id"),
         F.col("p_partkey").alias("product_id"),
         F.lit(quantity).cast("long").alias("quantity"),
     )
