@@ -112,13 +112,14 @@ def i03_confirm_orders(spark, d):
 
 
 @register("i04_stock_events", f"""WITH RECURSIVE {REQ}, {FOLD_SAGA}
-SELECT md5(CAST(order_id AS VARCHAR) || '|' || CAST(line_no AS VARCHAR) || '|' || CAST(supplier_id AS VARCHAR)) AS event_id,
+SELECT md5(CAST(order_id AS VARCHAR) || '|' || CAST(line_no AS VARCHAR) || '|' || CAST(supplier_id AS VARCHAR) || '|' ||
+           CAST(product_id AS VARCHAR) || '|' || CAST(quantity AS VARCHAR)) AS event_id,
        'STOCK_DECREASED' AS event_type, product_id, warehouse_id, -quantity AS quantity, ts AS timestamp,
        CAST(order_id AS VARCHAR) AS order_ref
 FROM fold WHERE {OUTCOME_SQL} IN ('confirmed', 'confirmed_uncleared')
 """)
 def i04_stock_events(spark, d):
-    ev = inv.stock_events(_outcomes(spark, d), ["order_id", "line_no", "supplier_id"])
+    ev = inv.stock_events(_outcomes(spark, d), ["order_id", "line_no", "supplier_id", "product_id", "quantity"])
     return ev.select("event_id", "event_type", "product_id", "warehouse_id", "quantity", "timestamp",
                      F.col("metadata")["order_id"].alias("order_ref"))
 
@@ -316,7 +317,8 @@ def i08_reserve(spark, d):
 EVENTS = """
 ev AS (
   SELECT md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|' ||
-             CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)) AS event_id,
+             CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR) || '|' ||
+             CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '|' || strftime(l_shipdate, '%Y-%m-%d')) AS event_id,
          CASE WHEN l_returnflag = 'R' THEN 'STOCK_RECEIVED' ELSE 'STOCK_DECREASED' END AS event_type,
          l_partkey AS product_id, l_suppkey % 5 AS warehouse_id,
          CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE -CAST(l_quantity AS BIGINT) END AS quantity,

@@ -194,15 +194,18 @@ def step_results(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _event_id():
-    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in
-                                   ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]))
+    """md5 of the line's identifying columns (integers and the ship day, so every engine prints
+    them the same way)."""
+    parts = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    parts += [F.col("l_quantity").cast("long").cast("string"), F.date_format("l_shipdate", "yyyy-MM-dd")]
+    return F.md5(F.concat_ws("|", *parts))
 
 
 def inventory_events(spark: SparkSession, d: str) -> DataFrame:
     """Inventory event log over line items, as delivered (with redeliveries).
 
     Returned lines ('R') are STOCK_RECEIVED (+qty), the others STOCK_DECREASED (-qty).  The
-    event id is an md5 of the line's key.  Open lines ('O') are delivered a second time, as a
+    event id is an md5 of the line's identifying columns.  Open lines ('O') are delivered a second time, as a
     retrying producer would, so the log holds duplicate event ids.
     """
     li = load(spark, d, "lineitem")
