@@ -135,3 +135,17 @@ def test_carts_hot_user_matches_window_form(spark):
     p["cart_e"] = p.groupby("user_id")["flag"].cumsum()
     m = got.merge(p[["event_id", "cart_e"]], on="event_id")
     assert len(m) == len(p) and (m.cart_no == m.cart_e).all()
+
+
+def test_run_numbers_hot_key(spark):
+    from tidemark.plans.chunked import run_numbers
+
+    rows = [(0 if i % 4 else 1, i, (i // 7) % 2 == 0 or i % 13 == 0) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k int, seq int, ok boolean")
+    got = run_numbers(df, ["k"], ["seq"], "ok", num_partitions=8).toPandas()
+    p = df.toPandas().sort_values(["k", "seq"])
+    prev = p.groupby("k")["ok"].shift(1)
+    p["flag"] = (prev.isna() | (p.ok != prev)).astype(int)
+    p["run_e"] = p.groupby("k")["flag"].cumsum()
+    m = got.merge(p, on=["k", "seq"])
+    assert len(m) == 4000 and (m.run_no == m.run_e).all()

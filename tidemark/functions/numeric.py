@@ -51,7 +51,7 @@ def pct(part, whole, digits: int = 2) -> Column:
 
 def avg_seconds(start, end) -> Column:
     """Mean of ``end - start`` in seconds, 0 when there is no pair."""
-    micros = F.unix_micros(_col(end).cast("timestamp")) - F.unix_micros(_col(start).cast("timestamp"))
+    micros = F.timestamp_diff("MICROSECOND", _col(start), _col(end))
     return F.coalesce(F.avg(micros) / F.lit(1_000_000.0), F.lit(0.0))
 
 

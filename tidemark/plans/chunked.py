@@ -318,3 +318,48 @@ def running_sum(df: DataFrame, keys: list[str], order: list, value_col: str, out
 
     return segmented_scan(df, keys, order, summarize, [T.StructField("total", vt)], combine,
                           [T.StructField("_carry", vt)], scan, out_schema, num_partitions)
+
+
+# ------------------------------------------------------------------------------ value runs
+
+def run_numbers(df: DataFrame, keys: list[str], order: list, value_col: str, out_col: str = "run_no",
+                num_partitions: int | None = None) -> DataFrame:
+    """Per key, number the maximal runs of equal ``value_col`` in ``order`` (1, 2, ...): the
+    gaps-and-islands labelling, with hot keys split."""
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.LongType())])
+    vt = df.schema[value_col].dataType
+
+    def summarize(g):
+        v = g[value_col].to_numpy()
+        changes = int((v[1:] != v[:-1]).sum()) if len(v) > 1 else 0
+        return {"first_v": v[0], "last_v": v[-1], "changes": changes}
+
+    def combine(pdf):
+        count = 1 + int(pdf["changes"].iloc[0])
+        prev = pdf["last_v"].iloc[0]
+        rows = []
+        for i in range(1, len(pdf)):
+            rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys},
+                         "_prev": prev, "_offset": count})
+            count += int(pdf["first_v"].iloc[i] != prev) + int(pdf["changes"].iloc[i])
+            prev = pdf["last_v"].iloc[i]
+        return pd.DataFrame(rows)
+
+    def scan(block):
+        grp = np.cumsum(_key_change(block, keys))
+        v = block[value_col]
+        prev = v.groupby(grp).shift(1)
+        first = prev.isna().to_numpy()
+        carry_prev = block["_prev"]
+        has_carry = carry_prev.notna().to_numpy()
+        flag = np.where(first, np.where(has_carry, (v.to_numpy() != carry_prev.to_numpy()), True),
+                        (v.to_numpy() != prev.to_numpy()))
+        offset = block["_offset"].fillna(0).astype("int64").to_numpy()
+        out = block.drop(columns=["_prev", "_offset", PID])
+        out[out_col] = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
+        return out
+
+    return segmented_scan(df, keys, order, summarize,
+                          [T.StructField("first_v", vt), T.StructField("last_v", vt), T.StructField("changes", T.LongType())],
+                          combine, [T.StructField("_prev", vt), T.StructField("_offset", T.LongType())],
+                          scan, out_schema, num_partitions)
