@@ -6,6 +6,7 @@ from tidemark.functions.dates import (  # noqa: F401
     iso_weekday,
     months_before,
     since,
+    ts_lit,
     week_start_sunday,
     weekday_name,
 )

@@ -59,22 +59,31 @@ def _ts(v) -> dt.datetime:
     return dt.datetime.fromisoformat(str(v))
 
 
-def between_ts(df: DataFrame, lo, hi, ts_col: str = "ts", date_col: str | None = None) -> DataFrame:
+def ts_lit(v) -> Column:
+    """A TIMESTAMP_NTZ literal (wall-clock time, no session time zone involved)."""
+    return F.lit(_ts(v).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def between_ts(df: DataFrame, lo, hi, ts_col: str = "ts", date_col: str | None = None,
+               grain: str = "day") -> DataFrame:
     """Half-open range ``lo <= ts < hi``.
 
-    When the table is partitioned by a date column derived from ``ts`` (``date_col``), the
-    equivalent date predicate is added too: Spark does not derive partition filters from a
-    predicate on ``ts`` alone, so without it every partition would be listed and opened.
+    When the table is partitioned by a date column derived from ``ts`` (``date_col``: the day,
+    or with ``grain='month'`` the first day of the month), the equivalent predicate on that column
+    is added too: Spark does not derive partition filters from a predicate on ``ts`` alone, so
+    without it every partition would be listed and opened.
     """
     lo_ts, hi_ts = _ts(lo), _ts(hi)
-    out = df.filter((F.col(ts_col) >= F.lit(lo_ts)) & (F.col(ts_col) < F.lit(hi_ts)))
+    out = df.filter((F.col(ts_col) >= ts_lit(lo_ts)) & (F.col(ts_col) < ts_lit(hi_ts)))
     if date_col is not None:
         lo_d = lo_ts.date()
         hi_d = hi_ts.date() if hi_ts.time() != dt.time(0) else hi_ts.date() - dt.timedelta(days=1)
+        if grain == "month":
+            lo_d, hi_d = lo_d.replace(day=1), hi_d.replace(day=1)
         out = out.filter((F.col(date_col) >= F.lit(lo_d)) & (F.col(date_col) <= F.lit(hi_d)))
     return out
 
 
 def since(df: DataFrame, col: str, as_of, months: int) -> DataFrame:
     """Rows with ``col >= as_of - months`` (F03); ``as_of`` is a parameter, never the clock."""
-    return df.filter(F.col(col) >= F.lit(months_before(as_of, months)))
+    return df.filter(F.col(col) >= ts_lit(months_before(as_of, months)))

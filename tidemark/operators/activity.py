@@ -31,9 +31,9 @@ def money_sum(col: str) -> Column:
 # ---------------------------------------------------------------------------- lookups
 
 def user_profile(events: DataFrame, user, lo, hi, user_col: str = "user_id",
-                 date_col: str | None = None, exact: bool = True) -> DataFrame:
+                 date_col: str | None = None, exact: bool = True, grain: str = "day") -> DataFrame:
     """One user's events in [lo, hi): count, first/last, total value, sessions."""
-    f = between_ts(events.filter(F.col(user_col) == F.lit(user)), lo, hi, "ts", date_col)
+    f = between_ts(events.filter(F.col(user_col) == F.lit(user)), lo, hi, "ts", date_col, grain)
     return f.agg(
         F.count(F.lit(1)).alias("events"),
         F.min("ts").alias("first_event"),
@@ -44,16 +44,16 @@ def user_profile(events: DataFrame, user, lo, hi, user_col: str = "user_id",
 
 
 def user_event_count(events: DataFrame, user, lo, hi, user_col: str = "user_id",
-                     date_col: str | None = None) -> DataFrame:
+                     date_col: str | None = None, grain: str = "day") -> DataFrame:
     """U01, count-only form."""
-    f = between_ts(events.filter(F.col(user_col) == F.lit(user)), lo, hi, "ts", date_col)
+    f = between_ts(events.filter(F.col(user_col) == F.lit(user)), lo, hi, "ts", date_col, grain)
     return f.agg(F.count(F.lit(1)).alias("events"))
 
 
 def hour_activity(events: DataFrame, lo, hi, user_col: str = "user_id",
-                  date_col: str | None = None, exact: bool = True) -> DataFrame:
+                  date_col: str | None = None, exact: bool = True, grain: str = "day") -> DataFrame:
     """U02 (and U03 over a date range): events and distinct users in [lo, hi)."""
-    f = between_ts(events, lo, hi, "ts", date_col)
+    f = between_ts(events, lo, hi, "ts", date_col, grain)
     return f.agg(F.count(F.lit(1)).alias("events"), users(user_col, exact).alias("unique_users"))
 
 

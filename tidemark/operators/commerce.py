@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import months_before
+from tidemark.functions.dates import months_before, ts_lit
 from tidemark.plans.broadcast import broadcast_if_small
 
 
@@ -29,7 +29,7 @@ def top_clients(clients: DataFrame, orders: DataFrame, items: DataFrame, product
     """
     cutoff = months_before(as_of, months)
     cat = products.filter(F.col("category") == category).select(F.col("id").alias("product_id"))
-    recent = orders.filter(F.col("order_date") >= F.lit(cutoff)) \
+    recent = orders.filter(F.col("order_date") >= ts_lit(cutoff)) \
         .select(F.col("id").alias("order_id"), "client_id")
     lines = items.select("order_id", "product_id", revenue_col) \
         .join(recent, "order_id") \
@@ -42,7 +42,7 @@ def top_clients_denorm(clients: DataFrame, orders: DataFrame, items_with_categor
                        revenue_col: str = "revenue") -> DataFrame:
     """The same answer as J01 from items that carry their product's category."""
     cutoff = months_before(as_of, months)
-    recent = orders.filter(F.col("order_date") >= F.lit(cutoff)) \
+    recent = orders.filter(F.col("order_date") >= ts_lit(cutoff)) \
         .select(F.col("id").alias("order_id"), "client_id")
     lines = items_with_category.filter(F.col("category") == category) \
         .select("order_id", revenue_col).join(recent, "order_id")
