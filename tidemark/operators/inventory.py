@@ -61,16 +61,17 @@ def restock(stock: DataFrame, moves: DataFrame, keys=STOCK_KEYS, qty: str = "qua
         *keys, (F.col("quantity") + F.coalesce(F.col("_add"), F.lit(0))).alias("quantity"))
 
 
-def confirm_orders(stock: DataFrame, requests: DataFrame, steps: DataFrame, on: list, order: list,
-                   keys=STOCK_KEYS) -> DataFrame:
-    """Saga outcome per request.
+def confirm_orders(stock: DataFrame, requests: DataFrame, steps: DataFrame | None, on: list | None,
+                   order: list, keys=STOCK_KEYS) -> DataFrame:
+    """Saga outcome per request.  Step results (``event_ok``, ``release_ok``) come from
+    ``steps`` joined on ``on``, or are already columns of ``requests`` (``steps=None``).
 
     rejected             stock did not cover the request (step 1 failed)
     compensated          stock was taken, the event write failed, the stock was given back
     confirmed_uncleared  confirmed, but the reservation could not be released (step 3 failed)
     confirmed            all steps passed
     """
-    r = requests.join(steps, on)
+    r = requests if steps is None else requests.join(steps, on)
     out = settle(stock, r, order, keys, consume_col="event_ok")
     outcome = F.when(~F.col("accepted"), "rejected") \
         .when(~F.col("event_ok"), "compensated") \
@@ -182,7 +183,8 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
         out.loc[~is_cancel, "cart_live"] = pd.NA
         return out
 
-    return segmented_scan(log, [user], order, summarize, summary_fields, combine, carry_fields, scan, out_schema)
+    return segmented_scan(log, [user], order, summarize, summary_fields, combine, carry_fields, scan, out_schema,
+                          summary_cols=["action", "ts", "expires_at"])
 
 
 def carts(assigned: DataFrame, as_of, user: str = "user_id") -> DataFrame:

@@ -99,9 +99,13 @@ def segmented_scan(
     scan: Callable[[pd.DataFrame], pd.DataFrame],
     out_schema: T.StructType,
     num_partitions: int | None = None,
+    summary_cols: list[str] | None = None,
 ) -> DataFrame:
     """Run an ordered scan per key over range-partitioned chunks (see the module docstring).
 
+    ``summary_cols`` names the columns ``summarize`` reads (all columns when None); only those
+    columns of the edge chunks' rows are sent to Python for the summaries.
+
     ``summarize(chunk)`` -> dict of ``summary_fields`` for one edge chunk (rows of one key).
     ``combine(summaries)`` gets one key's summaries sorted by partition (columns ``_pid``,
     keys, summary fields) and returns carry rows (``_pid``, keys, ``carry_fields``) for the
@@ -135,7 +139,18 @@ def segmented_scan(
             if lk != first_key:
                 yield _summary_frame(last, summarize, keys, summary_schema)
 
-    summaries = ranged.mapInPandas(edge_summaries, summary_schema)
+    # The first and last key of every partition, found in the JVM (one row per partition);
+    # only rows of those keys are summarised.  Keys sort ascending, so min/max of the key
+    # struct are the partition's first and last key.
+    key_struct = F.struct(*keys)
+    bounds = ranged.groupBy(PID).agg(F.min(key_struct).alias("_lo"), F.max(key_struct).alias("_hi"))
+    edges = bounds.select(PID, F.explode(F.array("_lo", "_hi")).alias("_k")) \
+        .select(PID, *[F.col(f"_k.{k}").alias(k) for k in keys]).distinct()
+    edge_rows = ranged.join(F.broadcast(edges), [PID, *keys], "left_semi").sortWithinPartitions(*sort_cols)
+    if summary_cols is not None:
+        extra = list(dict.fromkeys(c for c in summary_cols if c not in keys))
+        edge_rows = edge_rows.select(PID, *keys, *extra)
+    summaries = edge_rows.mapInPandas(edge_summaries, summary_schema)
 
     def combine_key(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(PID, kind="stable").reset_index(drop=True)
@@ -282,8 +297,9 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
         out["balance_after"] = np.array(bal_all, dtype=np.int64)
         return out
 
+    cols = [delta_col, start_col] + ([consume_col] if consume_col else []) + ([cap_col] if cap_col else [])
     return segmented_scan(df, keys, order, summarize, summary_fields, combine, carry_fields, scan,
-                          out_schema, num_partitions)
+                          out_schema, num_partitions, summary_cols=cols)
 
 
 # ---------------------------------------------------------------------------- running sum
@@ -317,7 +333,8 @@ def running_sum(df: DataFrame, keys: list[str], order: list, value_col: str, out
         return out
 
     return segmented_scan(df, keys, order, summarize, [T.StructField("total", vt)], combine,
-                          [T.StructField("_carry", vt)], scan, out_schema, num_partitions)
+                          [T.StructField("_carry", vt)], scan, out_schema, num_partitions,
+                          summary_cols=[value_col])
 
 
 # ------------------------------------------------------------------------------ value runs
@@ -362,4 +379,4 @@ def run_numbers(df: DataFrame, keys: list[str], order: list, value_col: str, out
     return segmented_scan(df, keys, order, summarize,
                           [T.StructField("first_v", vt), T.StructField("last_v", vt), T.StructField("changes", T.LongType())],
                           combine, [T.StructField("_prev", vt), T.StructField("_offset", T.LongType())],
-                          scan, out_schema, num_partitions)
+                          scan, out_schema, num_partitions, summary_cols=[value_col])

@@ -93,9 +93,9 @@ def i02_restock_returns(spark, d):
 
 
 def _outcomes(spark, d):
-    steps = src.step_results(spark, d)
-    return inv.confirm_orders(src.warehouse_stock(spark, d), _requests(spark, d), steps,
-                              ["order_id", "line_no", "supplier_id", "product_id"], src.REQUEST_ORDER)
+    # the step results are attributes of the same line rows, so they are projected, not joined
+    reqs = _requests(spark, d).withColumns(src.step_flags())
+    return inv.confirm_orders(src.warehouse_stock(spark, d), reqs, None, None, src.REQUEST_ORDER)
 
 
 OUTCOME_SQL = """CASE WHEN NOT accepted THEN 'rejected' WHEN NOT event_ok THEN 'compensated'

@@ -184,13 +184,16 @@ def warehouse_stock(spark: SparkSession, d: str, quantity: int = INITIAL_STOCK)
     )
 
 
-def step_results(spark: SparkSession, d: str) -> DataFrame:
-    """Saga step outcomes per request: the event write fails for returned lines ('R'), the
+def step_flags() -> dict:
+    """Saga step outcomes of a request row: the event write fails for returned lines ('R'), the
     reservation release fails for open lines ('O')."""
+    return {"event_ok": F.col("return_flag") != "R", "release_ok": F.col("line_status") != "O"}
+
+
+def step_results(spark: SparkSession, d: str) -> DataFrame:
+    """The step outcomes as their own table, keyed like the requests."""
     r = stock_requests(spark, d)
-    return r.select("order_id", "line_no", "supplier_id", "product_id",
-                    (F.col("return_flag") != "R").alias("event_ok"),
-                    (F.col("line_status") != "O").alias("release_ok"))
+    return r.select("order_id", "line_no", "supplier_id", "product_id", *[c.alias(n) for n, c in step_flags().items()])
 
 
 def _event_id():
