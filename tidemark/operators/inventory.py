@@ -27,7 +27,7 @@ STOCK_KEYS = ["warehouse_id", "product_id"]
 # -------------------------------------------------------------------------- stock folds
 
 def settle(stock: DataFrame, requests: DataFrame, order: list, keys=STOCK_KEYS, qty: str = "quantity",
-           consume_col: str | None = None) -> DataFrame:
+           consume_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Per key, in ``order``, accept a request if the balance covers it (and take it),
     else reject it and keep the balance.  Adds ``accepted`` and ``balance_after``.
 
@@ -38,7 +38,9 @@ def settle(stock: DataFrame, requests: DataFrame, order: list, keys=STOCK_KEYS,
     keys = list(keys)
     s = stock.select(*keys, F.col("quantity").cast("long").alias("_start"))
     r = requests.join(s, keys).withColumn("_delta", -F.col(qty).cast("long"))
-    out = guarded_fold(r, keys, order, "_delta", "_start", consume_col, cap_col="_start")
+    if keep is not None:
+        keep = list(dict.fromkeys([*keep, qty] + ([consume_col] if consume_col else [])))
+    out = guarded_fold(r, keys, order, "_delta", "_start", consume_col, cap_col="_start", keep=keep)
     return out.drop("_delta", "_start")
 
 
@@ -62,7 +64,7 @@ def restock(stock: DataFrame, moves: DataFrame, keys=STOCK_KEYS, qty: str = "qua
 
 
 def confirm_orders(stock: DataFrame, requests: DataFrame, steps: DataFrame | None, on: list | None,
-                   order: list, keys=STOCK_KEYS) -> DataFrame:
+                   order: list, keys=STOCK_KEYS, keep: list[str] | None = None) -> DataFrame:
     """Saga outcome per request.  Step results (``event_ok``, ``release_ok``) come from
     ``steps`` joined on ``on``, or are already columns of ``requests`` (``steps=None``).
 
@@ -72,7 +74,9 @@ def confirm_orders(stock: DataFrame, requests: DataFrame, steps: DataFrame | Non
     confirmed            all steps passed
     """
     r = requests if steps is None else requests.join(steps, on)
-    out = settle(stock, r, order, keys, consume_col="event_ok")
+    if keep is not None:
+        keep = list(dict.fromkeys([*keep, "release_ok"]))
+    out = settle(stock, r, order, keys, consume_col="event_ok", keep=keep)
     outcome = F.when(~F.col("accepted"), "rejected") \
         .when(~F.col("event_ok"), "compensated") \
         .when(~F.col("release_ok"), "confirmed_uncleared") \

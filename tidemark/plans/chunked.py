@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, ship_package
 
 PID = "_pid"
 
@@ -100,11 +100,13 @@ def segmented_scan(
     out_schema: T.StructType,
     num_partitions: int | None = None,
     summary_cols: list[str] | None = None,
+    scan_cols: list[str] | None = None,
 ) -> DataFrame:
     """Run an ordered scan per key over range-partitioned chunks (see the module docstring).
 
     ``summary_cols`` names the columns ``summarize`` reads (all columns when None); only those
-    columns of the edge chunks' rows are sent to Python for the summaries.
+    columns of the edge chunks' rows are sent to Python for the summaries.  ``scan_cols`` does
+    the same for the final scan (order columns are only needed by the sort, which is done).
 
     ``summarize(chunk)`` -> dict of ``summary_fields`` for one edge chunk (rows of one key).
     ``combine(summaries)`` gets one key's summaries sorted by partition (columns ``_pid``,
@@ -119,6 +121,7 @@ def segmented_scan(
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
         .withColumn(PID, F.spark_partition_id())
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     ranged = ranged.checkpoint(eager=True)
 
     key_fields = [ranged.schema[k] for k in keys]
@@ -161,6 +164,9 @@ def segmented_scan(
     carries = summaries.groupBy(*keys).applyInPandas(combine_key, carry_schema)
     # at most two rows per partition: a proven bound for the broadcast
     joined = ranged.join(F.broadcast(carries), [PID, *keys], "left").sortWithinPartitions(*sort_cols)
+    if scan_cols is not None:
+        extra = list(dict.fromkeys(c for c in scan_cols if c not in keys))
+        joined = joined.select(PID, *keys, *extra, *[f.name for f in carry_fields])
 
     def scan_blocks(it):
         for block in _blocks(it, keys):
@@ -240,14 +246,16 @@ def fold_rows(deltas: list, consume: list, start: int) -> tuple[list, list]:
 
 def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, start_col: str,
                  consume_col: str | None = None, cap_col: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Per key, in ``order``: apply each row's ``delta`` to a balance starting at ``start_col``
     (taken from the key's first row).  Adds ``accepted`` and ``balance_after``.
 
     ``cap_col`` (optional) is an upper bound of the balance (e.g. the initial stock when rows
-    only take); it bounds the tables of edge chunks.
+    only take); it bounds the tables of edge chunks.  ``keep`` limits the output to these input
+    columns (all by default), which also limits what is sent through Python.
     """
-    in_fields = list(df.schema.fields)
+    in_fields = list(df.schema.fields) if keep is None else \
+        [df.schema[c] for c in dict.fromkeys([*keys, *keep])]
     out_schema = T.StructType(in_fields + [T.StructField("accepted", T.BooleanType(), False),
                                            T.StructField("balance_after", T.LongType(), False)])
 
@@ -298,8 +306,9 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
         return out
 
     cols = [delta_col, start_col] + ([consume_col] if consume_col else []) + ([cap_col] if cap_col else [])
+    scan_cols = None if keep is None else [*keep, *cols]
     return segmented_scan(df, keys, order, summarize, summary_fields, combine, carry_fields, scan,
-                          out_schema, num_partitions, summary_cols=cols)
+                          out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols)
 
 
 # ---------------------------------------------------------------------------- running sum

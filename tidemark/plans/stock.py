@@ -45,8 +45,11 @@ def _requests(spark, d):
     return src.stock_requests(spark, d)
 
 
+OUT_COLS = ["order_id", "line_no", "supplier_id", "quantity", "ts"]
+
+
 def _settled(spark, d):
-    return inv.settle(src.warehouse_stock(spark, d), _requests(spark, d), src.REQUEST_ORDER)
+    return inv.settle(src.warehouse_stock(spark, d), _requests(spark, d), src.REQUEST_ORDER, keep=OUT_COLS)
 
 
 @register("i01_settle", f"""WITH RECURSIVE {REQ}, {FOLD_ALL}
@@ -95,7 +98,7 @@ def i02_restock_returns(spark, d):
 def _outcomes(spark, d):
     # the step results are attributes of the same line rows, so they are projected, not joined
     reqs = _requests(spark, d).withColumns(src.step_flags())
-    return inv.confirm_orders(src.warehouse_stock(spark, d), reqs, None, None, src.REQUEST_ORDER)
+    return inv.confirm_orders(src.warehouse_stock(spark, d), reqs, None, None, src.REQUEST_ORDER, keep=OUT_COLS)
 
 
 OUTCOME_SQL = """CASE WHEN NOT accepted THEN 'rejected' WHEN NOT event_ok THEN 'compensated'

@@ -76,3 +76,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable in Python workers (``addPyFile`` of a zip of the package,
+    once per Spark application).  Needed by every job that runs Python on executors."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = scratch_path(spark, "pyfiles")
+    os.makedirs(out_dir, exist_ok=True)
+    path = os.path.join(out_dir, "tidemark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, dirnames, filenames in os.walk(pkg_dir):
+            dirnames[:] = [x for x in dirnames if x != "__pycache__"]
+            for f in filenames:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
