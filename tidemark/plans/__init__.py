@@ -6,7 +6,7 @@ def load_all():
     from tidemark.plans import shop  # noqa: F401
     from tidemark.plans.registry import QUERIES, SQL
 
-    for mod in ("activity", "queue", "stock", "checks", "layouts", "streams"):
+    for mod in ("activity", "queue", "stock", "checks", "layouts", "streams", "tableops"):
         try:
             __import__(f"tidemark.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet
