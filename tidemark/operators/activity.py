@@ -18,6 +18,13 @@ from tidemark.functions.dates import between_ts, iso_weekday, week_start_sunday,
 from tidemark.functions.numeric import pct, round_half_up
 
 
+def share_total(col: str) -> Column:
+    """The column's total over a *grouped* result, as a whole-table window.  Used only on
+    results with a bounded number of groups (event types, devices, hours of a period), where it
+    saves the second scan of the events a scalar subquery would cost."""
+    return F.sum(col).over(Window.partitionBy())
+
+
 def users(col: str = "user_id", exact: bool = True) -> Column:
     """Distinct users, exact or HyperLogLog (rsd 1%)."""
     return F.count_distinct(F.col(col)) if exact else F.approx_count_distinct(F.col(col), 0.01)
@@ -65,18 +72,20 @@ range_activity = hour_activity
 def dau_wau_mau(events: DataFrame, user_col: str = "user_id") -> DataFrame:
     """Average daily users, average weekly users (Sunday weeks), all users, as rows.
 
-    All three derive from one distinct (user, day) set; Spark reuses its exchange, so the
-    events are scanned and shuffled once.
+    One linear pipeline over one scan: grouping sets (day, user), (week, user), (user) give the
+    distinct pairs of all three levels at once (Expand + partial aggregation on every task),
+    then counts per bucket, then the mean per level.  Three separate aggregates would each scan
+    and shuffle the events (Spark optimises the branches apart, so no exchange is shared).
     """
-    pairs = events.select(F.col(user_col).alias("u"), F.to_date("ts").alias("day")).distinct()
-    dau = pairs.groupBy("day").agg(F.count(F.lit(1)).alias("n")) \
-        .agg(round_half_up(F.avg("n"), 0).alias("value")).select(F.lit("DAU (avg)").alias("metric"), "value")
-    weeks = pairs.select("u", week_start_sunday("day").alias("week")).distinct()
-    wau = weeks.groupBy("week").agg(F.count(F.lit(1)).alias("n")) \
-        .agg(round_half_up(F.avg("n"), 0).alias("value")).select(F.lit("WAU (avg)").alias("metric"), "value")
-    mau = pairs.select("u").distinct().agg(F.count(F.lit(1)).cast("double").alias("value")) \
-        .select(F.lit("MAU").alias("metric"), "value")
-    return dau.unionByName(wau).unionByName(mau)
+    g = events.select(F.col(user_col).alias("u"), F.to_date("ts").alias("day")) \
+        .withColumn("week", week_start_sunday("day"))
+    sets = g.groupingSets([["day", "u"], ["week", "u"], ["u"]], "day", "week", "u") \
+        .agg(F.grouping_id().alias("gid"))
+    per_bucket = sets.groupBy("gid", "day", "week").agg(F.count(F.lit(1)).alias("n"))
+    per_level = per_bucket.groupBy("gid").agg(F.avg("n").alias("avg_n"))
+    # grouping_id bits: day = 4, week = 2, u = 1 (set bit = column not grouped)
+    metric = F.when(F.col("gid") == 2, "DAU (avg)").when(F.col("gid") == 4, "WAU (avg)").otherwise("MAU")
+    return per_level.select(metric.alias("metric"), round_half_up("avg_n", 0).alias("value"))
 
 
 def hourly_profile(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
@@ -136,8 +145,8 @@ def event_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True)
     """Per event type: events, distinct users, share of all events (%)."""
     per = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
                                            users(user_col, exact).alias("unique_users"))
-    total = per.agg(F.sum("events")).scalar()  # scalar subquery over the small grouped result
-    return per.select("event_type", "events", "unique_users", pct(F.col("events"), total, 2).alias("pct_of_total"))
+    return per.select("event_type", "events", "unique_users",
+                      pct(F.col("events"), share_total("events"), 2).alias("pct_of_total"))
 
 
 def country_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
@@ -168,12 +177,14 @@ def peak_hours(events: DataFrame, q: float = 0.95, k: int = 20, user_col: str =
     """(day, hour) buckets with more requests than the q-quantile of all buckets, top k.
 
     The bucket table has one row per hour of the covered period, whatever the data volume, so
-    the exact percentile over it is cheap; it is a scalar subquery over the same aggregate.
+    the exact percentile over it is cheap; it is computed as a window over that table, so the
+    events are scanned once.
     """
     hourly = events.groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("requests"), users(user_col, exact).alias("users"))
-    threshold = hourly.agg(F.percentile("requests", q)).scalar()
-    out = hourly.filter(F.col("requests") > threshold).select(
+    # one row per hour of the period: the whole-table window holds (days x 24) rows at most
+    threshold = F.percentile("requests", q).over(Window.partitionBy())
+    out = hourly.withColumn("_thr", threshold).filter(F.col("requests") > F.col("_thr")).select(
         "day", "hour", "requests", "users",
         round_half_up(F.col("requests") / F.lit(3600.0), 2).alias("req_per_sec"))
     return out.orderBy(F.col("requests").desc(), F.col("day").asc(), F.col("hour").asc()).limit(k)

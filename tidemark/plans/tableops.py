@@ -175,8 +175,8 @@ def a05_a11_type_shares(spark, d):
         F.coalesce(F.sum(F.when(F.col("event_type") == "error", F.col("event_value").cast("decimal(18,2)"))),
                    F.lit(0)).cast("double").alias("error_value"),
         F.count(F.lit(1)).alias("n"))
-    total = per.agg(F.sum("n")).scalar()
-    return per.select("device_type", "purchases", "error_value", pct(F.col("n"), total, 2).alias("pct_of_total"))
+    from tidemark.operators.activity import share_total
+    return per.select("device_type", "purchases", "error_value", pct(F.col("n"), share_total("n"), 2).alias("pct_of_total"))
 
 
 @register("a09_ordered_array_agg", """
