@@ -16,9 +16,11 @@ from tidemark.operators import workqueue as wq
 from tidemark.plans.activity import ACT, ACT_COUNTRY
 from tidemark.plans.queue import JOBS, NOW, RANKED
 from tidemark.plans.registry import register
-from tidemark.plans.stock import CART, EVENTS
+from tidemark.plans.stock import CART, EVENTS, FOLD_ALL, REQ
 from tidemark.session import scratch_path
 from tidemark.sources import driver as src
+from tidemark.session import ship_package
+from tidemark.streaming import stateful
 from tidemark.streaming import streams as st
 
 
@@ -88,3 +90,25 @@ def z07_stream_sessions(spark, d):
     ev = src.activity_events(spark, d).select("user_id", "ts")
     stream = _source(spark, ev, "z07", "ts")
     return st.run_append(spark, st.stream_sessions(stream), "z07")
+
+
+@register("z05_stream_settle", f"""WITH RECURSIVE {REQ}, {FOLD_ALL}
+SELECT warehouse_id, product_id, order_id, line_no, supplier_id, quantity, ts, accepted, balance_after FROM fold
+WHERE ts <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 1 DAY
+""")
+def z05_stream_settle(spark, d):
+    ship_package(spark)
+    reqs = src.stock_requests(spark, d).select("order_id", "line_no", "product_id", "warehouse_id",
+                                                "supplier_id", "quantity", "ts")
+    stream = _source(spark, reqs, "z05", "ts")
+    return st.run_append(spark, stateful.stream_settle(stream, src.warehouse_stock(spark, d), "1 day"), "z05")
+
+
+@register("z03_stream_carts", f"""WITH {CART}
+SELECT user_id, cart_no, opened_at, expires_at, reserves, units FROM carts
+WHERE expires_at <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+""")
+def z03_stream_carts(spark, d):
+    ship_package(spark)
+    stream = _source(spark, src.cart_log(spark, d), "z03", "ts")
+    return st.run_append(spark, stateful.stream_carts(stream, "1 hour"), "z03")

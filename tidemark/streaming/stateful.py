@@ -1,0 +1,205 @@
+"""Stateful streams with ``transformWithStateInPandas`` (Z03 cart expiry, Z05 guarded decrement).
+
+Rows of a key arrive in any order, so both processors buffer them in a ``ListState`` and
+register an event-time timer at each row's time.  When timers fire, the current watermark is
+the clock: buffered rows at or before it are processed in their order, later ones wait.  (A
+timer registered while handling a timer does not fire in the same batch, so work that is due is
+done at once instead of being scheduled.)  Event times travel as epoch milliseconds computed by
+Spark, so no Python-side time zone is involved; the wall-clock TIMESTAMP_NTZ columns are carried
+through unchanged.  (Input column names must not start with an underscore: such columns reach
+pandas under positional names.)
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _tuples(pdf: pd.DataFrame) -> list[tuple]:
+    """Rows as tuples of plain Python values (what the list state serialises)."""
+    cols = []
+    for c in pdf.columns:
+        col = pdf[c]
+        if pd.api.types.is_datetime64_any_dtype(col):
+            cols.append([None if pd.isna(x) else x.to_pydatetime() for x in col])
+        else:
+            cols.append([None if (isinstance(x, float) and x != x) else (x.item() if hasattr(x, "item") else x)
+                         for x in col.tolist()])
+    return list(zip(*cols))
+
+
+def _event_time(df: DataFrame, ts_col: str, delay: str) -> DataFrame:
+    et = F.col(ts_col).cast("timestamp")
+    return df.withColumn("ev_time", et).withColumn("ev_ms", F.floor(F.unix_micros(et) / 1000).cast("long")) \
+        .withWatermark("ev_time", delay)
+
+
+# ---------------------------------------------------------------- Z05 guarded decrement
+
+SETTLE_BUFFER = T.StructType([
+    T.StructField("ms", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("order_id", T.LongType()), T.StructField("line_no", T.IntegerType()),
+    T.StructField("supplier_id", T.LongType()), T.StructField("quantity", T.LongType()),
+    T.StructField("start", T.LongType()),
+])
+
+SETTLE_OUT = T.StructType([
+    T.StructField("warehouse_id", T.LongType()), T.StructField("product_id", T.LongType()),
+    T.StructField("order_id", T.LongType()), T.StructField("line_no", T.IntegerType()),
+    T.StructField("supplier_id", T.LongType()), T.StructField("quantity", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()), T.StructField("accepted", T.BooleanType()),
+    T.StructField("balance_after", T.LongType()),
+])
+
+_BUF_COLS = [f.name for f in SETTLE_BUFFER.fields]
+
+
+class GuardedDecrement(StatefulProcessor):
+    """Per (warehouse, product): accept a request if the balance covers it, in request order."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.balance = handle.getValueState("balance", "balance long")
+        self.buffer = handle.getListState("buffer", SETTLE_BUFFER)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            buf = pd.DataFrame({"ms": pdf["ev_ms"], "ts": pdf["ts"], "order_id": pdf["order_id"],
+                                "line_no": pdf["line_no"], "supplier_id": pdf["supplier_id"],
+                                "quantity": pdf["quantity"], "start": pdf["start_qty"]})
+            self.buffer.appendList(_tuples(buf[_BUF_COLS]))
+            for ms in sorted(set(int(x) for x in pdf["ev_ms"])):
+                self.handle.registerTimer(ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        rows = list(self.buffer.get()) if self.buffer.exists() else []
+        due = sorted([r for r in rows if r[0] <= wm], key=lambda r: (r[1], r[2], r[3], r[4], r[5]))
+        if not due:
+            return iter([])
+        later = [r for r in rows if r[0] > wm]
+        b = self.balance.get()[0] if self.balance.exists() else int(due[0][6])
+        out = []
+        for ms, ts, order_id, line_no, supplier_id, q, _start in due:
+            ok = b >= q
+            if ok:
+                b -= q
+            out.append((key[0], key[1], order_id, line_no, supplier_id, q, ts, ok, b))
+        self.balance.update((b,))
+        self.buffer.clear()
+        if later:
+            self.buffer.put(later)
+        yield pd.DataFrame(out, columns=[f.name for f in SETTLE_OUT.fields])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_settle(requests: DataFrame, stock: DataFrame, delay: str = "1 day") -> DataFrame:
+    """The guarded decrement over a request stream.  Initial stock comes from a static
+    table (stream-static join); outcomes are emitted once the watermark passes a request."""
+    requests.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    s = stock.select("warehouse_id", "product_id", F.col("quantity").cast("long").alias("start_qty"))
+    r = requests.join(s, ["warehouse_id", "product_id"])
+    r = _event_time(r, "ts", delay).select(
+        "warehouse_id", "product_id", "order_id", "line_no", "supplier_id",
+        F.col("quantity").cast("long").alias("quantity"), "ts", "start_qty", "ev_ms", "ev_time")
+    return r.groupBy("warehouse_id", "product_id").transformWithStateInPandas(
+        GuardedDecrement(), SETTLE_OUT, "append", "EventTime")
+
+
+# ----------------------------------------------------------------------- Z03 cart expiry
+
+CART_BUFFER = T.StructType([
+    T.StructField("ms", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("event_id", T.LongType()), T.StructField("action", T.StringType()),
+    T.StructField("quantity", T.LongType()), T.StructField("ttl_ms", T.LongType()),
+])
+
+CART_STATE = T.StructType([
+    T.StructField("cart_no", T.LongType()), T.StructField("opened_at", T.TimestampNTZType()),
+    T.StructField("last_ts", T.TimestampNTZType()), T.StructField("last_ttl_ms", T.LongType()),
+    T.StructField("exp_ms", T.LongType()), T.StructField("reserves", T.LongType()),
+    T.StructField("units", T.LongType()), T.StructField("open", T.BooleanType()),
+])
+
+CART_OUT = T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("cart_no", T.LongType()),
+    T.StructField("opened_at", T.TimestampNTZType()), T.StructField("expires_at", T.TimestampNTZType()),
+    T.StructField("reserves", T.LongType()), T.StructField("units", T.LongType()),
+])
+
+
+class CartExpiry(StatefulProcessor):
+    """Per user: a reserve extends (replaces) the cart's expiry or, at/after it, opens a new cart;
+    a cart is emitted once its expiry is at or before the watermark."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.cart = handle.getValueState("cart", CART_STATE)
+        self.buffer = handle.getListState("buffer", CART_BUFFER)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            buf = pd.DataFrame({"ms": pdf["ev_ms"], "ts": pdf["ts"], "event_id": pdf["event_id"],
+                                "action": pdf["action"], "quantity": pdf["quantity"],
+                                "ttl_ms": pdf["ttl"].astype("int64") * 1000})
+            self.buffer.appendList(_tuples(buf[[f.name for f in CART_BUFFER.fields]]))
+            for ms in sorted(set(int(x) for x in pdf["ev_ms"])):
+                self.handle.registerTimer(ms)
+        return iter([])
+
+    @staticmethod
+    def _closed(key, st) -> tuple:
+        cart_no, opened_at, last_ts, last_ttl_ms, _exp, reserves, units, _open = st
+        # the expiry is the last reserve's time plus its TTL (wall clock)
+        expires_at = pd.Timestamp(last_ts) + pd.Timedelta(milliseconds=int(last_ttl_ms))
+        return (key[0], cart_no, opened_at, expires_at, reserves, units)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        rows = list(self.buffer.get()) if self.buffer.exists() else []
+        due = sorted([r for r in rows if r[0] <= wm], key=lambda r: (r[0], r[2]))
+        later = [r for r in rows if r[0] > wm]
+        st = tuple(self.cart.get()) if self.cart.exists() else (0, None, None, 0, 0, 0, 0, False)
+        out = []
+        for ms, ts, _eid, action, q, ttl_ms in due:
+            if action != "reserve":
+                continue
+            cart_no, opened_at, last_ts, last_ttl, exp_ms, reserves, units, is_open = st
+            if is_open and ms >= exp_ms:
+                out.append(self._closed(key, st))
+                is_open = False
+            if not is_open:
+                st = (cart_no + 1, ts, ts, ttl_ms, ms + ttl_ms, 1, q, True)
+            else:
+                st = (cart_no, opened_at, ts, ttl_ms, ms + ttl_ms, reserves + 1, units + q, True)
+        if st[7] and st[4] <= wm:
+            out.append(self._closed(key, st))
+            st = st[:7] + (False,)
+        elif st[7]:
+            self.handle.registerTimer(st[4])
+        self.cart.update(st)
+        self.buffer.clear()
+        if later:
+            self.buffer.put(later)
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in CART_OUT.fields])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_carts(cart_log: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Closed carts as output rows (the stock they still hold can then be returned)."""
+    cart_log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    r = _event_time(cart_log, "ts", delay).select(
+        "user_id", "event_id", "action", F.col("quantity").cast("long").alias("quantity"), "ts", "ttl", "ev_ms", "ev_time")
+    return r.groupBy("user_id").transformWithStateInPandas(CartExpiry(), CART_OUT, "append", "EventTime")
