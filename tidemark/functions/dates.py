@@ -59,6 +59,38 @@ def _ts(v) -> dt.datetime:
     return dt.datetime.fromisoformat(str(v))
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ wall-clock value.
+
+    Built from the date and the time-of-day fields, so no session time zone takes part (Spark's
+    ``timestamp_diff`` on NTZ values goes through the session zone and is off by an hour around
+    a daylight-saving change)."""
+    c = _col(c)
+    return (F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+            + F.hour(c).cast("long") * F.lit(3_600_000_000)
+            + F.minute(c).cast("long") * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long"))
+
+
+def wall_instant(c) -> Column:
+    """A TIMESTAMP (instant) whose UTC reading equals the NTZ wall clock: event time for
+    watermarks and windows that follows wall-clock days in any session time zone."""
+    return F.timestamp_micros(ntz_micros(c))
+
+
+def wall_clock(c) -> Column:
+    """Inverse of ``wall_instant``: the UTC reading of an instant, as TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(c)), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def seconds_between(start, end) -> Column:
+    """``end - start`` in seconds (DOUBLE) for TIMESTAMP_NTZ values, time-zone free."""
+    return (ntz_micros(end) - ntz_micros(start)) / F.lit(1_000_000.0)
+
+
 def ts_lit(v) -> Column:
     """A TIMESTAMP_NTZ literal (wall-clock time, no session time zone involved)."""
     return F.lit(_ts(v).isoformat(sep=" ")).cast("timestamp_ntz")

@@ -51,7 +51,9 @@ def pct(part, whole, digits: int = 2) -> Column:
 
 def avg_seconds(start, end) -> Column:
     """Mean of ``end - start`` in seconds, 0 when there is no pair."""
-    micros = F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+    from tidemark.functions.dates import ntz_micros
+
+    micros = ntz_micros(_col(end)) - ntz_micros(_col(start))
     return F.coalesce(F.avg(micros) / F.lit(1_000_000.0), F.lit(0.0))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import seconds_between
 from tidemark.plans.chunked import run_numbers
 
 
@@ -24,5 +25,4 @@ def outages(probes: DataFrame, key: str = "target", order=("ts", "probe_id"), ok
     j = down.join(nxt, [key, "run_no"], "left")
     return j.select(
         key, "run_no", F.col("started").alias("failed_at"), F.col("probes").alias("failed_probes"), "recovered_at",
-        (F.timestamp_diff("MICROSECOND", F.col("started"), F.col("recovered_at")) / F.lit(1e6))
-        .alias("recovery_seconds"))
+        seconds_between("started", "recovered_at").alias("recovery_seconds"))

@@ -1,7 +1,7 @@
 """Stateful streams with ``transformWithStateInPandas`` (Z03 cart expiry, Z05 guarded decrement).
 
 Rows of a key arrive in any order, so both processors buffer them in a ``ListState`` and
-register an event-time timer at each row's time.  When timers fire, the current watermark is
+register an event-time timer at the earliest buffered row's time (one per key and batch).  When timers fire, the current watermark is
 the clock: buffered rows at or before it are processed in their order, later ones wait.  (A
 timer registered while handling a timer does not fire in the same batch, so work that is due is
 done at once instead of being scheduled.)  Event times travel as epoch milliseconds computed by
@@ -12,12 +12,21 @@ pandas under positional names.)
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.functions.dates import ntz_micros
+
+# The processors are pickled by value: the Python runner that validates state schemas on the
+# driver does not see files added with addPyFile.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -35,9 +44,10 @@ def _tuples(pdf: pd.DataFrame) -> list[tuple]:
 
 
 def _event_time(df: DataFrame, ts_col: str, delay: str) -> DataFrame:
-    et = F.col(ts_col).cast("timestamp")
-    return df.withColumn("ev_time", et).withColumn("ev_ms", F.floor(F.unix_micros(et) / 1000).cast("long")) \
-        .withWatermark("ev_time", delay)
+    """Event time = the NTZ wall clock read as UTC; ``ev_ms`` is the same instant in ms."""
+    micros = ntz_micros(ts_col)
+    return df.withColumn("ev_time", F.timestamp_micros(micros)) \
+        .withColumn("ev_ms", F.floor(micros / 1000).cast("long")).withWatermark("ev_time", delay)
 
 
 # ---------------------------------------------------------------- Z05 guarded decrement
@@ -74,8 +84,9 @@ class GuardedDecrement(StatefulProcessor):
                                 "line_no": pdf["line_no"], "supplier_id": pdf["supplier_id"],
                                 "quantity": pdf["quantity"], "start": pdf["start_qty"]})
             self.buffer.appendList(_tuples(buf[_BUF_COLS]))
-            for ms in sorted(set(int(x) for x in pdf["ev_ms"])):
-                self.handle.registerTimer(ms)
+            # one timer per key and batch, at the earliest new row: when it fires, every
+            # buffered row the watermark has passed is processed
+            self.handle.registerTimer(int(pdf["ev_ms"].min()))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -96,6 +107,7 @@ class GuardedDecrement(StatefulProcessor):
         self.buffer.clear()
         if later:
             self.buffer.put(later)
+            self.handle.registerTimer(min(r[0] for r in later))
         yield pd.DataFrame(out, columns=[f.name for f in SETTLE_OUT.fields])
 
     def close(self) -> None:
@@ -152,8 +164,7 @@ class CartExpiry(StatefulProcessor):
                                 "action": pdf["action"], "quantity": pdf["quantity"],
                                 "ttl_ms": pdf["ttl"].astype("int64") * 1000})
             self.buffer.appendList(_tuples(buf[[f.name for f in CART_BUFFER.fields]]))
-            for ms in sorted(set(int(x) for x in pdf["ev_ms"])):
-                self.handle.registerTimer(ms)
+            self.handle.registerTimer(int(pdf["ev_ms"].min()))
         return iter([])
 
     @staticmethod
@@ -190,6 +201,7 @@ class CartExpiry(StatefulProcessor):
         self.buffer.clear()
         if later:
             self.buffer.put(later)
+            self.handle.registerTimer(min(r[0] for r in later))
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in CART_OUT.fields])
 

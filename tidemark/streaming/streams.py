@@ -2,9 +2,9 @@
 
 Sources are Parquet folders read with ``readStream`` (one file per trigger when asked), sinks
 are Parquet folders with a checkpoint under the shared checkpoint folder, so a restarted query
-resumes exactly where it stopped.  Watermarks need TIMESTAMP (with time zone): event times are
-cast to it on the way in and back to TIMESTAMP_NTZ on the way out, a round trip that keeps the
-wall-clock value.
+resumes exactly where it stopped.  Watermarks need TIMESTAMP (an instant): the NTZ wall clock is
+read as a UTC instant on the way in and turned back into the same wall clock on the way out, so
+no session time zone (and no daylight-saving gap) changes a value or a window boundary.
 
 Update-mode aggregates (running totals) cannot append to files; they go through
 ``foreachBatch``, which appends every batch's changed rows tagged with the batch id; the
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.dates import wall_clock, wall_instant
 from tidemark.session import scratch_path
 
 
@@ -38,7 +39,9 @@ def read_source(spark: SparkSession, path: str, schema, files_per_trigger: int |
 
 
 def _with_event_time(df: DataFrame, ts_col: str, delay: str) -> DataFrame:
-    return df.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, delay)
+    """Event time for watermarks: the NTZ wall clock read as UTC (``wall_instant``), so day
+    windows follow wall-clock days whatever the session time zone."""
+    return df.withColumn(ts_col, wall_instant(ts_col)).withWatermark(ts_col, delay)
 
 
 def run_to_files(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> str:
@@ -81,7 +84,7 @@ def ingest_events(stream: DataFrame, key: str = "event_id", ts_col: str = "times
     """Idempotent ingest.  A repeated id within the watermark delay is dropped; state for an
     id is released once the watermark passes its event time plus the delay."""
     return _with_event_time(stream, ts_col, delay).dropDuplicatesWithinWatermark([key]) \
-        .withColumn(ts_col, F.col(ts_col).cast("timestamp_ntz"))
+        .withColumn(ts_col, wall_clock(ts_col))
 
 
 def stream_rollup(stream: DataFrame, delay: str = "1 hour", user_col: str = "user_id") -> DataFrame:
@@ -93,7 +96,7 @@ def stream_rollup(stream: DataFrame, delay: str = "1 hour", user_col: str = "use
         F.sum("duration").cast("long").alias("total_duration"),
         F.sum(F.col("event_value").cast("decimal(18,2)")).alias("total_value"),
         F.approx_count_distinct(user_col, 0.01).alias("unique_users_est"))
-    return agg.select(F.to_date(F.col("w.start").cast("timestamp_ntz")).alias("day"), "country", "device_type",
+    return agg.select(F.to_date(wall_clock("w.start")).alias("day"), "country", "device_type",
                       "event_count", "total_duration", "total_value", "unique_users_est")
 
 
@@ -116,8 +119,8 @@ def stream_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "1
     s = _with_event_time(stream, "ts", delay)
     agg = s.groupBy(F.col(user_col).alias("user_id"), F.session_window("ts", gap).alias("w")).agg(
         F.count(F.lit(1)).alias("events"))
-    return agg.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("session_end"), "events")
+    return agg.select("user_id", wall_clock("w.start").alias("session_start"),
+                      wall_clock("w.end").alias("session_end"), "events")
 
 
 def run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
