@@ -307,6 +307,11 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
 
     cols = [delta_col, start_col] + ([consume_col] if consume_col else []) + ([cap_col] if cap_col else [])
     scan_cols = None if keep is None else [*keep, *cols]
+    if keep is not None:
+        # nothing else is needed past this point: prune before the checkpoint is written
+        order_names = [o for o in order if isinstance(o, str)]
+        if len(order_names) == len(order):
+            df = df.select(*dict.fromkeys([*keys, *order_names, *keep, *cols]))
     return segmented_scan(df, keys, order, summarize, summary_fields, combine, carry_fields, scan,
                           out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols)
 
