@@ -394,3 +394,46 @@ def run_numbers(df: DataFrame, keys: list[str], order: list, value_col: str, out
                           [T.StructField("first_v", vt), T.StructField("last_v", vt), T.StructField("changes", T.LongType())],
                           combine, [T.StructField("_prev", vt), T.StructField("_offset", T.LongType())],
                           scan, out_schema, num_partitions, summary_cols=[value_col])
+
+
+# ------------------------------------------------------------------------- gap sessions
+
+def gap_sessions(df: DataFrame, keys: list[str], order: list, ts_col: str, gap_us: int,
+                 out_col: str = "session_no", num_partitions: int | None = None) -> DataFrame:
+    """Per key, number sessions in ``order``: a row more than ``gap_us`` microseconds after the
+    previous row starts a new session (a row exactly at the gap stays, as Spark's session
+    window).  ``ts_col`` must be TIMESTAMP_NTZ; hot keys are split like the other scans."""
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.LongType())])
+    gap = pd.Timedelta(microseconds=gap_us)
+
+    def summarize(g):
+        ts = g[ts_col]
+        flags = int((ts.diff().iloc[1:] > gap).sum()) if len(g) > 1 else 0
+        return {"first_ts": ts.iloc[0], "last_ts": ts.iloc[-1], "breaks": flags}
+
+    def combine(pdf):
+        count = 1 + int(pdf["breaks"].iloc[0])
+        prev = pdf["last_ts"].iloc[0]
+        rows = []
+        for i in range(1, len(pdf)):
+            rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys},
+                         "_prev_ts": prev, "_offset": count})
+            count += int(pdf["first_ts"].iloc[i] - prev > gap) + int(pdf["breaks"].iloc[i])
+            prev = pdf["last_ts"].iloc[i]
+        return pd.DataFrame(rows)
+
+    def scan(block):
+        grp = np.cumsum(_key_change(block, keys))
+        ts = block[ts_col]
+        prev = ts.groupby(grp).shift(1).fillna(block["_prev_ts"])
+        flag = (prev.isna() | (ts - prev > gap)).to_numpy()
+        offset = block["_offset"].fillna(0).astype("int64").to_numpy()
+        out = block.drop(columns=["_prev_ts", "_offset", PID])
+        out[out_col] = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
+        return out
+
+    tt = T.TimestampNTZType()
+    return segmented_scan(df, keys, order, summarize,
+                          [T.StructField("first_ts", tt), T.StructField("last_ts", tt), T.StructField("breaks", T.LongType())],
+                          combine, [T.StructField("_prev_ts", tt), T.StructField("_offset", T.LongType())],
+                          scan, out_schema, num_partitions, summary_cols=[ts_col])

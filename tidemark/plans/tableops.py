@@ -179,17 +179,22 @@ def a05_a11_type_shares(spark, d):
     return per.select("device_type", "purchases", "error_value", pct(F.col("n"), share_total("n"), 2).alias("pct_of_total"))
 
 
-@register("a09_ordered_array_agg", """
-SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey) AS orders
-FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' GROUP BY 1
+@register("a09_ordered_array_agg", f"""WITH {JOBS},
+ranked AS (SELECT id, row_number() OVER (ORDER BY priority DESC, created_at, id) AS claim_rank
+           FROM jobs WHERE status = 'new')
+SELECT CAST((claim_rank - 1) // 1000 + 1 AS BIGINT) AS worker_id,
+       string_agg(CAST(id AS VARCHAR), ',' ORDER BY claim_rank) AS job_ids
+FROM ranked GROUP BY 1
 """)
 def a09_ordered_array_agg(spark, d):
-    """array_agg(x ORDER BY y) per group, as the sorted list of (y, x) structs."""
-    o = src.load(spark, d, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O"))
-    agg = o.groupBy("o_custkey").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey"))),
-                    lambda e: e["o_orderkey"]).alias("orders"))
-    return agg.select("o_custkey", F.array_join(F.transform("orders", lambda x: x.cast("string")), ",").alias("orders"))
+    """array_agg(job ORDER BY log id) per worker over the claim-all run: each list is bounded by
+    the per-worker batch (1000), as in the reference's per-worker array_agg."""
+    from tidemark.operators import workqueue as wq
+
+    log = wq.claim_log(wq.claim_batch(src.jobs(spark, d), None, 1000), "2024-06-01 12:00:00")
+    dist = wq.worker_distribution(log)
+    return dist.select("worker_id",
+                       F.array_join(F.transform("job_ids", lambda x: x.cast("string")), ",").alias("job_ids"))
 
 
 @register("x01_metrics", """
