@@ -149,3 +149,18 @@ def test_run_numbers_hot_key(spark):
     p["run_e"] = p.groupby("k")["flag"].cumsum()
     m = got.merge(p, on=["k", "seq"])
     assert len(m) == 4000 and (m.run_no == m.run_e).all()
+
+
+def test_gap_sessions_hot_user_matches_lag_form(spark):
+    from tidemark.plans.chunked import gap_sessions
+
+    ev = src.activity_events(spark, SF001).select(
+        (F.col("user_id") % 2).alias("user_id"), "ts", "event_id")  # two users hold everything
+    got = gap_sessions(ev, ["user_id"], ["ts", "event_id"], "ts", 30 * 60 * 1_000_000, num_partitions=8) \
+        .select("event_id", "session_no").toPandas()
+    p = ev.toPandas().sort_values(["user_id", "ts", "event_id"])
+    prev = p.groupby("user_id")["ts"].shift(1)
+    p["flag"] = (prev.isna() | (p.ts - prev > pd.Timedelta(minutes=30))).astype(int)
+    p["s_e"] = p.groupby("user_id")["flag"].cumsum()
+    m = got.merge(p[["event_id", "s_e"]], on="event_id")
+    assert len(m) == len(p) and (m.session_no == m.s_e).all()

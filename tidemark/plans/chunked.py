@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ensure_checkpoint_dir, ship_package
+from tidemark.session import ensure_checkpoint_dir, range_partitions, ship_package
 
 PID = "_pid"
 
@@ -116,7 +116,7 @@ def segmented_scan(
     starts its key) and returns rows of ``out_schema``.
     """
     spark = df.sparkSession
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = range_partitions(df, num_partitions)
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
         .withColumn(PID, F.spark_partition_id())

@@ -18,16 +18,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, range_partitions
 
 # Above this many rows a top-k is ranked with global_rank instead of a single merged limit.
 TOPK_MAX = 100_000
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return range_partitions(df, num_partitions)
 
 
 def global_rank(df: DataFrame, order, rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:

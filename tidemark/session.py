@@ -103,3 +103,24 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
+
+
+# Bytes of input per range partition in the chunked scans and global ranks (one partition's rows
+# of one key may be held in a Python worker at once).
+CHUNK_BYTES_CONF = "tidemark.chunk.bytes"
+DEFAULT_CHUNK_BYTES = 64 * 1024 * 1024  # on-disk (compressed) bytes; several times that in memory
+
+
+def range_partitions(df, num_partitions: int | None = None) -> int:
+    """Partitions for a range cut of ``df``: explicit, else the optimizer's size estimate divided
+    by the chunk size, and never fewer than ``spark.sql.shuffle.partitions``."""
+    if num_partitions:
+        return num_partitions
+    spark = df.sparkSession
+    floor_n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        target = int(spark.conf.get(CHUNK_BYTES_CONF, str(DEFAULT_CHUNK_BYTES)))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # estimate unavailable: the configured shuffle width
+        return floor_n
+    return max(floor_n, min(-(-size // max(target, 1)), 1_000_000))
