@@ -270,8 +270,11 @@ def sessions(events: DataFrame, gap: str = "30 minutes", user_col: str = "user_i
     from tidemark.plans.chunked import gap_sessions
 
     gap_us = int(pd.Timedelta(gap).total_seconds() * 1_000_000)
-    ev = events.select(F.col(user_col).alias("user_id"), "ts", "event_id")
-    numbered = gap_sessions(ev, ["user_id"], ["ts", "event_id"], "ts", gap_us)
+    # Rows with equal ts always share a session, so the event id is only a tie-break that lets a
+    # range cut split a (user, ts) run; it is optional.
+    tie = ["event_id"] if "event_id" in events.columns else []
+    ev = events.select(F.col(user_col).alias("user_id"), "ts", *tie)
+    numbered = gap_sessions(ev, ["user_id"], ["ts", *tie], "ts", gap_us)
     per = numbered.groupBy("user_id", "session_no").agg(
         F.count(F.lit(1)).alias("events"), F.min("ts").alias("first_event"), F.max("ts").alias("last_event"))
     return per.select("user_id", F.col("first_event").alias("session_start"),
