@@ -111,16 +111,38 @@ CHUNK_BYTES_CONF = "tidemark.chunk.bytes"
 DEFAULT_CHUNK_BYTES = 64 * 1024 * 1024  # on-disk (compressed) bytes; several times that in memory
 
 
+def _scan_bytes(plan) -> int | None:
+    """Bytes of the files the plan scans (the optimizer's leaf statistics), or None when a leaf
+    has no size of its own.  A scanned table counts once per scan."""
+    leaves = plan.collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        size = int(str(leaves.apply(i).stats().sizeInBytes()))
+        if size >= 1 << 62:
+            return None
+        total += size
+    return total
+
+
 def range_partitions(df, num_partitions: int | None = None) -> int:
-    """Partitions for a range cut of ``df``: explicit, else the optimizer's size estimate divided
-    by the chunk size, and never fewer than ``spark.sql.shuffle.partitions``."""
+    """Partitions for a range cut of ``df``: explicit, else its bytes divided by the chunk size,
+    and never fewer than ``spark.sql.shuffle.partitions``.
+
+    The bytes are the smaller of the optimizer's estimate for the whole plan and the bytes of the
+    files it scans.  Join estimates multiply row counts and can exceed the input by orders of
+    magnitude (a join with a short exploded series looks like a cross product), which would cut
+    the table into far too many tiny pieces."""
     if num_partitions:
         return num_partitions
     spark = df.sparkSession
     floor_n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     try:
         target = int(spark.conf.get(CHUNK_BYTES_CONF, str(DEFAULT_CHUNK_BYTES)))
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        size = int(str(plan.stats().sizeInBytes()))
+        scanned = _scan_bytes(plan)
+        if scanned is not None:
+            size = min(size, scanned)
     except Exception:  # estimate unavailable: the configured shuffle width
         return floor_n
     return max(floor_n, min(-(-size // max(target, 1)), 1_000_000))
