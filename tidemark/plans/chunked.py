@@ -101,6 +101,7 @@ def segmented_scan(
     num_partitions: int | None = None,
     summary_cols: list[str] | None = None,
     scan_cols: list[str] | None = None,
+    combine_batches: bool = False,
 ) -> DataFrame:
     """Run an ordered scan per key over range-partitioned chunks (see the module docstring).
 
@@ -114,6 +115,10 @@ def segmented_scan(
     chunks that do not start the key.
     ``scan(block)`` gets whole key groups in order, with the carry columns (null when the chunk
     starts its key) and returns rows of ``out_schema``.
+
+    ``combine_batches=True``: ``combine`` instead takes an iterator of one key's summary batches in
+    partition order and yields carry frames.  A key spanning many partitions is then never held
+    whole in one Python worker, which matters when a summary is large (the fold tables).
     """
     spark = df.sparkSession
     n = range_partitions(df, num_partitions)
@@ -161,7 +166,28 @@ def segmented_scan(
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in carry_schema.fields})
         return combine(pdf)
 
-    carries = summaries.groupBy(*keys).applyInPandas(combine_key, carry_schema)
+    if combine_batches:
+        def combine_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in combine(_in_pid_order(batches)):
+                if len(pdf):
+                    yield pdf
+
+        def _in_pid_order(batches):
+            last = -1
+            for pdf in batches:
+                pids = pdf[PID].to_numpy()
+                if len(pids) and (pids[0] <= last or (np.diff(pids) <= 0).any()):
+                    raise RuntimeError("summaries of a key arrived out of partition order")
+                if len(pids):
+                    last = int(pids[-1])
+                    yield pdf.reset_index(drop=True)
+
+        # Hash-partitioned on the keys and sorted by (keys, partition): the grouped operator's
+        # own requirements are met by this layout, so each key's batches stream in partition order.
+        ordered = summaries.repartition(*keys).sortWithinPartitions(*keys, PID)
+        carries = ordered.groupBy(*keys).applyInPandas(combine_stream, carry_schema)
+    else:
+        carries = summaries.groupBy(*keys).applyInPandas(combine_key, carry_schema)
     # at most two rows per partition: a proven bound for the broadcast
     joined = ranged.join(F.broadcast(carries), [PID, *keys], "left").sortWithinPartitions(*sort_cols)
     if scan_cols is not None:
@@ -273,15 +299,20 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
     summary_fields = [T.StructField("start", T.LongType()), T.StructField("net", T.LongType()),
                       T.StructField("domain", T.LongType()), T.StructField("table", T.ArrayType(T.LongType()))]
 
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        b = int(pdf["start"].iloc[0])
-        rows = []
-        for i in range(len(pdf)):
-            if i > 0:
-                rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys}, "_carry": b})
-            dom = int(pdf["domain"].iloc[i])
-            b = int(pdf["table"].iloc[i][b]) if b < dom else b + int(pdf["net"].iloc[i])
-        return pd.DataFrame(rows)
+    def combine(batches):
+        # one key's edge summaries, batch by batch in partition order; only the balance is kept
+        b = None
+        for pdf in batches:
+            rows = []
+            for i in range(len(pdf)):
+                if b is None:
+                    b = int(pdf["start"].iloc[i])
+                else:
+                    rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys}, "_carry": b})
+                dom = int(pdf["domain"].iloc[i])
+                b = int(pdf["table"].iloc[i][b]) if b < dom else b + int(pdf["net"].iloc[i])
+            if rows:
+                yield pd.DataFrame(rows)
 
     carry_fields = [T.StructField("_carry", T.LongType())]
 
@@ -313,7 +344,8 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
         if len(order_names) == len(order):
             df = df.select(*dict.fromkeys([*keys, *order_names, *keep, *cols]))
     return segmented_scan(df, keys, order, summarize, summary_fields, combine, carry_fields, scan,
-                          out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols)
+                          out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols,
+                          combine_batches=True)
 
 
 # ---------------------------------------------------------------------------- running sum
