@@ -177,3 +177,24 @@ def test_range_cut_follows_scanned_bytes_not_join_estimate(spark):
     r = src.stock_requests(spark, SF01).join(s, ["warehouse_id", "product_id"])
     floor_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert range_partitions(r) == floor_n
+
+
+def test_guarded_fold_combine_streams_many_batches_of_one_key(spark):
+    """The hot key spans 16 partitions and its edge summaries reach the combine two rows per
+    Arrow batch: the streamed combine must carry the balance across batches, in partition order."""
+    r = _hot_requests(spark)
+    keys = ["warehouse_id", "product_id"]
+    order = ["ts", "order_id", "line_no", "supplier_id"]
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "2")
+    try:
+        got = guarded_fold(r, keys, order, "_delta", "_start", cap_col="_start", num_partitions=16).toPandas()
+    finally:
+        spark.conf.set(conf, before)
+    exp = brute_fold(r.toPandas(), keys, order, "_delta", "_start")
+    ids = ["order_id", "line_no", "supplier_id", "part", "quantity", "ts"]
+    m = got.merge(exp, on=ids, suffixes=("", "_e"))
+    assert len(m) == len(exp) == len(got)
+    assert (m.accepted == m.accepted_e).all()
+    assert (m.balance_after == m.balance_after_e).all()
