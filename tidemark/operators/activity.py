@@ -128,14 +128,19 @@ def retention(events: DataFrame, weeks: int = 3, user_col: str = "user_id") -> D
     """Weekly cohorts (week of first activity, Sunday weeks): size, users active in
     weeks 0..n after, and percentages for weeks 1..n.
 
-    Per-user week sets are small (one row per active week), so the cohort week is a window min
-    over them; the final aggregate is per cohort.
+    One shuffle on the user: each user's set of active weeks is collected with map-side partial
+    aggregation.  The set holds at most one entry per calendar week of the data, whatever the
+    user's row count, so a user with a third of all events still sends a few dozen values.  The
+    cohort week is the set's minimum; the final aggregate is per cohort.
     """
-    wk = events.select(F.col(user_col).alias("user_id"), week_start_sunday("ts").alias("activity_week")).distinct()
-    wk = wk.withColumn("cohort_week", F.min("activity_week").over(Window.partitionBy("user_id")))
-    offset = (F.datediff("activity_week", "cohort_week") / 7).cast("int")
-    aggs = [F.count_if(offset == 0).alias("cohort_size")]
-    aggs += [F.count_if(offset == i).alias(f"week_{i}") for i in range(weeks + 1)]
+    week = week_start_sunday("ts")
+    per_user = events.groupBy(F.col(user_col).alias("user_id")).agg(F.collect_set(week).alias("_weeks"))
+    wk = per_user.select(F.array_min("_weeks").alias("cohort_week"), "_weeks")
+    # offsets of the active weeks from the cohort week (whole weeks: all dates are Sundays)
+    wk = wk.select("cohort_week", F.transform(
+        "_weeks", lambda w: (F.datediff(w, F.col("cohort_week")) / 7).cast("int")).alias("_off"))
+    aggs = [F.count(F.lit(1)).alias("cohort_size")]
+    aggs += [F.count_if(F.array_contains("_off", i)).alias(f"week_{i}") for i in range(weeks + 1)]
     per = wk.groupBy("cohort_week").agg(*aggs)
     cols = ["cohort_week", "cohort_size"] + [f"week_{i}" for i in range(weeks + 1)]
     cols += [pct(f"week_{i}", "cohort_size", 1).alias(f"retention_w{i}_pct") for i in range(1, weeks + 1)]
