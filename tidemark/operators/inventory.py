@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.chunked import PID, _key_change, guarded_fold, running_sum, segmented_scan
+from tidemark.plans.chunked import PID, Combine, _key_change, guarded_fold, running_sum, segmented_scan
 
 STOCK_KEYS = ["warehouse_id", "product_id"]
 
@@ -149,20 +149,17 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
                       T.StructField("last_exp", T.TimestampNTZType()),
                       T.StructField("flags_after", T.LongType())]
 
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        prev_exp = None
-        count = 0
-        rows = []
-        for i in range(len(pdf)):
-            if i > 0:
-                rows.append({PID: int(pdf[PID].iloc[i]), user: pdf[user].iloc[i],
-                             "_prev_exp": prev_exp, "_offset": count})
-            first = pdf["first_res_ts"].iloc[i]
-            if pd.notna(first):
-                new_first = prev_exp is None or pd.isna(prev_exp) or first >= prev_exp
-                count += int(new_first) + int(pdf["flags_after"].iloc[i])
-                prev_exp = pdf["last_exp"].iloc[i]
-        return pd.DataFrame(rows)
+    def step(st, r):
+        # st: (expiry of the live cart or None, carts so far)
+        prev_exp, count = st
+        first = r["first_res_ts"]
+        if pd.isna(first):
+            return st
+        new_first = prev_exp is None or pd.isna(prev_exp) or first >= prev_exp
+        return r["last_exp"], count + int(new_first) + int(r["flags_after"])
+
+    combine = Combine(first=lambda r: step((None, 0), r), step=step,
+                      carry=lambda st: {"_prev_exp": st[0], "_offset": st[1]})
 
     carry_fields = [T.StructField("_prev_exp", T.TimestampNTZType()), T.StructField("_offset", T.LongType())]
 

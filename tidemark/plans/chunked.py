@@ -12,8 +12,9 @@ so a key holding a third of the table becomes one task holding a third of the ta
    ``spark.checkpoint.dir`` (the range sampler is seeded per RDD, so the cut must be fixed once).
 2. Only the first and the last key of a partition can continue in a neighbour, so per partition
    at most two *edge chunks* are summarised (``summarize``); interior keys need nothing.
-3. Summaries of one key are combined in partition order (``combine``) into the state each chunk
-   starts from.  This table has at most two rows per partition, which bounds its broadcast.
+3. Summaries of one key are combined in partition order into the state each chunk starts from.
+   They stream to one Python function per key in Arrow batches and only the running state is
+   kept, so a key spanning many partitions is never held whole.  This table has at most two rows per partition, which bounds its broadcast.
 4. Every partition is scanned once more with its carried state (``scan``), in Arrow batches.
 
 Python runs inside tasks on Arrow batches; Spark does the partitioning, sorting and joins.
@@ -23,6 +24,7 @@ Memory per task is one partition's rows of a single key at most.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -94,14 +96,13 @@ def segmented_scan(
     order: list,
     summarize: Callable[[pd.DataFrame], dict],
     summary_fields: list[T.StructField],
-    combine: Callable[[pd.DataFrame], pd.DataFrame],
+    combine: Combine,
     carry_fields: list[T.StructField],
     scan: Callable[[pd.DataFrame], pd.DataFrame],
     out_schema: T.StructType,
     num_partitions: int | None = None,
     summary_cols: list[str] | None = None,
     scan_cols: list[str] | None = None,
-    combine_batches: bool = False,
 ) -> DataFrame:
     """Run an ordered scan per key over range-partitioned chunks (see the module docstring).
 
@@ -110,15 +111,11 @@ def segmented_scan(
     the same for the final scan (order columns are only needed by the sort, which is done).
 
     ``summarize(chunk)`` -> dict of ``summary_fields`` for one edge chunk (rows of one key).
-    ``combine(summaries)`` gets one key's summaries sorted by partition (columns ``_pid``,
-    keys, summary fields) and returns carry rows (``_pid``, keys, ``carry_fields``) for the
-    chunks that do not start the key.
+    ``combine`` is a ``Combine(first, step, carry)``: over one key's summaries in partition order,
+    ``first(row)`` is the state after the key's first chunk, ``step(state, row)`` the state after
+    a later chunk, and ``carry(state)`` the carry columns of the chunk that follows ``state``.
     ``scan(block)`` gets whole key groups in order, with the carry columns (null when the chunk
     starts its key) and returns rows of ``out_schema``.
-
-    ``combine_batches=True``: ``combine`` instead takes an iterator of one key's summary batches in
-    partition order and yields carry frames.  A key spanning many partitions is then never held
-    whole in one Python worker, which matters when a summary is large (the fold tables).
     """
     spark = df.sparkSession
     n = range_partitions(df, num_partitions)
@@ -160,34 +157,13 @@ def segmented_scan(
         edge_rows = edge_rows.select(PID, *keys, *extra)
     summaries = edge_rows.mapInPandas(edge_summaries, summary_schema)
 
-    def combine_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(PID, kind="stable").reset_index(drop=True)
-        if len(pdf) < 2:
-            return pd.DataFrame({f.name: pd.Series(dtype=object) for f in carry_schema.fields})
-        return combine(pdf)
-
-    if combine_batches:
-        def combine_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in combine(_in_pid_order(batches)):
-                if len(pdf):
-                    yield pdf
-
-        def _in_pid_order(batches):
-            last = -1
-            for pdf in batches:
-                pids = pdf[PID].to_numpy()
-                if len(pids) and (pids[0] <= last or (np.diff(pids) <= 0).any()):
-                    raise RuntimeError("summaries of a key arrived out of partition order")
-                if len(pids):
-                    last = int(pids[-1])
-                    yield pdf.reset_index(drop=True)
-
-        # Hash-partitioned on the keys and sorted by (keys, partition): the grouped operator's
-        # own requirements are met by this layout, so each key's batches stream in partition order.
-        ordered = summaries.repartition(*keys).sortWithinPartitions(*keys, PID)
-        carries = ordered.groupBy(*keys).applyInPandas(combine_stream, carry_schema)
-    else:
-        carries = summaries.groupBy(*keys).applyInPandas(combine_key, carry_schema)
+    def combine_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _carry_stream(_in_pid_order(batches), keys, combine)
+
+    # Hash-partitioned on the keys and sorted by (keys, partition): the grouped operator's own
+    # requirements are met by this layout, so each key's batches stream in partition order.
+    ordered = summaries.repartition(*keys).sortWithinPartitions(*keys, PID)
+    carries = ordered.groupBy(*keys).applyInPandas(combine_stream, carry_schema)
     # at most two rows per partition: a proven bound for the broadcast
     joined = ranged.join(F.broadcast(carries), [PID, *keys], "left").sortWithinPartitions(*sort_cols)
     if scan_cols is not None:
@@ -203,6 +179,41 @@ def segmented_scan(
     return joined.mapInPandas(scan_blocks, out_schema)
 
 
+class Combine(NamedTuple):
+    """A sequential combine of one key's chunk summaries (see ``segmented_scan``)."""
+    first: Callable[[dict], object]
+    step: Callable[[object, dict], object]
+    carry: Callable[[object], dict]
+
+
+def _in_pid_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    last = -1
+    for pdf in batches:
+        pids = pdf[PID].to_numpy()
+        if len(pids) == 0:
+            continue
+        if pids[0] <= last or (np.diff(pids) <= 0).any():
+            raise RuntimeError("summaries of a key arrived out of partition order")
+        last = int(pids[-1])
+        yield pdf
+
+
+def _carry_stream(batches: Iterator[pd.DataFrame], keys: list[str], c: Combine) -> Iterator[pd.DataFrame]:
+    """Carry rows for every chunk but a key's first, one batch at a time."""
+    started = False
+    state = None
+    for pdf in batches:
+        out = []
+        for r in pdf.to_dict("records"):
+            if started:
+                out.append({PID: int(r[PID]), **{k: r[k] for k in keys}, **c.carry(state)})
+                state = c.step(state, r)
+            else:
+                state, started = c.first(r), True
+        if out:
+            yield pd.DataFrame(out)
+
+
 def _summary_frame(g: pd.DataFrame, summarize, keys, schema) -> pd.DataFrame:
     s = summarize(g)
     row = {PID: int(g[PID].iloc[0])}
@@ -299,20 +310,11 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
     summary_fields = [T.StructField("start", T.LongType()), T.StructField("net", T.LongType()),
                       T.StructField("domain", T.LongType()), T.StructField("table", T.ArrayType(T.LongType()))]
 
-    def combine(batches):
-        # one key's edge summaries, batch by batch in partition order; only the balance is kept
-        b = None
-        for pdf in batches:
-            rows = []
-            for i in range(len(pdf)):
-                if b is None:
-                    b = int(pdf["start"].iloc[i])
-                else:
-                    rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys}, "_carry": b})
-                dom = int(pdf["domain"].iloc[i])
-                b = int(pdf["table"].iloc[i][b]) if b < dom else b + int(pdf["net"].iloc[i])
-            if rows:
-                yield pd.DataFrame(rows)
+    def apply(b: int, r: dict) -> int:
+        return int(r["table"][b]) if b < int(r["domain"]) else b + int(r["net"])
+
+    combine = Combine(first=lambda r: apply(int(r["start"]), r), step=apply,
+                      carry=lambda b: {"_carry": b})
 
     carry_fields = [T.StructField("_carry", T.LongType())]
 
@@ -344,8 +346,7 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
         if len(order_names) == len(order):
             df = df.select(*dict.fromkeys([*keys, *order_names, *keep, *cols]))
     return segmented_scan(df, keys, order, summarize, summary_fields, combine, carry_fields, scan,
-                          out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols,
-                          combine_batches=True)
+                          out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols)
 
 
 # ---------------------------------------------------------------------------- running sum
@@ -360,13 +361,8 @@ def running_sum(df: DataFrame, keys: list[str], order: list, value_col: str, out
 
     vt = df.schema[value_col].dataType
 
-    def combine(pdf):
-        acc = pdf["total"].iloc[0]
-        rows = []
-        for i in range(1, len(pdf)):
-            rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys}, "_carry": acc})
-            acc = acc + pdf["total"].iloc[i]
-        return pd.DataFrame(rows)
+    combine = Combine(first=lambda r: r["total"], step=lambda acc, r: acc + r["total"],
+                      carry=lambda acc: {"_carry": acc})
 
     def scan(block):
         change = _key_change(block, keys)
@@ -397,16 +393,10 @@ def run_numbers(df: DataFrame, keys: list[str], order: list, value_col: str, out
         changes = int((v[1:] != v[:-1]).sum()) if len(v) > 1 else 0
         return {"first_v": v[0], "last_v": v[-1], "changes": changes}
 
-    def combine(pdf):
-        count = 1 + int(pdf["changes"].iloc[0])
-        prev = pdf["last_v"].iloc[0]
-        rows = []
-        for i in range(1, len(pdf)):
-            rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys},
-                         "_prev": prev, "_offset": count})
-            count += int(pdf["first_v"].iloc[i] != prev) + int(pdf["changes"].iloc[i])
-            prev = pdf["last_v"].iloc[i]
-        return pd.DataFrame(rows)
+    # state: (runs so far, last value)
+    combine = Combine(first=lambda r: (1 + int(r["changes"]), r["last_v"]),
+                      step=lambda st, r: (st[0] + int(r["first_v"] != st[1]) + int(r["changes"]), r["last_v"]),
+                      carry=lambda st: {"_prev": st[1], "_offset": st[0]})
 
     def scan(block):
         grp = np.cumsum(_key_change(block, keys))
@@ -443,16 +433,10 @@ def gap_sessions(df: DataFrame, keys: list[str], order: list, ts_col: str, gap_u
         flags = int((ts.diff().iloc[1:] > gap).sum()) if len(g) > 1 else 0
         return {"first_ts": ts.iloc[0], "last_ts": ts.iloc[-1], "breaks": flags}
 
-    def combine(pdf):
-        count = 1 + int(pdf["breaks"].iloc[0])
-        prev = pdf["last_ts"].iloc[0]
-        rows = []
-        for i in range(1, len(pdf)):
-            rows.append({PID: int(pdf[PID].iloc[i]), **{k: pdf[k].iloc[i] for k in keys},
-                         "_prev_ts": prev, "_offset": count})
-            count += int(pdf["first_ts"].iloc[i] - prev > gap) + int(pdf["breaks"].iloc[i])
-            prev = pdf["last_ts"].iloc[i]
-        return pd.DataFrame(rows)
+    # state: (sessions so far, last ts)
+    combine = Combine(first=lambda r: (1 + int(r["breaks"]), r["last_ts"]),
+                      step=lambda st, r: (st[0] + int(r["first_ts"] - st[1] > gap) + int(r["breaks"]), r["last_ts"]),
+                      carry=lambda st: {"_prev_ts": st[1], "_offset": st[0]})
 
     def scan(block):
         grp = np.cumsum(_key_change(block, keys))
