@@ -78,6 +78,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def write_shared_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write ``data`` to ``path`` with the Hadoop file system of its scheme (local, HDFS, object
+    stores), creating parent folders."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -87,20 +100,22 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
+    import io
     import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    out_dir = scratch_path(spark, "pyfiles")
-    os.makedirs(out_dir, exist_ok=True)
-    path = os.path.join(out_dir, "tidemark.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, dirnames, filenames in os.walk(pkg_dir):
             dirnames[:] = [x for x in dirnames if x != "__pycache__"]
             for f in filenames:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
+    # the shared folder may be on a remote file system: write through Hadoop, not the local disk
+    path = os.path.join(scratch_path(spark, "pyfiles"), "tidemark.zip")
+    write_shared_file(spark, path, buf.getvalue())
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
 
