@@ -67,3 +67,22 @@ def test_activity_adapter_prunes_columns(spark):
     p = plan(df)
     assert "ReadSchema: struct<ts:timestamp_ntz>" in p
     assert "GreaterThanOrEqual(ts," in p
+
+
+def test_u07_retention_shuffles_the_events_once(spark):
+    """Per-user week sets: one exchange on the user, one small one on the cohort, no sort."""
+    p = plan(QUERIES["u07_retention"](spark, SF01))
+    assert p.count("Exchange hashpartitioning") == 2
+    assert "Window" not in p and "Sort [" not in p
+
+
+def test_shared_file_write_reads_back(spark):
+    import os
+
+    from tidemark.session import scratch_path, write_shared_file
+
+    path = os.path.join(scratch_path(spark, "bytes"), "deep", "blob.bin")
+    data = bytes(range(256)) * 10
+    write_shared_file(spark, path, data)
+    with open(path, "rb") as f:
+        assert f.read() == data
