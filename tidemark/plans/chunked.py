@@ -246,7 +246,7 @@ def fold_table(deltas: np.ndarray, consume: np.ndarray, domain: int) -> np.ndarr
     if domain <= 0:
         return np.zeros(0, dtype=np.int64)
     u = np.arange(domain, dtype=np.int64)
-    inv = np.arange(domain, dtype=np.int64)
+    inv = None  # start balance -> index into u; the identity until the first compression
     since = 0
     for d, c in zip(deltas.tolist(), consume.tolist()):
         if d >= 0:
@@ -257,9 +257,9 @@ def fold_table(deltas: np.ndarray, consume: np.ndarray, domain: int) -> np.ndarr
             since += 1
             if since >= 32 and u.size > 64:
                 u, back = np.unique(u, return_inverse=True)
-                inv = back[inv]
+                inv = back if inv is None else back[inv]
                 since = 0
-    return u[inv]
+    return u if inv is None else u[inv]
 
 
 def fold_rows(deltas: list, consume: list, start: int) -> tuple[list, list]:
