@@ -63,3 +63,16 @@ def test_chained_chunk_tables_equal_one_fold(ds, parts, start):
         b = int(table[b]) if b < t else b + net
     _, bal = fold_rows(d.tolist(), c.tolist(), start)
     assert b == bal[-1]
+
+
+def test_fold_table_through_several_compressions():
+    """Long take-only runs compress the reachable values several times (every 32 takes)."""
+    rng = np.random.default_rng(7)
+    for n, domain in [(100, 300), (250, 1000)]:
+        d = -rng.integers(1, 9, size=n).astype(np.int64)
+        d[::17] = 5  # some adds in between
+        c = rng.random(n) > 0.1
+        table = fold_table(d, c, domain)
+        for b in range(domain):
+            _, bal = fold_rows(d.tolist(), c.tolist(), b)
+            assert table[b] == bal[-1]
