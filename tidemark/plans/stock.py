@@ -198,8 +198,16 @@ def _cancelled(spark, d):
     return inv.apply_cancels(_assigned(spark, d))
 
 
+def _cart_state(spark, d):
+    """(cancelled, lines), built on one cart assignment.  Each chunked scan cuts and checkpoints
+    its input when it is built, so the assignment is built once and shared by both branches."""
+    assigned = _assigned(spark, d)
+    cancelled = inv.apply_cancels(assigned)
+    return cancelled, inv.cart_lines(cancelled, inv.carts(assigned, AS_OF))
+
+
 def _lines(spark, d):
-    return inv.cart_lines(_cancelled(spark, d), _cart_table(spark, d))
+    return _cart_state(spark, d)[1]
 
 
 @register("i05_assign_carts", f"""WITH {CART}
@@ -239,7 +247,7 @@ SELECT COALESCE(c.product_id, e.product_id) AS product_id, COALESCE(cancelled_un
 FROM c FULL JOIN e ON c.product_id = e.product_id
 """)
 def i06_returned_stock(spark, d):
-    return inv.returned_stock(_cancelled(spark, d), _lines(spark, d))
+    return inv.returned_stock(*_cart_state(spark, d))
 
 
 @register("i07_cancel_all", f"""WITH RECURSIVE {CANCELS},
