@@ -310,6 +310,30 @@ def stock_drift(stored: DataFrame, projected: DataFrame, keys=STOCK_KEYS) -> Dat
         .withColumn("drift", F.coalesce("stored", F.lit(0)) - F.coalesce("projected", F.lit(0)))
 
 
+def log_drift(initial: DataFrame, events: DataFrame, keys=STOCK_KEYS, qty: str = "quantity",
+              order_col: str = "delivery") -> DataFrame:
+    """I13 in one pass over the event log: the stored counter (every delivery applied) against the
+    projection (each event id once, its first delivery), for the keys of ``initial``.
+
+    Redeliveries are copies of their event, so an event id has one key.  One aggregate per
+    (event id, key) gives both the sum over deliveries and the first delivery's quantity; a second,
+    per key, adds them up.  The log is scanned once, and no full outer join of two stock tables is
+    needed.  Same result as ``stock_drift(restock(initial, events), project_stock(initial,
+    append_events(None, events)))``.
+    """
+    keys = list(keys)
+    q = F.col(qty).cast("long")
+    per_event = events.groupBy("event_id", *keys).agg(
+        F.sum(q).alias("_all"), F.min_by(q, F.col(order_col)).alias("_once"))
+    per_key = per_event.groupBy(*keys).agg(F.sum("_all").alias("_all"), F.sum("_once").alias("_once"))
+    j = initial.select(*keys, F.col("quantity").cast("long").alias("_q0")).join(per_key, keys, "left")
+    stored = F.col("_q0") + F.coalesce(F.col("_all"), F.lit(0))
+    projected = F.col("_q0") + F.coalesce(F.col("_once"), F.lit(0))
+    out = j.select(*keys, stored.alias("stored"), projected.alias("projected"))
+    return out.filter(~F.col("stored").eqNullSafe(F.col("projected"))) \
+        .withColumn("drift", F.coalesce("stored", F.lit(0)) - F.coalesce("projected", F.lit(0)))
+
+
 def movements(events: DataFrame, lo, hi, product_id=None, keys=STOCK_KEYS) -> DataFrame:
     """Movement history over [lo, hi) with the running balance change per key (hot keys
     are split by the chunked scan, not sorted on one task)."""

@@ -394,9 +394,8 @@ WHERE stored <> projected
 def i13_stock_drift(spark, d):
     """Stored stock is a counter that applied every delivery (redeliveries twice); the
     projection applies each event once.  Drift = the redelivered quantities."""
-    stored = inv.restock(src.warehouse_stock(spark, d), src.inventory_events(spark, d))
-    projected = inv.project_stock(src.warehouse_stock(spark, d), _deduped(spark, d))
-    return inv.stock_drift(stored, projected).select("warehouse_id", "product_id", "stored", "projected", "drift")
+    out = inv.log_drift(src.warehouse_stock(spark, d), src.inventory_events(spark, d))
+    return out.select("warehouse_id", "product_id", "stored", "projected", "drift")
 
 
 MOVE_LO, MOVE_HI = "1998-01-01 00:00:00", "1999-01-01 00:00:00"
