@@ -408,8 +408,12 @@ SELECT event_id, warehouse_id, product_id, timestamp, quantity,
 FROM uniq WHERE timestamp >= TIMESTAMP '{MOVE_LO}' AND timestamp < TIMESTAMP '{MOVE_HI}'
 """)
 def i14_movements(spark, d):
-    out = inv.movements(_deduped(spark, d), MOVE_LO, MOVE_HI)
-    return out.select("event_id", "warehouse_id", "product_id", "timestamp", "quantity", "running_change")
+    # only the reported columns enter the chunked scan: its input is cut and checkpointed when it is
+    # built, so a later projection could not prune it
+    cols = ["event_id", "warehouse_id", "product_id", "timestamp", "quantity"]
+    events = inv.append_events(None, src.inventory_events(spark, d).select(*cols, "delivery"))
+    out = inv.movements(events.select(*cols), MOVE_LO, MOVE_HI)
+    return out.select(*cols, "running_change")
 
 
 SET_CHANGES = """
