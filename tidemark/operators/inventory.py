@@ -45,13 +45,13 @@ def settle(stock: DataFrame, requests: DataFrame, order: list, keys=STOCK_KEYS,
 
 
 def final_stock(stock: DataFrame, outcomes: DataFrame, keys=STOCK_KEYS, qty: str = "quantity",
-                consume_col: str | None = None) -> DataFrame:
+                consume_col: str | None = None, requested_only: bool = False) -> DataFrame:
     """Stock after settlement = initial - accepted (consumed) requests; keys without requests keep
-    their stock."""
+    their stock, or are left out with ``requested_only``.  The outcomes are aggregated once."""
     keys = list(keys)
     took = F.col("accepted") if consume_col is None else (F.col("accepted") & F.col(consume_col))
-    used = outcomes.filter(took).groupBy(*keys).agg(F.sum(F.col(qty).cast("long")).alias("_used"))
-    return stock.join(used, keys, "left").select(
+    used = outcomes.groupBy(*keys).agg(F.sum(F.when(took, F.col(qty).cast("long"))).alias("_used"))
+    return stock.join(used, keys, "inner" if requested_only else "left").select(
         *keys, (F.col("quantity") - F.coalesce(F.col("_used"), F.lit(0))).alias("quantity"))
 
 

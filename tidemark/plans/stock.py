@@ -66,10 +66,7 @@ SELECT u.warehouse_id, u.product_id, {STOCK0} - COALESCE(u.used, 0) AS quantity
 FROM used u
 """)
 def i01_final_stock(spark, d):
-    out = _settled(spark, d)
-    used = out.select("warehouse_id", "product_id").distinct()
-    fs = inv.final_stock(src.warehouse_stock(spark, d), out)
-    return fs.join(used, inv.STOCK_KEYS, "left_semi")
+    return inv.final_stock(src.warehouse_stock(spark, d), _settled(spark, d), requested_only=True)
 
 
 @register("i01_settle_totals", f"""WITH RECURSIVE {REQ}, {FOLD_ALL}
