@@ -1,19 +1,12 @@
-import os
-import sys
+"""Fixtures of these tests (not a conftest: the name would hide that of the folder above)."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-TINY = "/root/testdata/sf0.001"
-
 
 @pytest.fixture
 def docs(spark):
-    def make(rows, extra=True):
+    def make(rows):
         """Rows (doc_id, text), with columns whose names clash with the operators' own."""
-        if not extra:
-            return spark.createDataFrame(rows, "doc_id long, text string")
         return spark.createDataFrame([(*r, "x", 7, None) for r in rows],
                                      "doc_id long, text string, id string, h int, pos string")
     return make

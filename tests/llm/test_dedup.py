@@ -6,6 +6,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs  # noqa: F401
 from tidemark.llm import exact_dedup, simhash, suffix_dedup
 
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

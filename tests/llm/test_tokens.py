@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
+from llm_fixtures import docs  # noqa: F401
 from tidemark.llm import bpe, packing
 
 ODD = [None, "", " ", "a", "Hello  World's\n\n  x", "tabs\t \there \n \n end ", "end  ", " lead", "x<|endoftext|> y <|startoftext|>z",

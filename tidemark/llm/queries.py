@@ -66,7 +66,7 @@ QUERIES = {f.__name__: f for f in (op1_packing, op2_suffix_dedup, op3_paragraph_
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _FIVE = "('0x' || substr(sha1(coalesce(html, '')), 5 * i + 1, 5))::BIGINT"  # 20 bits: four base-32 digits
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({five} >> {shift}) & 31)::INTEGER + 1, 1)"
-_BASE32 = ("array_to_string(list_transform(range(0, 8), i -> "
+_BASE32 = ("array_to_string(list_transform(range(0, 8), lambda i: "
            + " || ".join(_DIGIT.format(five=_FIVE, shift=s) for s in (15, 10, 5, 0)) + "), '')")
 
 SQL = {

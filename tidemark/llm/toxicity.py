@@ -1,12 +1,13 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-1. Counts.  Labelled documents (a training part of them) give, for every feature of a token, the
-   number of toxic and of clean documents that hold it.  A token's features are its lower-case
-   form and its first 3, 4 and 5 letters, hashed into ``BUCKETS`` counters, so the model has a
-   fixed size whatever the vocabulary.  Each batch adds up its own counters first.
-2. Weights.  Log-odds under an informative Dirichlet prior (the pooled counts, scaled); a feature
-   weighs nothing unless its z-score passes ``Z``.  A token takes the weight of its feature with
-   the largest z-score, less a drift that makes the expected score of clean text negative.
+1. Counts.  A bounded sample of the labelled training part, ``SAMPLE`` rows of each label by a
+   hash of their ids, gives for every word the number of toxic and of clean documents with it.
+   Words in fewer than ``KNOWN`` documents are pooled by their first 5 and 4 letters, so that a
+   stem whose every form is rare is learnt from all of them, and common words say nothing about
+   unseen words of the same beginning.
+2. Weights.  Log-odds under an informative Dirichlet prior (the pooled counts, scaled); a word or
+   beginning weighs nothing unless its z-score passes ``Z``.  A token takes the weight of the
+   most specific of these that is known, less a drift that makes clean text score below zero.
 3. Segments.  A linear-time scan finds all maximal-scoring segments of a document.
 4. Calibration.  Segment scores of clean training documents have an exponential tail; its fitted
    rate and density give every segment an expected number of chance occurrences K n exp(-rate S)
@@ -14,7 +15,8 @@
    significant segments; a logistic curve, fitted on a fixed-size histogram of the training
    documents' evidence, turns it into a probability.
 
-Documents are scanned once for counts (those with a training label) and once for segments.
+Documents are scanned for the sample's counts (its ids are at most 2 x ``SAMPLE``, so they are
+broadcast and no text is shuffled) and once for segments.  Tail and curve use all training rows.
 
 Defined results: null or empty text has no segment and gets the curve's value at no evidence; a
 null id is scored and is no training row; repeated rows each get their score; without both toxic
@@ -29,58 +31,72 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import prepare, rows_in, saved
 
-BUCKETS = 1 << 18
-PRIOR = 1000.0     # pseudo-documents of the Dirichlet prior
-Z = 4.0
+SAMPLE = 10_000    # labelled rows of each label that words are counted in
+KNOWN = 5          # documents of the sample from which a word stands for itself
+BEGINNINGS = (5, 4)
+PRIOR = 300.0      # pseudo-documents of the Dirichlet prior
+Z = 3.0
 CAP = 6.0          # bound of a token's log-odds
-DRIFT = 0.5
+DRIFT = 1.0
 SIGNIFICANT = 0.05  # chance occurrences of a segment, at most
-STRIP = ".,;:!?\"'()[]{}*_-"
+STRIP = ".,;:!?\"'()[]{}*_-#$%&"
 
 
 def tokens(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def features(token: str) -> list[int]:
-    """Counters of a token."""
-    word = token.strip(STRIP)
-    names = ["=" + word] + ["^" + word[:k] for k in (3, 4, 5) if len(word) >= k]
-    return [xxhash.xxh64_intdigest(n) & (BUCKETS - 1) for n in names]
-
-
-def count_features(labelled: DataFrame) -> DataFrame:
-    """(bucket, toxic, clean): documents of ``labelled(text, toxic)`` per feature."""
+def count_words(sample: DataFrame) -> DataFrame:
+    """(word, t, c): toxic and clean documents of ``sample(text, toxic)`` per word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, labels in rows_in(batches, "text", "toxic"):
             seen = (Counter(), Counter())
             for text, toxic in zip(texts, labels):
-                seen[toxic].update(set(tokens(text)))
-            total = np.zeros((2, BUCKETS), np.int64)
-            for row, counted in zip(total, seen):
-                for token, n in counted.items():
-                    for f in set(features(token)):
-                        row[f] += n
-            hit = np.flatnonzero(total.any(0))
-            yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[1, hit]), pa.array(total[0, hit])], ["bucket", "t", "c"])
-
-    counted = labelled.select("text", "toxic").mapInArrow(run, "bucket long, t long, c long")
-    return counted.groupBy("bucket").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-
-
-def log_odds(t: np.ndarray, c: np.ndarray, n_t: int, n_c: int) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds and z-scores of document counts under a Dirichlet prior of pooled shape."""
-    alpha = PRIOR * (t + c + 1.0) / (n_t + n_c + 2.0)
-    toxic = np.log((t + alpha) / np.maximum(n_t + PRIOR - t - alpha, 1e-3))
-    clean = np.log((c + alpha) / np.maximum(n_c + PRIOR - c - alpha, 1e-3))
-    delta = toxic - clean
-    return delta, delta / np.sqrt(1.0 / (t + alpha) + 1.0 / (c + alpha))
+                seen[toxic].update({w.strip(STRIP) for w in tokens(text)})
+            words = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[1][w] for w in words], pa.int64()),
+                                              pa.array([seen[0][w] for w in words], pa.int64())], ["word", "t", "c"])
+
+    counted = sample.select("text", "toxic").mapInArrow(run, "word string, t long, c long")
+    return counted.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+
+
+def weighted(counts: DataFrame, n_t: int, n_c: int) -> DataFrame:
+    """Adds ``odds``: log-odds of document counts under a Dirichlet prior of pooled shape, 0 where
+    the z-score does not pass."""
+    t, c = F.least(F.col("t"), F.lit(n_t)), F.least(F.col("c"), F.lit(n_c))  # pooled words may share documents
+    alpha = F.lit(PRIOR) * (t + c + 1) / (n_t + n_c + 2)
+
+    def logit(x: Column, n: int) -> Column:
+        return F.log((x + alpha) / F.greatest(n + PRIOR - x - alpha, F.lit(1e-3)))
+
+    delta = logit(t, n_t) - logit(c, n_c)
+    z = delta / F.sqrt(1 / (t + alpha) + 1 / (c + alpha))
+    return counts.withColumn("odds", F.when(z > Z, F.least(delta, F.lit(CAP))).otherwise(0.0))
+
+
+def learn(sample: DataFrame, n_t: int, n_c: int) -> dict[str, float]:
+    """Log-odds by "=word" and "^beginning"; words without weight are listed only where their
+    beginning has one.  What reaches the driver is bounded by the sample."""
+    counts = saved(count_words(sample), "word-counts").withColumn("n", F.col("t") + F.col("c"))
+    words = weighted(counts.filter(F.col("n") >= KNOWN), n_t, n_c)
+    parts = F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in BEGINNINGS])
+    pooled = (counts.filter(F.col("n") < KNOWN).select(F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("word"), "t", "c")
+              .groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= KNOWN))
+    beginnings = {r["word"]: r["odds"] for r in weighted(pooled, n_t, n_c).filter("odds > 0").collect()}
+    model = {"^" + w: x for w, x in beginnings.items()}
+    model.update({"=" + r["word"]: r["odds"] for r in words.filter("odds > 0").collect()})
+    if beginnings:
+        listed = sample.sparkSession.createDataFrame([(b,) for b in beginnings], "b string")
+        at = F.explode(F.filter(parts, lambda x: x.isNotNull()))
+        plain = words.filter("odds = 0").select("word", at.alias("b")).join(F.broadcast(listed), "b", "left_semi")
+        model.update({"=" + r["word"]: 0.0 for r in plain.select("word").distinct().collect()})
+    return model
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
@@ -105,20 +121,19 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
 
 
 class Weights:
-    """Token weights, kept per worker."""
+    """Token weights, kept per task."""
 
-    def __init__(self, odds: np.ndarray, z: np.ndarray):
-        self.odds, self.z, self.known = odds, z, {}
+    def __init__(self, model: dict[str, float]):
+        self.model, self.known = model, {}
 
     def of(self, token: str) -> float:
         w = self.known.get(token)
         if w is None:
             if len(self.known) > 500_000:
                 self.known.clear()
-            own = features(token)
-            best = max(own, key=lambda f: abs(self.z[f]))
-            w = float(np.clip(self.odds[best], -CAP, CAP)) if abs(self.z[best]) > Z else 0.0
-            self.known[token] = w = w - DRIFT
+            word = token.strip(STRIP)
+            names = ["=" + word, *("^" + word[:k] for k in BEGINNINGS if len(word) >= k)]
+            w = self.known[token] = next((self.model[n] for n in names if n in self.model), 0.0) - DRIFT
         return w
 
 
@@ -158,18 +173,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     marked = (labels.select(F.col(label_id).cast("long").alias("lid"), F.col(label_col).cast("int").alias("toxic"))
               .filter(F.col("toxic").isin(0, 1) & training_part(F.col("lid")))
               .groupBy("lid").agg(F.max("toxic").alias("toxic")))
-    train = plain.join(marked, plain["id"] == marked["lid"])
-    counts = count_features(train).toPandas()
-    sizes = {r["toxic"]: r["n"] for r in plain.select("id").join(marked, plain["id"] == marked["lid"])
-             .groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_t, n_c = sizes.get(1, 0), sizes.get(0, 0)
-    t, c = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    t[counts["bucket"]], c[counts["bucket"]] = counts["t"], counts["c"]
-    odds, z = log_odds(t, c, n_t, n_c) if n_t and n_c else (np.zeros(BUCKETS), np.zeros(BUCKETS))
-    odds, z = odds.astype(np.float32), z.astype(np.float32)
+    n = {r["toxic"]: min(r["n"], SAMPLE) for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    picked = [marked.filter(F.col("toxic") == y).orderBy(F.xxhash64("lid"), "lid").limit(SAMPLE) for y in (0, 1)]
+    sample = plain.join(F.broadcast(picked[0].unionByName(picked[1])), F.col("id") == F.col("lid"))
+    able = bool(n.get(0) and n.get(1))
+    model = learn(sample, n[1], n[0]) if able else {}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(odds, z)
+        weights = Weights(model)
         for ids, texts in rows_in(batches, "id", "text"):
             n, found = zip(*(segments(x, weights) for x in texts))
             found = [[{"start": a, "end": b, "s": s} for a, b, s in f] for f in found]
@@ -196,7 +207,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     bins = (evidence(known).groupBy(F.round("x", 2).alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect())
     a, b = logistic([(r["x"], r["toxic"], r["n"]) for r in bins])
-    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("x")))) if n_t and n_c else F.lit(0.0)
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("x")))) if able else F.lit(0.0)
     return evidence(found).select(F.col("id").alias(id_col), score.alias("score"), "passages")
 
 
