@@ -51,7 +51,7 @@ def test_guarded_fold_hot_key_matches_sequential(spark):
     r = _hot_requests(spark)
     keys = ["warehouse_id", "product_id"]
     order = ["ts", "order_id", "line_no", "supplier_id"]
-    got = guarded_fold(r, keys, order, "_delta", "_start", cap_col="_start", num_partitions=8).toPandas()
+    got = guarded_fold(r, keys, order, "_delta", "_start", num_partitions=8).toPandas()
     exp = brute_fold(r.toPandas(), keys, order, "_delta", "_start")
     ids = ["order_id", "line_no", "supplier_id", "part", "quantity", "ts"]
     m = got.merge(exp, on=ids, suffixes=("", "_e"))
@@ -189,7 +189,7 @@ def test_guarded_fold_combine_streams_many_batches_of_one_key(spark):
     before = spark.conf.get(conf)
     spark.conf.set(conf, "2")
     try:
-        got = guarded_fold(r, keys, order, "_delta", "_start", cap_col="_start", num_partitions=16).toPandas()
+        got = guarded_fold(r, keys, order, "_delta", "_start", num_partitions=16).toPandas()
     finally:
         spark.conf.set(conf, before)
     exp = brute_fold(r.toPandas(), keys, order, "_delta", "_start")
@@ -198,3 +198,86 @@ def test_guarded_fold_combine_streams_many_batches_of_one_key(spark):
     assert len(m) == len(exp) == len(got)
     assert (m.accepted == m.accepted_e).all()
     assert (m.balance_after == m.balance_after_e).all()
+
+
+def test_null_and_large_keys_stay_apart(spark):
+    """NULL keys form one group; keys and carried values above 2**53 stay exact next to NULLs."""
+    from tidemark.plans.chunked import gap_sessions, run_numbers
+
+    big = 9007199254740993
+    rows = [([None, big, big - 1][i % 3], i, None if i % 5 == 0 else big + i, i % 4, dt.datetime(2026, 1, 1) + dt.timedelta(minutes=7 * i))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "k long, seq int, other long, v long, ts timestamp_ntz")
+    p = df.toPandas()
+    by = {k: [r for r in rows if r[0] == k] for k in (None, big, big - 1)}
+    want_sum, want_run, want_session = {}, {}, {}
+    for own in by.values():
+        total, run, session, before = 0, 0, 0, None
+        for r in own:
+            total += r[3]
+            run += before is None or before[3] != r[3]
+            session += before is None or r[4] - before[4] > dt.timedelta(minutes=20)
+            want_sum[r[1]], want_run[r[1]], want_session[r[1]], before = total, run, session, r
+    for out, col, want in ((running_sum(df, ["k"], ["seq"], "v", "x", 7), "x", want_sum), (run_numbers(df, ["k"], ["seq"], "v", "x", 7), "x", want_run),
+                           (gap_sessions(df, ["k"], ["seq"], "ts", 20 * 60 * 1_000_000, "x", 7), "x", want_session)):
+        got = out.collect()
+        assert {r["seq"]: r[col] for r in got} == want
+        assert {(r["k"], r["seq"], r["other"]) for r in got} == {r[:3] for r in rows}
+        assert "ArrowEvalPython" not in out._jdf.queryExecution().toString() and "MapIn" not in out._jdf.queryExecution().toString()
+    folded = guarded_fold(df.withColumn("d", -F.col("v")).withColumn("s", F.lit(100).cast("long")), ["k"], ["seq"], "d", "s", num_partitions=7).collect()
+    assert {(r["k"], r["seq"], r["other"]) for r in folded} == {r[:3] for r in rows}
+    for own in by.values():
+        b = 100
+        for r in own:
+            b -= r[3] if b >= r[3] else 0
+            assert next(f["balance_after"] for f in folded if f["seq"] == r[1]) == b
+    assert len(p) == len(folded)
+
+
+def test_fold_pieces_equal_the_sequential_fold():
+    import random
+    import time
+
+    import numpy as np
+
+    from tidemark.plans.chunked import apply_pieces, fold_pieces, fold_rows
+
+    rng = random.Random(1)
+    for _ in range(200):
+        deltas = [rng.choice([-20, -5, -3, -2, -1, 0, 2, 7]) for _ in range(rng.randrange(1, 30))]
+        consume = [rng.random() < 0.8 for _ in deltas]
+        low, off = fold_pieces(np.array(deltas), np.array(consume))
+        for b in range(-3, 60):
+            assert apply_pieces(low, off, b) == fold_rows(deltas, consume, b)[1][-1]
+    deltas = np.array([-rng.randrange(1, 30) for _ in range(2000)])
+    start = time.time()
+    low, off = fold_pieces(deltas, np.ones(2000, bool))
+    assert len(low) <= 2 - deltas.sum() and time.time() - start < 20  # bounded by the demand, not by the stock
+    for b in (10**9, 1234):
+        assert apply_pieces(low, off, b) == fold_rows(deltas.tolist(), [True] * 2000, b)[1][-1]
+
+
+def test_requests_without_stock_are_rejected(spark):
+    stock = spark.createDataFrame([(1, 1, 10)], "warehouse_id long, product_id long, quantity long")
+    req = spark.createDataFrame([(1, 1, 1, 4), (2, 1, 2, 1), (3, 2, 1, 0)], "seq int, warehouse_id long, product_id long, quantity long")
+    out = {r["seq"]: (r["accepted"], r["balance_after"]) for r in inv.settle(stock, req, ["seq"]).collect()}
+    assert out == {1: (True, 6), 2: (False, 0), 3: (False, 0)}
+
+
+def test_range_cut_of_rows_without_files(spark):
+    from tidemark.session import range_partitions
+
+    floor_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_partitions(spark.createDataFrame([(1,), (2,)], "a long")) == floor_n
+    assert range_partitions(spark.sparkContext.parallelize([(1,), (2,)]).toDF("a long")) == floor_n
+
+
+def test_patches_of_one_id_and_unknown_ids(spark):
+    from tidemark.operators import tables as tb
+
+    base = spark.createDataFrame([(1, "a", 1.0, None)], "id long, name string, price double, updated_at timestamp_ntz")
+    patches = spark.createDataFrame([(1, "b", None, 1), (1, "c", None, 2), (1, None, 5.0, 1), (7, "x", None, 1), (1, None, None, 3)],
+                                    "id long, name string, price double, patch_order int")
+    new, rejected = tb.patch(base, patches, "id", "2026-01-01")
+    assert [(r["id"], r["name"], r["price"]) for r in new.collect()] == [(1, "c", 5.0)]
+    assert sorted((r["id"], r["reason"]) for r in rejected.collect()) == [(1, "empty"), (7, "unknown")]

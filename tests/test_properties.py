@@ -6,40 +6,29 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.plans.chunked import _blocks, _fold_threshold, fold_rows, fold_table
+from tidemark.plans.chunked import KEY, PID, _blocks, apply_pieces, fold_pieces, fold_rows
 
 deltas = st.lists(st.integers(min_value=-30, max_value=20), min_size=1, max_size=40)
 
 
 @settings(max_examples=200, deadline=None)
 @given(deltas, st.lists(st.booleans(), min_size=40, max_size=40), st.integers(min_value=0, max_value=80))
-def test_fold_table_equals_direct_fold(ds, cs, domain):
+def test_fold_pieces_equal_direct_fold(ds, cs, top):
     d = np.array(ds, dtype=np.int64)
     c = np.array(cs[: len(ds)], dtype=bool)
-    table = fold_table(d, c, domain)
-    for b in range(domain):
+    low, off = fold_pieces(d, c)
+    for b in [*range(-5, top), 10**9]:
         _, bal = fold_rows(d.tolist(), c.tolist(), b)
-        assert table[b] == bal[-1]
-
-
-@settings(max_examples=200, deadline=None)
-@given(deltas, st.lists(st.booleans(), min_size=40, max_size=40))
-def test_above_threshold_everything_passes(ds, cs):
-    d = np.array(ds, dtype=np.int64)
-    c = np.array(cs[: len(ds)], dtype=bool)
-    t, net = _fold_threshold(d, c)
-    for b in (t, t + 1, t + 17):
-        acc, bal = fold_rows(d.tolist(), c.tolist(), b)
-        assert all(acc) and bal[-1] == b + net
+        assert apply_pieces(low, off, b) == bal[-1]
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=300), st.integers(min_value=1, max_value=50))
 def test_blocks_hold_whole_keys_in_order(keys, batch):
     keys = sorted(keys)
-    df = pd.DataFrame({"k": keys, "v": range(len(keys))})
+    df = pd.DataFrame({PID: 0, KEY: [str(k) for k in keys], "k": keys, "v": range(len(keys))})
     batches = [df.iloc[i:i + batch] for i in range(0, len(df), batch)]
-    blocks = list(_blocks(iter(batches), ["k"]))
+    blocks = list(_blocks(iter(batches)))
     assert pd.concat(blocks).v.tolist() == list(range(len(keys)))
     seen = [set(b.k) for b in blocks]
     flat = [k for s in seen for k in s]
@@ -58,21 +47,20 @@ def test_chained_chunk_tables_equal_one_fold(ds, parts, start):
     for lo, hi in zip(cuts[:-1], cuts[1:]):
         if hi <= lo:
             continue
-        t, net = _fold_threshold(d[lo:hi], c[lo:hi])
-        table = fold_table(d[lo:hi], c[lo:hi], t)
-        b = int(table[b]) if b < t else b + net
+        b = apply_pieces(*fold_pieces(d[lo:hi], c[lo:hi]), b)
     _, bal = fold_rows(d.tolist(), c.tolist(), start)
     assert b == bal[-1]
 
 
-def test_fold_table_through_several_compressions():
-    """Long take-only runs compress the reachable values several times (every 32 takes)."""
+
+def test_fold_pieces_through_merges():
+    """Long runs of takes, long enough for equal neighbours to be merged."""
     rng = np.random.default_rng(7)
-    for n, domain in [(100, 300), (250, 1000)]:
+    for n, top in [(100, 300), (250, 1000)]:
         d = -rng.integers(1, 9, size=n).astype(np.int64)
         d[::17] = 5  # some adds in between
         c = rng.random(n) > 0.1
-        table = fold_table(d, c, domain)
-        for b in range(domain):
+        low, off = fold_pieces(d, c)
+        for b in range(top):
             _, bal = fold_rows(d.tolist(), c.tolist(), b)
-            assert table[b] == bal[-1]
+            assert apply_pieces(low, off, b) == bal[-1]

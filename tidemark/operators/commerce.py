@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import months_before, ts_lit
-from tidemark.plans.broadcast import broadcast_if_small
 
 
 def top_clients(clients: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame,
@@ -33,7 +32,7 @@ def top_clients(clients: DataFrame, orders: DataFrame, items: DataFrame, product
         .select(F.col("id").alias("order_id"), "client_id")
     lines = items.select("order_id", "product_id", revenue_col) \
         .join(recent, "order_id") \
-        .join(broadcast_if_small(cat), "product_id", "left_semi")
+        .join(cat, "product_id", "left_semi")
     return _rank_clients(lines, clients, revenue_col, k)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.chunked import PID, Combine, _key_change, guarded_fold, running_sum, segmented_scan
+from tidemark.plans.chunked import KEY, PID, Combine, _key_change, guarded_fold, running_sum, segmented_scan
 
 STOCK_KEYS = ["warehouse_id", "product_id"]
 
@@ -31,27 +31,27 @@ def settle(stock: DataFrame, requests: DataFrame, order: list, keys=STOCK_KEYS,
     """Per key, in ``order``, accept a request if the balance covers it (and take it),
     else reject it and keep the balance.  Adds ``accepted`` and ``balance_after``.
 
-    Requests for a key without a stock row are dropped by the inner join (the reference answers
-    404).  ``consume_col`` = False marks a request that is checked but gives its units back at
+    Requests for a key without a stock row are rejected, with balance 0.  ``consume_col`` = False marks a request that is checked but gives its units back at
     once (a compensated saga step).
     """
     keys = list(keys)
     s = stock.select(*keys, F.col("quantity").cast("long").alias("_start"))
-    r = requests.join(s, keys).withColumn("_delta", -F.col(qty).cast("long"))
+    r = requests.join(s, keys, "left").withColumn("_delta", -F.col(qty).cast("long"))
+    r = r.withColumn("_known", F.col("_start").isNotNull()).withColumn("_start", F.coalesce("_start", F.lit(0).cast("long")))
     if keep is not None:
-        keep = list(dict.fromkeys([*keep, qty] + ([consume_col] if consume_col else [])))
-    out = guarded_fold(r, keys, order, "_delta", "_start", consume_col, cap_col="_start", keep=keep)
-    return out.drop("_delta", "_start")
+        keep = list(dict.fromkeys([*keep, qty, "_known"] + ([consume_col] if consume_col else [])))
+    out = guarded_fold(r, keys, order, "_delta", "_start", consume_col, keep=keep)
+    return out.withColumn("accepted", F.col("accepted") & F.col("_known")).drop("_delta", "_start", "_known")
 
 
 def final_stock(stock: DataFrame, outcomes: DataFrame, keys=STOCK_KEYS, qty: str = "quantity",
-                consume_col: str | None = None, requested_only: bool = False) -> DataFrame:
+                consume_col: str | None = None) -> DataFrame:
     """Stock after settlement = initial - accepted (consumed) requests; keys without requests keep
-    their stock, or are left out with ``requested_only``.  The outcomes are aggregated once."""
+    their stock.  The outcomes are aggregated once."""
     keys = list(keys)
     took = F.col("accepted") if consume_col is None else (F.col("accepted") & F.col(consume_col))
     used = outcomes.groupBy(*keys).agg(F.sum(F.when(took, F.col(qty).cast("long"))).alias("_used"))
-    return stock.join(used, keys, "inner" if requested_only else "left").select(
+    return stock.join(used, keys, "left").select(
         *keys, (F.col("quantity") - F.coalesce(F.col("_used"), F.lit(0))).alias("quantity"))
 
 
@@ -164,7 +164,7 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
     carry_fields = [T.StructField("_prev_exp", T.TimestampNTZType()), T.StructField("_offset", T.LongType())]
 
     def scan(block: pd.DataFrame) -> pd.DataFrame:
-        grp = np.cumsum(_key_change(block, [user]))
+        grp = np.cumsum(_key_change(block))
         is_res = (block["action"] == "reserve").to_numpy()
         exp = block["expires_at"]
         prev = exp.groupby(grp).shift(1)
@@ -176,7 +176,7 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
         cart_no = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
         live = (prev.notna() & (ts < prev)).to_numpy()
         is_cancel = (block["action"] == "cancel").to_numpy()
-        out = block.drop(columns=["_prev_exp", "_offset", PID])
+        out = block.drop(columns=["_prev_exp", "_offset", PID, KEY])
         keep = is_res | (is_cancel & live)
         out["cart_no"] = pd.array(np.where(keep, cart_no, 0), dtype="Int64")
         out.loc[~keep, "cart_no"] = pd.NA
@@ -188,12 +188,12 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
                           summary_cols=["action", "ts", "expires_at"])
 
 
-def carts(assigned: DataFrame, as_of, user: str = "user_id") -> DataFrame:
+def carts(assigned: DataFrame, as_of, user: str = "user_id", order=("ts", "event_id")) -> DataFrame:
     """One row per cart: opened, expiry (the last reserve's), reserves, units, live at as_of."""
     res = assigned.filter(F.col("action") == "reserve")
     per = res.groupBy(user, "cart_no").agg(
         F.min("ts").alias("opened_at"),
-        F.max_by("expires_at", F.struct("ts", "event_id")).alias("expires_at"),
+        F.max_by("expires_at", F.struct(*order)).alias("expires_at"),
         F.count(F.lit(1)).alias("reserves"),
         F.sum(F.col("quantity").cast("long")).alias("units"),
     )

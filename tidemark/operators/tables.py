@@ -20,14 +20,20 @@ def reset_columns(df: DataFrame, values: dict) -> DataFrame:
 
 def patch(base: DataFrame, patches: DataFrame, key: str, as_of, updated_col: str = "updated_at"):
     """Partial update: only the non-NULL fields a patch supplies replace the row's values,
-    and ``updated_at`` is set.  A patch supplying no field is rejected (the reference answers
-    400).  Returns (new_table, rejected_patches)."""
-    fields = [c for c in patches.columns if c != key]
-    supplied = F.greatest(*[F.col(c).isNotNull().cast("int") for c in fields]) if len(fields) > 1 \
-        else F.col(fields[0]).isNotNull().cast("int")
-    good = patches.filter(supplied == 1)
-    rejected = patches.filter(supplied == 0)
-    p = good.select(key, *[F.col(c).alias(f"_p_{c}") for c in fields], F.lit(True).alias("_hit"))
+    and ``updated_at`` is set.  Several patches of one id are reduced to the last supplied value
+    per field first (the order of ``patch_order``, if the patches have that column; else the
+    greatest value), so a row is never multiplied.  Returns (new_table, rejected_patches): a
+    patch that supplies no field is rejected as ``empty`` (the reference answers 400), one for an
+    id without a row as ``unknown`` (404)."""
+    fields = [c for c in patches.columns if c not in (key, "patch_order")]
+    by = "patch_order" if "patch_order" in patches.columns else None
+    supplied = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(True)) for c in fields], F.lit(False))
+    good = patches.filter(supplied)
+
+    def last(c):
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(by))) if by else F.max(c)
+
+    p = good.groupBy(key).agg(*[last(c).alias(f"_p_{c}") for c in fields], F.lit(True).alias("_hit"))
     j = base.join(p, key, "left")
     cols = []
     for c in base.columns:
@@ -37,7 +43,9 @@ def patch(base: DataFrame, patches: DataFrame, key: str, as_of, updated_col: str
             cols.append(F.when(F.col("_hit"), F.lit(as_of).cast(base.schema[c].dataType)).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
-    return j.select(*cols), rejected
+    empty = patches.filter(~supplied).withColumn("reason", F.lit("empty"))
+    unknown = good.join(base.select(key), key, "left_anti").withColumn("reason", F.lit("unknown"))
+    return j.select(*cols), empty.unionByName(unknown)
 
 
 def delete_keys(base: DataFrame, keys: DataFrame, key: str):
@@ -87,15 +95,19 @@ def top_k(df: DataFrame, order, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def with_partition_counts(df: DataFrame, part: Column, part_name: str, distinct_col: str | None = None) -> DataFrame:
+def with_partition_counts(df: DataFrame, part: Column, part_name: str, distinct_col: str | None = None,
+                          bounded: bool = False) -> DataFrame:
     """``count() OVER (PARTITION BY part)`` and ``uniq(x) OVER (PARTITION BY part)``
     as a pre-aggregate per partition joined back: no window buffers a whole (possibly huge)
-    partition, and the distinct count (refused inside a window) is an ordinary aggregate."""
+    partition, and the distinct count (refused inside a window) is an ordinary aggregate.
+    ``bounded`` says that ``part`` has few values by definition (calendar days), so that the
+    rows need no shuffle."""
     aggs = [F.count(F.lit(1)).alias("rows_in_partition")]
     if distinct_col:
         aggs.append(F.count_distinct(distinct_col).alias("distinct_in_partition"))
     per = df.groupBy(part.alias(part_name)).agg(*aggs)
-    return df.withColumn(part_name, part).join(per, part_name)
+    # one row per partition value (a day, a device): bounded by the values, not by the rows
+    return df.withColumn(part_name, part).join(F.broadcast(per) if bounded else per, part_name)
 
 
 def metrics(rows: dict) -> DataFrame:

@@ -1,15 +1,14 @@
 """Query plans: the registry of named queries and their SQL oracles, plus plan utilities."""
 
+import importlib
+
+MODULES = ("shop", "activity", "queue", "stock", "checks", "layouts", "streams", "tableops")
+
 
 def load_all():
     """Import every module that registers queries; returns (queries, sql)."""
-    from tidemark.plans import shop  # noqa: F401
     from tidemark.plans.registry import QUERIES, SQL
 
-    for mod in ("activity", "queue", "stock", "checks", "layouts", "streams", "tableops"):
-        try:
-            __import__(f"tidemark.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"tidemark.plans.{mod}":
-                raise
+    for mod in MODULES:
+        importlib.import_module(f"tidemark.plans.{mod}")
     return QUERIES, SQL

@@ -14,11 +14,18 @@ so a key holding a third of the table becomes one task holding a third of the ta
    at most two *edge chunks* are summarised (``summarize``); interior keys need nothing.
 3. Summaries of one key are combined in partition order into the state each chunk starts from.
    They stream to one Python function per key in Arrow batches and only the running state is
-   kept, so a key spanning many partitions is never held whole.  This table has at most two rows per partition, which bounds its broadcast.
+   kept, so a key spanning many partitions is never held whole.  This table has at most two rows
+   per partition.
 4. Every partition is scanned once more with its carried state (``scan``), in Arrow batches.
 
-Python runs inside tasks on Arrow batches; Spark does the partitioning, sorting and joins.
-Memory per task is one partition's rows of a single key at most.
+Python runs inside tasks on Arrow batches, for the folds that no window expresses (guarded
+balances, cart expiry); Spark does the partitioning, sorting and joins.  Keys are compared as one
+JSON text made in the JVM, and integer columns travel as nullable integers, so null keys form one
+group and values above 2**53 stay exact.  Memory per task is one partition's rows of a single key
+at most.
+
+Running sums, runs and sessions need no Python: the same cut, window functions over (partition,
+key), one summary row per (partition, key), and the carry of the partitions before joined back.
 """
 
 from __future__ import annotations
@@ -28,66 +35,99 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.session import ensure_checkpoint_dir, range_partitions, ship_package
 
 PID = "_pid"
+KEY = "_key"
+
+# Integers stay integers next to a null (plain pandas would turn them into floats).
+_NULLABLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+
+
+def _map_frames(df: DataFrame, fn, schema: T.StructType) -> DataFrame:
+    """``mapInPandas`` with exact nullable integers."""
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        frames = (b.to_pandas(types_mapper=_NULLABLE.get) for b in batches)
+        for out in fn(frames):
+            if len(out):
+                yield pa.RecordBatch.from_pandas(out[arrow.names], schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(run, schema)
+
 
+def _key_text(columns: list) -> Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
-def _key_change(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
-    """Boolean array: row i starts a new key group."""
+
+def _cut(df: DataFrame, keys: list[str], order: list, num_partitions: int | None) -> tuple[DataFrame, list]:
+    """``df`` cut by (keys, order) and checkpointed, with its partition number; the sort columns."""
+    n = range_partitions(df, num_partitions)
+    by = [F.col(k) for k in keys] + _columns(order)
+    ensure_checkpoint_dir(df.sparkSession)
+    out = df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn(PID, F.spark_partition_id())
+    return out.checkpoint(eager=True), by
+
+
+def _columns(order: list) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
+
+
+def _key_change(pdf: pd.DataFrame) -> np.ndarray:
+    """Boolean array: row i starts a new chunk (another key, or another range partition)."""
     n = len(pdf)
     if n == 0:
         return np.zeros(0, dtype=bool)
-    change = np.zeros(n, dtype=bool)
-    change[0] = True
-    for k in keys:
-        v = pdf[k].to_numpy()
-        change[1:] |= v[1:] != v[:-1]
+    change = np.ones(n, dtype=bool)
+    key, pid = pdf[KEY].to_numpy(dtype=object), pdf[PID].to_numpy(dtype=np.int64)
+    change[1:] = (key[1:] != key[:-1]) | (pid[1:] != pid[:-1])
     return change
 
 
-def _blocks(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Regroup a sorted stream of Arrow batches into blocks that hold whole key groups."""
-    pending: list[pd.DataFrame] = []    # rows of one key that may continue in the next batch
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regroup a sorted stream of Arrow batches into blocks that hold whole chunks."""
+    pending: list[pd.DataFrame] = []    # rows of one chunk that may continue in the next batch
     pending_key = None
     for pdf in batches:
         if len(pdf) == 0:
             continue
-        starts = np.flatnonzero(_key_change(pdf, keys))
+        starts = np.flatnonzero(_key_change(pdf))
         lead_end = int(starts[1]) if len(starts) > 1 else len(pdf)
-        first_key = tuple(pdf[k].iloc[0] for k in keys)
+        first_key = (pdf[PID].iloc[0], pdf[KEY].iloc[0])
         if pending and first_key == pending_key:
             pending.append(pdf.iloc[:lead_end])
             if lead_end == len(pdf):
-                continue                  # the whole batch continues the pending key
+                continue                  # the whole batch continues the pending chunk
             yield pd.concat(pending, ignore_index=True)
             rest = pdf.iloc[lead_end:]
         else:
             if pending:
                 yield pd.concat(pending, ignore_index=True)
             rest = pdf
-        cut = int(np.flatnonzero(_key_change(rest, keys))[-1])
+        cut = int(np.flatnonzero(_key_change(rest))[-1])
         if cut > 0:
             yield rest.iloc[:cut].reset_index(drop=True)
         pending = [rest.iloc[cut:]]
-        pending_key = tuple(rest[k].iloc[-1] for k in keys)
+        pending_key = (rest[PID].iloc[-1], rest[KEY].iloc[-1])
     if pending:
         yield pd.concat(pending, ignore_index=True)
 
 
-def _leading_group(block: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    starts = np.flatnonzero(_key_change(block, keys))
+def _leading_group(block: pd.DataFrame) -> pd.DataFrame:
+    starts = np.flatnonzero(_key_change(block))
     end = int(starts[1]) if len(starts) > 1 else len(block)
     return block.iloc[:end]
 
 
-def _trailing_group(block: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    starts = np.flatnonzero(_key_change(block, keys))
-    return block.iloc[int(starts[-1]):]
+def _trailing_group(block: pd.DataFrame) -> pd.DataFrame:
+    return block.iloc[int(np.flatnonzero(_key_change(block))[-1]):]
 
 
 def segmented_scan(
@@ -117,32 +157,25 @@ def segmented_scan(
     ``scan(block)`` gets whole key groups in order, with the carry columns (null when the chunk
     starts its key) and returns rows of ``out_schema``.
     """
-    spark = df.sparkSession
-    n = range_partitions(df, num_partitions)
-    sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols) \
-        .withColumn(PID, F.spark_partition_id())
-    ensure_checkpoint_dir(spark)
-    ship_package(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ship_package(df.sparkSession)
+    ranged, sort_cols = _cut(df, keys, order, num_partitions)
+    ranged = ranged.withColumn(KEY, _key_text(keys))
 
-    key_fields = [ranged.schema[k] for k in keys]
-    summary_schema = T.StructType([T.StructField(PID, T.IntegerType(), False), *key_fields, *summary_fields])
-    carry_schema = T.StructType([T.StructField(PID, T.IntegerType(), False), *key_fields, *carry_fields])
+    own = [T.StructField(PID, T.IntegerType(), False), T.StructField(KEY, T.StringType(), False)]
+    summary_schema = T.StructType([*own, *summary_fields])
+    carry_schema = T.StructType([*own, *carry_fields])
 
     def edge_summaries(it):
         first_key = None
         last = None
-        for block in _blocks(it, keys):
+        for block in _blocks(it):
             if first_key is None:
-                g = _leading_group(block, keys)
-                first_key = tuple(g[k].iloc[0] for k in keys)
-                yield _summary_frame(g, summarize, keys, summary_schema)
-            last = _trailing_group(block, keys)
-        if last is not None:
-            lk = tuple(last[k].iloc[0] for k in keys)
-            if lk != first_key:
-                yield _summary_frame(last, summarize, keys, summary_schema)
+                g = _leading_group(block)
+                first_key = g[KEY].iloc[0]
+                yield _summary_frame(g, summarize, summary_schema)
+            last = _trailing_group(block)
+        if last is not None and last[KEY].iloc[0] != first_key:
+            yield _summary_frame(last, summarize, summary_schema)
 
     # The first and last key of every partition, found in the JVM (one row per partition);
     # only rows of those keys are summarised.  Keys sort ascending, so min/max of the key
@@ -150,33 +183,48 @@ def segmented_scan(
     key_struct = F.struct(*keys)
     bounds = ranged.groupBy(PID).agg(F.min(key_struct).alias("_lo"), F.max(key_struct).alias("_hi"))
     edges = bounds.select(PID, F.explode(F.array("_lo", "_hi")).alias("_k")) \
-        .select(PID, *[F.col(f"_k.{k}").alias(k) for k in keys]).distinct()
-    edge_rows = ranged.join(F.broadcast(edges), [PID, *keys], "left_semi").sortWithinPartitions(*sort_cols)
+        .select(PID, F.to_json("_k", {"ignoreNullFields": "false"}).alias(KEY)).distinct()
+    edge_rows = ranged.join(edges, [PID, KEY], "left_semi").sortWithinPartitions(PID, *sort_cols)
     if summary_cols is not None:
-        extra = list(dict.fromkeys(c for c in summary_cols if c not in keys))
-        edge_rows = edge_rows.select(PID, *keys, *extra)
-    summaries = edge_rows.mapInPandas(edge_summaries, summary_schema)
+        edge_rows = edge_rows.select(PID, KEY, *dict.fromkeys(summary_cols))
+    summaries = _map_frames(edge_rows, _per_partition(edge_summaries), summary_schema)
 
     def combine_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _carry_stream(_in_pid_order(batches), keys, combine)
+        yield from _carry_stream(_in_pid_order(batches), combine)
 
-    # Hash-partitioned on the keys and sorted by (keys, partition): the grouped operator's own
+    # Hash-partitioned on the key and sorted by (key, partition): the grouped operator's own
     # requirements are met by this layout, so each key's batches stream in partition order.
-    ordered = summaries.repartition(*keys).sortWithinPartitions(*keys, PID)
-    carries = ordered.groupBy(*keys).applyInPandas(combine_stream, carry_schema)
-    # at most two rows per partition: a proven bound for the broadcast
-    joined = ranged.join(F.broadcast(carries), [PID, *keys], "left").sortWithinPartitions(*sort_cols)
+    ordered = summaries.repartition(KEY).sortWithinPartitions(KEY, PID)
+    carries = ordered.groupBy(KEY).applyInPandas(combine_stream, carry_schema)
+    # at most two rows per partition; the planner chooses how to join them
+    joined = ranged.join(carries, [PID, KEY], "left").sortWithinPartitions(PID, *sort_cols)
     if scan_cols is not None:
-        extra = list(dict.fromkeys(c for c in scan_cols if c not in keys))
-        joined = joined.select(PID, *keys, *extra, *[f.name for f in carry_fields])
+        joined = joined.select(PID, KEY, *dict.fromkeys([*keys, *scan_cols]), *[f.name for f in carry_fields])
 
     def scan_blocks(it):
-        for block in _blocks(it, keys):
-            out = scan(block)
-            if len(out):
-                yield out[[f.name for f in out_schema.fields]]
+        for block in _blocks(it):
+            yield scan(block)
+
+    return _map_frames(joined, scan_blocks, out_schema)
+
+
+def _per_partition(fn):
+    """``fn`` over each run of rows of one range partition (a task may hold several)."""
+    def run(frames):
+        from itertools import groupby
 
-    return joined.mapInPandas(scan_blocks, out_schema)
+        def pieces():
+            for pdf in frames:
+                pids = pdf[PID].to_numpy(dtype=np.int64)
+                cuts = np.flatnonzero(pids[1:] != pids[:-1]) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pdf)]):
+                    if b > a:
+                        yield int(pids[a]), pdf.iloc[a:b].reset_index(drop=True)
+
+        for _, group in groupby(pieces(), key=lambda x: x[0]):
+            yield from fn(pdf for _, pdf in group)
+
+    return run
 
 
 class Combine(NamedTuple):
@@ -198,7 +246,7 @@ def _in_pid_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf
 
 
-def _carry_stream(batches: Iterator[pd.DataFrame], keys: list[str], c: Combine) -> Iterator[pd.DataFrame]:
+def _carry_stream(batches: Iterator[pd.DataFrame], c: Combine) -> Iterator[pd.DataFrame]:
     """Carry rows for every chunk but a key's first, one batch at a time."""
     started = False
     state = None
@@ -206,7 +254,7 @@ def _carry_stream(batches: Iterator[pd.DataFrame], keys: list[str], c: Combine)
         out = []
         for r in pdf.to_dict("records"):
             if started:
-                out.append({PID: int(r[PID]), **{k: r[k] for k in keys}, **c.carry(state)})
+                out.append({PID: int(r[PID]), KEY: r[KEY], **c.carry(state)})
                 state = c.step(state, r)
             else:
                 state, started = c.first(r), True
@@ -214,12 +262,8 @@ def _carry_stream(batches: Iterator[pd.DataFrame], keys: list[str], c: Combine)
             yield pd.DataFrame(out)
 
 
-def _summary_frame(g: pd.DataFrame, summarize, keys, schema) -> pd.DataFrame:
-    s = summarize(g)
-    row = {PID: int(g[PID].iloc[0])}
-    for k in keys:
-        row[k] = g[k].iloc[0]
-    row.update(s)
+def _summary_frame(g: pd.DataFrame, summarize, schema) -> pd.DataFrame:
+    row = {PID: int(g[PID].iloc[0]), KEY: g[KEY].iloc[0], **summarize(g)}
     return pd.DataFrame([row])[[f.name for f in schema.fields]]
 
 
@@ -227,39 +271,34 @@ def _summary_frame(g: pd.DataFrame, summarize, keys, schema) -> pd.DataFrame:
 #
 # A row either adds units (delta > 0), takes units (delta < 0) only if the balance covers them,
 # or probes (consume = False): it is accepted if the balance covers it but changes nothing.
-# Over an edge chunk the start balance b is unknown; the chunk acts as a function F(b).  For b at
-# or above T (the most the chunk ever needs) every take passes and F(b) = b + net.  Below T,
-# F is tabulated on [0, D), D = min(T, cap + 1) when the balance can never exceed ``cap``.
-
-def _fold_threshold(deltas: np.ndarray, consume: np.ndarray) -> tuple[int, int]:
-    """(T, net) for the all-accepted path."""
-    eff = np.where((deltas < 0) & ~consume, 0, deltas)
-    before = np.concatenate(([0], np.cumsum(eff)[:-1]))
-    takes = deltas < 0
-    need = (-deltas[takes]) - before[takes]
-    t = int(max(0, need.max())) if need.size else 0
-    return t, int(eff.sum())
-
-
-def fold_table(deltas: np.ndarray, consume: np.ndarray, domain: int) -> np.ndarray:
-    """F(b) for b in [0, domain).  Tracks only the distinct values reachable so far."""
-    if domain <= 0:
-        return np.zeros(0, dtype=np.int64)
-    u = np.arange(domain, dtype=np.int64)
-    inv = None  # start balance -> index into u; the identity until the first compression
-    since = 0
+# Over an edge chunk the start balance b is unknown; the chunk acts as a function F(b) = b + off
+# with an offset for each range of start balances.  A take splits a range where its balances
+# start to cover it.  Above the most that the chunk ever needs every take passes, so the number of
+# ranges is bounded by the chunk's own demand, whatever the stock.
+
+def fold_pieces(deltas: np.ndarray, consume: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lower ends, offsets) of the ranges of start balances, sorted."""
+    low, off = np.array([-(1 << 62)]), np.array([0])
     for d, c in zip(deltas.tolist(), consume.tolist()):
         if d >= 0:
-            u += d
+            off = off + d
         elif c:
-            q = -d
-            np.subtract(u, q, out=u, where=u >= q)
-            since += 1
-            if since >= 32 and u.size > 64:
-                u, back = np.unique(u, return_inverse=True)
-                inv = back if inv is None else back[inv]
-                since = 0
-    return u if inv is None else u[inv]
+            covered = low + off >= d * -1
+            high = np.append(low[1:], 1 << 62) + off  # the first balance beyond the range
+            split = np.flatnonzero(~covered & (high > -d))
+            if len(split):
+                low, fresh = np.insert(low, split + 1, -d - off[split]), off[split] + d
+                off = np.insert(np.where(covered, off + d, off), split + 1, fresh)
+            else:
+                off = np.where(covered, off + d, off)
+            if len(low) > 64 and (same := off[1:] == off[:-1]).any():
+                keep = np.append(True, ~same)
+                low, off = low[keep], off[keep]
+    return low, off
+
+
+def apply_pieces(low, off, b: int) -> int:
+    return b + int(off[int(np.searchsorted(np.asarray(low), b, side="right")) - 1])
 
 
 def fold_rows(deltas: list, consume: list, start: int) -> tuple[list, list]:
@@ -282,14 +321,13 @@ def fold_rows(deltas: list, consume: list, start: int) -> tuple[list, list]:
 
 
 def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, start_col: str,
-                 consume_col: str | None = None, cap_col: str | None = None,
-                 num_partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
+                 consume_col: str | None = None, num_partitions: int | None = None,
+                 keep: list[str] | None = None) -> DataFrame:
     """Per key, in ``order``: apply each row's ``delta`` to a balance starting at ``start_col``
     (taken from the key's first row).  Adds ``accepted`` and ``balance_after``.
 
-    ``cap_col`` (optional) is an upper bound of the balance (e.g. the initial stock when rows
-    only take); it bounds the tables of edge chunks.  ``keep`` limits the output to these input
-    columns (all by default), which also limits what is sent through Python.
+    ``keep`` limits the output to these input columns (all by default), which also limits what
+    is sent through Python.
     """
     in_fields = list(df.schema.fields) if keep is None else \
         [df.schema[c] for c in dict.fromkeys([*keys, *keep])]
@@ -300,18 +338,14 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
         return g[consume_col].to_numpy(dtype=bool) if consume_col else np.ones(len(g), dtype=bool)
 
     def summarize(g: pd.DataFrame) -> dict:
-        deltas = g[delta_col].to_numpy(dtype=np.int64)
-        cons = _consume(g)
-        t, net = _fold_threshold(deltas, cons)
-        domain = t if cap_col is None else min(t, int(g[cap_col].iloc[0]) + 1)
-        table = fold_table(deltas, cons, domain)
-        return {"start": int(g[start_col].iloc[0]), "net": net, "domain": int(domain), "table": table.tolist()}
+        low, off = fold_pieces(g[delta_col].to_numpy(dtype=np.int64), _consume(g))
+        return {"start": int(g[start_col].iloc[0]), "low": low.tolist(), "off": off.tolist()}
 
-    summary_fields = [T.StructField("start", T.LongType()), T.StructField("net", T.LongType()),
-                      T.StructField("domain", T.LongType()), T.StructField("table", T.ArrayType(T.LongType()))]
+    summary_fields = [T.StructField("start", T.LongType()), T.StructField("low", T.ArrayType(T.LongType())),
+                      T.StructField("off", T.ArrayType(T.LongType()))]
 
     def apply(b: int, r: dict) -> int:
-        return int(r["table"][b]) if b < int(r["domain"]) else b + int(r["net"])
+        return apply_pieces(r["low"], r["off"], b)
 
     combine = Combine(first=lambda r: apply(int(r["start"]), r), step=apply,
                       carry=lambda b: {"_carry": b})
@@ -319,26 +353,25 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
     carry_fields = [T.StructField("_carry", T.LongType())]
 
     def scan(block: pd.DataFrame) -> pd.DataFrame:
-        change = _key_change(block, keys)
-        starts = np.flatnonzero(change).tolist() + [len(block)]
+        starts = np.flatnonzero(_key_change(block)).tolist() + [len(block)]
         deltas = block[delta_col].to_numpy(dtype=np.int64).tolist()
         cons = _consume(block).tolist()
-        carry = block["_carry"].to_numpy()
-        start_v = block[start_col].to_numpy()
+        carry = block["_carry"]
+        known, carry = carry.notna().to_numpy(), carry.fillna(0).to_numpy(dtype=np.int64)
+        start_v = block[start_col].to_numpy(dtype=np.int64)
         acc_all: list = []
         bal_all: list = []
         for a, b in zip(starts[:-1], starts[1:]):
-            c = carry[a]
-            s = int(start_v[a]) if c is None or (isinstance(c, float) and np.isnan(c)) else int(c)
+            s = int(carry[a]) if known[a] else int(start_v[a])
             acc, bal = fold_rows(deltas[a:b], cons[a:b], s)
             acc_all += acc
             bal_all += bal
-        out = block.drop(columns=["_carry", PID])
+        out = block.drop(columns=["_carry", PID, KEY])
         out["accepted"] = np.array(acc_all, dtype=bool)
         out["balance_after"] = np.array(bal_all, dtype=np.int64)
         return out
 
-    cols = [delta_col, start_col] + ([consume_col] if consume_col else []) + ([cap_col] if cap_col else [])
+    cols = [delta_col, start_col] + ([consume_col] if consume_col else [])
     scan_cols = None if keep is None else [*keep, *cols]
     if keep is not None:
         # nothing else is needed past this point: prune before the checkpoint is written
@@ -349,107 +382,61 @@ def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, st
                           out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols)
 
 
-# ---------------------------------------------------------------------------- running sum
-
-def running_sum(df: DataFrame, keys: list[str], order: list, value_col: str, out_col: str = "running",
-                num_partitions: int | None = None) -> DataFrame:
-    """Per key, the cumulative sum of ``value_col`` in ``order`` (hot keys split)."""
-    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, df.schema[value_col].dataType)])
-
-    def summarize(g):
-        return {"total": g[value_col].sum()}
-
-    vt = df.schema[value_col].dataType
-
-    combine = Combine(first=lambda r: r["total"], step=lambda acc, r: acc + r["total"],
-                      carry=lambda acc: {"_carry": acc})
+# --------------------------------------------------- running sums, runs and sessions (JVM only)
 
-    def scan(block):
-        change = _key_change(block, keys)
-        grp = np.cumsum(change)
-        vals = block[value_col]
-        cs = vals.groupby(grp).cumsum()
-        carry = block["_carry"].where(block["_carry"].notna(), 0)
-        out = block.drop(columns=["_carry", PID])
-        out[out_col] = cs + carry.astype(cs.dtype) if len(block) else cs
-        return out
+def _windowed(df: DataFrame, keys: list[str], order: list, num_partitions: int | None):
+    """The cut rows with their key as one struct (null keys equal each other), the window over a
+    chunk and the window over a key's chunks before the current one."""
+    ranged, _ = _cut(df, keys, order, num_partitions)
+    ranged = ranged.withColumn(KEY, F.struct(*keys))
+    chunk = Window.partitionBy(PID, KEY).orderBy(*_columns(order))
+    return ranged, chunk, Window.partitionBy(KEY).orderBy(PID)
 
-    return segmented_scan(df, keys, order, summarize, [T.StructField("total", vt)], combine,
-                          [T.StructField("_carry", vt)], scan, out_schema, num_partitions,
-                          summary_cols=[value_col])
 
+def running_sum(df: DataFrame, keys: list[str], order: list, value_col: str, out_col: str = "running",
+                num_partitions: int | None = None) -> DataFrame:
+    """Per key, the cumulative sum of ``value_col`` in ``order`` (hot keys split).  Null values
+    add nothing; the sum is null before the first value, as in a plain window."""
+    ranged, chunk, chunks = _windowed(df, keys, order, num_partitions)
+    kind = df.schema[value_col].dataType
+    local = ranged.withColumn("_local", F.sum(value_col).over(chunk.rowsBetween(Window.unboundedPreceding, 0)))
+    totals = ranged.groupBy(PID, KEY).agg(F.sum(value_col).alias("_total"))
+    carry = totals.select(PID, KEY, F.sum("_total").over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    run = F.coalesce(F.col("_local") + F.col("_carry"), "_local", "_carry").cast(kind)
+    return local.join(carry, [PID, KEY]).select(*df.columns, run.alias(out_col))
+
+
+def _numbered(df: DataFrame, keys: list[str], order: list, value_col: str, breaks: Callable[[Column, Column], Column],
+              out_col: str, num_partitions: int | None) -> DataFrame:
+    """Per key, 1 + the number of rows so far that ``breaks(value before, value)`` tells from
+    their predecessor."""
+    ranged, chunk, chunks = _windowed(df, keys, order, num_partitions)
+    v, at = F.col(value_col), F.row_number().over(chunk)
+    rows = ranged.withColumn("_at", at).withColumn(
+        "_break", F.when(F.col("_at") > 1, breaks(F.lag(value_col).over(chunk), v)).otherwise(F.lit(False)).cast("long"))
+    rows = rows.withColumn("_local", F.sum("_break").over(chunk.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = rows.groupBy(PID, KEY).agg(F.min_by(value_col, "_at").alias("_first"), F.max_by(value_col, "_at").alias("_last"),
+                                      F.sum("_break").alias("_inside"))
+    ends = ends.withColumn("_starts", F.when(F.row_number().over(chunks) == 1, F.lit(True))
+                           .otherwise(breaks(F.lag("_last").over(chunks), F.col("_first"))).cast("long"))
+    before = F.coalesce(F.sum(F.col("_starts") + F.col("_inside")).over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carry = ends.select(PID, KEY, (before + F.col("_starts")).alias("_carry"))
+    return rows.join(carry, [PID, KEY]).select(*df.columns, (F.col("_carry") + F.col("_local")).alias(out_col))
 
-# ------------------------------------------------------------------------------ value runs
 
 def run_numbers(df: DataFrame, keys: list[str], order: list, value_col: str, out_col: str = "run_no",
                 num_partitions: int | None = None) -> DataFrame:
     """Per key, number the maximal runs of equal ``value_col`` in ``order`` (1, 2, ...): the
-    gaps-and-islands labelling, with hot keys split."""
-    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.LongType())])
-    vt = df.schema[value_col].dataType
-
-    def summarize(g):
-        v = g[value_col].to_numpy()
-        changes = int((v[1:] != v[:-1]).sum()) if len(v) > 1 else 0
-        return {"first_v": v[0], "last_v": v[-1], "changes": changes}
-
-    # state: (runs so far, last value)
-    combine = Combine(first=lambda r: (1 + int(r["changes"]), r["last_v"]),
-                      step=lambda st, r: (st[0] + int(r["first_v"] != st[1]) + int(r["changes"]), r["last_v"]),
-                      carry=lambda st: {"_prev": st[1], "_offset": st[0]})
-
-    def scan(block):
-        grp = np.cumsum(_key_change(block, keys))
-        v = block[value_col]
-        prev = v.groupby(grp).shift(1)
-        first = prev.isna().to_numpy()
-        carry_prev = block["_prev"]
-        has_carry = carry_prev.notna().to_numpy()
-        flag = np.where(first, np.where(has_carry, (v.to_numpy() != carry_prev.to_numpy()), True),
-                        (v.to_numpy() != prev.to_numpy()))
-        offset = block["_offset"].fillna(0).astype("int64").to_numpy()
-        out = block.drop(columns=["_prev", "_offset", PID])
-        out[out_col] = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
-        return out
-
-    return segmented_scan(df, keys, order, summarize,
-                          [T.StructField("first_v", vt), T.StructField("last_v", vt), T.StructField("changes", T.LongType())],
-                          combine, [T.StructField("_prev", vt), T.StructField("_offset", T.LongType())],
-                          scan, out_schema, num_partitions, summary_cols=[value_col])
+    gaps-and-islands labelling, with hot keys split.  Nulls equal each other."""
+    return _numbered(df, keys, order, value_col, lambda a, b: ~a.eqNullSafe(b), out_col, num_partitions)
 
 
-# ------------------------------------------------------------------------- gap sessions
-
 def gap_sessions(df: DataFrame, keys: list[str], order: list, ts_col: str, gap_us: int,
                  out_col: str = "session_no", num_partitions: int | None = None) -> DataFrame:
     """Per key, number sessions in ``order``: a row more than ``gap_us`` microseconds after the
     previous row starts a new session (a row exactly at the gap stays, as Spark's session
-    window).  ``ts_col`` must be TIMESTAMP_NTZ; hot keys are split like the other scans."""
-    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.LongType())])
-    gap = pd.Timedelta(microseconds=gap_us)
-
-    def summarize(g):
-        ts = g[ts_col]
-        flags = int((ts.diff().iloc[1:] > gap).sum()) if len(g) > 1 else 0
-        return {"first_ts": ts.iloc[0], "last_ts": ts.iloc[-1], "breaks": flags}
-
-    # state: (sessions so far, last ts)
-    combine = Combine(first=lambda r: (1 + int(r["breaks"]), r["last_ts"]),
-                      step=lambda st, r: (st[0] + int(r["first_ts"] - st[1] > gap) + int(r["breaks"]), r["last_ts"]),
-                      carry=lambda st: {"_prev_ts": st[1], "_offset": st[0]})
-
-    def scan(block):
-        grp = np.cumsum(_key_change(block, keys))
-        ts = block[ts_col]
-        prev = ts.groupby(grp).shift(1).fillna(block["_prev_ts"])
-        flag = (prev.isna() | (ts - prev > gap)).to_numpy()
-        offset = block["_offset"].fillna(0).astype("int64").to_numpy()
-        out = block.drop(columns=["_prev_ts", "_offset", PID])
-        out[out_col] = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
-        return out
+    window).  A null time never starts one.  Hot keys are split like the other scans."""
+    def breaks(before, now):
+        return F.coalesce(now > F.timestamp_add("MICROSECOND", F.lit(gap_us), before), F.lit(False))
 
-    tt = T.TimestampNTZType()
-    return segmented_scan(df, keys, order, summarize,
-                          [T.StructField("first_ts", tt), T.StructField("last_ts", tt), T.StructField("breaks", T.LongType())],
-                          combine, [T.StructField("_prev_ts", tt), T.StructField("_offset", T.LongType())],
-                          scan, out_schema, num_partitions, summary_cols=[ts_col])
+    return _numbered(df, keys, order, ts_col, breaks, out_col, num_partitions)

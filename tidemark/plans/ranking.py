@@ -1,11 +1,9 @@
 """Global ranking without a single-task sort.
 
-``orderBy(..).limit(k)`` is Spark's top-k (``TakeOrderedAndProject``): each task keeps its k
-best rows and one task merges them, which is right for a bounded k.  To rank *every* row,
-``global_rank`` range-partitions by the order, numbers rows inside each sorted partition
+To rank rows without sorting them in one task, ``global_rank`` range-partitions by the order, numbers rows inside each sorted partition
 (``monotonically_increasing_id`` carries the partition index in its upper bits and the position
 in the lower 33), counts rows per partition (one row per partition), turns the counts into
-offsets and adds them back through a broadcast of that per-partition table.
+offsets and joins them back by partition.
 
 The range partitioner samples its boundaries with a seed taken from the RDD id, so two
 evaluations of the same plan may cut differently.  The numbered rows are therefore checkpointed
@@ -20,17 +18,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, range_partitions
 
-# Above this many rows a top-k is ranked with global_rank instead of a single merged limit.
-TOPK_MAX = 100_000
-
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    return range_partitions(df, num_partitions)
-
-
 def global_rank(df: DataFrame, order, rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row in the total order ``order``."""
-    n = _partitions(df, num_partitions)
+    n = range_partitions(df, num_partitions)
     numbered = df.repartitionByRange(n, *order).sortWithinPartitions(*order) \
         .withColumn("_mid", F.monotonically_increasing_id())
     numbered = numbered.withColumn("_pid", F.shiftright("_mid", 33)) \
@@ -41,19 +31,12 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank", num_partitions: in
     # one row per partition: the window below sees at most `n` rows
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = numbered.join(F.broadcast(offsets), "_pid")
+    out = numbered.join(offsets, "_pid")
     return out.withColumn(rank_col, F.col("_off") + F.col("_pos") + 1).drop("_mid", "_pid", "_pos", "_off")
 
 
 def first_k_ranked(df: DataFrame, order, k: int | None, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..k in ``order`` (all rows when ``k`` is None).
-
-    A bounded k uses the top-k operator and numbers only those k rows; a large or missing k
-    uses ``global_rank``.
-    """
-    if k is not None and k <= TOPK_MAX:
-        top = df.orderBy(*order).limit(k)
-        # at most TOPK_MAX rows, already in one partition after the limit
-        return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    """Rows ranked 1..k in ``order`` (all rows when ``k`` is None), by one plan for every k: the
+    global rank, and a filter on it."""
     ranked = global_rank(df, order, rank_col)
     return ranked if k is None else ranked.filter(F.col(rank_col) <= k)

@@ -62,11 +62,12 @@ def i01_settle(spark, d):
 
 @register("i01_final_stock", f"""WITH RECURSIVE {REQ}, {FOLD_ALL},
 used AS (SELECT warehouse_id, product_id, sum(quantity) FILTER (WHERE accepted) AS used FROM fold GROUP BY 1, 2)
-SELECT u.warehouse_id, u.product_id, {STOCK0} - COALESCE(u.used, 0) AS quantity
-FROM used u
+SELECT CAST(s.w AS BIGINT) AS warehouse_id, s.p_partkey AS product_id, {STOCK0} - COALESCE(u.used, 0) AS quantity
+FROM (SELECT p_partkey, unnest(range(0, 5)) AS w FROM part) s
+LEFT JOIN used u ON u.warehouse_id = s.w AND u.product_id = s.p_partkey
 """)
 def i01_final_stock(spark, d):
-    return inv.final_stock(src.warehouse_stock(spark, d), _settled(spark, d), requested_only=True)
+    return inv.final_stock(src.warehouse_stock(spark, d), _settled(spark, d))
 
 
 @register("i01_settle_totals", f"""WITH RECURSIVE {REQ}, {FOLD_ALL}

@@ -155,7 +155,7 @@ FROM act
 """)
 def n01_n02_daily_counts(spark, d):
     ev = src.activity_events(spark, d)
-    out = tb.with_partition_counts(ev, F.to_date("ts"), "day", "user_id")
+    out = tb.with_partition_counts(ev, F.to_date("ts"), "day", "user_id", bounded=True)
     return out.select("event_id", "day", "rows_in_partition", "distinct_in_partition")
 
 

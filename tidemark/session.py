@@ -143,21 +143,16 @@ def range_partitions(df, num_partitions: int | None = None) -> int:
     """Partitions for a range cut of ``df``: explicit, else its bytes divided by the chunk size,
     and never fewer than ``spark.sql.shuffle.partitions``.
 
-    The bytes are the smaller of the optimizer's estimate for the whole plan and the bytes of the
-    files it scans.  Join estimates multiply row counts and can exceed the input by orders of
-    magnitude (a join with a short exploded series looks like a cross product), which would cut
-    the table into far too many tiny pieces."""
+    The bytes are those of the files the plan scans where all its leaves have file sizes.  Join
+    estimates multiply row counts and can exceed the input by orders of magnitude, so they are
+    not used.  Rows that come from elsewhere (an RDD, a local list, a checkpoint) have no file
+    sizes; they are counted, at the schema's default row size."""
     if num_partitions:
         return num_partitions
     spark = df.sparkSession
     floor_n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    try:
-        target = int(spark.conf.get(CHUNK_BYTES_CONF, str(DEFAULT_CHUNK_BYTES)))
-        plan = df._jdf.queryExecution().optimizedPlan()
-        size = int(str(plan.stats().sizeInBytes()))
-        scanned = _scan_bytes(plan)
-        if scanned is not None:
-            size = min(size, scanned)
-    except Exception:  # estimate unavailable: the configured shuffle width
-        return floor_n
-    return max(floor_n, min(-(-size // max(target, 1)), 1_000_000))
+    target = max(1, int(spark.conf.get(CHUNK_BYTES_CONF, str(DEFAULT_CHUNK_BYTES))))
+    size = _scan_bytes(df._jdf.queryExecution().optimizedPlan())
+    if size is None:
+        size = df.count() * df._jdf.schema().defaultSize()
+    return max(floor_n, -(-size // target))

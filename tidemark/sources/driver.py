@@ -115,14 +115,11 @@ def activity_events(spark: SparkSession, d: str, with_country: bool = False) ->
 
 def user_countries(spark: SparkSession, d: str) -> DataFrame:
     """user_id -> country (n_name of the user's customer).  ``nation`` has 25 rows by the
-    TPC-H definition, so it is broadcast.  The (user, country) map itself is broadcast into the
-    event join only when a bounded count proves it small; otherwise the events are joined to it
-    by key (sort-merge, or AQE's run-time broadcast)."""
-    from tidemark.plans.broadcast import broadcast_if_small
-
+    TPC-H definition, so it is broadcast.  How the events meet the (user, country) map is the
+    planner's choice (sort-merge, or AQE's run-time broadcast)."""
     c = load(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     n = load(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
-    return broadcast_if_small(c.join(F.broadcast(n), "c_nationkey").select("user_id", "country"), 2_000_000)
+    return c.join(F.broadcast(n), "c_nationkey").select("user_id", "country")
 
 
 # ---------------------------------------------------------------------------------- queue

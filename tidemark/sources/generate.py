@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import seeded_int
-from tidemark.plans.broadcast import broadcast_if_small
 
 # The reference's seed categories, by id % 5.
 CATEGORY_BY_MOD5 = ["Electronics", "Books", "Clothing", "Home", "Sports"]
@@ -88,7 +87,7 @@ def gen_order_items(orders: DataFrame, products: DataFrame, seed=1, per_order: i
         .otherwise(F.lit(0).cast("decimal(5,2)")).alias("discount"),
     )
     prices = products.select(F.col("id").alias("product_id"), F.col("price").alias("unit_price"))
-    out = items.join(broadcast_if_small(prices), "product_id")
+    out = items.join(prices, "product_id")
     return out.select((F.col("order_id") * per_order + F.col("line_no") - per_order).alias("id"),
                       "order_id", "product_id", "quantity", "unit_price", "discount")
 
