@@ -36,7 +36,11 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank", num_partitions: in
 
 
 def first_k_ranked(df: DataFrame, order, k: int | None, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..k in ``order`` (all rows when ``k`` is None), by one plan for every k: the
-    global rank, and a filter on it."""
-    ranked = global_rank(df, order, rank_col)
-    return ranked if k is None else ranked.filter(F.col(rank_col) <= k)
+    """Rows ranked 1..k in ``order`` (all rows when ``k`` is None).
+
+    A given ``k`` (a batch to claim) is a top-k, whose k rows are numbered where they were
+    merged; ranking every row is ``global_rank``."""
+    if k is None:
+        return global_rank(df, order, rank_col)
+    top = df.orderBy(*order).limit(k)
+    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
