@@ -49,22 +49,39 @@ def class_of(words: list[bytes]) -> int:
     return h - (h >> 63 << 64)
 
 
+def shingle_hashes(words: list[bytes]) -> list[int]:
+    """Hashes of the word shingles, in order."""
+    joined, digest, at, starts, ends = b" ".join(words), xxhash.xxh64_intdigest, 0, [], []
+    for w in words:
+        starts.append(at)
+        at += len(w)
+        ends.append(at)
+        at += 1
+    return [digest(joined[a:b]) for a, b in zip(starts, ends[WORDS - 1:])]
+
+
 def shingles(words: list[bytes]) -> np.ndarray:
     """Distinct hashes of the word shingles, sorted."""
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(b" ".join(words[i:i + WORDS])) for i in range(len(words) - WORDS + 1)], np.uint64))
+    return np.unique(np.array(shingle_hashes(words), np.uint64))
 
 
-def bands(items: np.ndarray) -> list[int]:
-    """Signed keys of the bands of a set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def bands(sets: list[list[int]]) -> np.ndarray:
+    """Signed band keys (sets x bands): all sets' minimum hashes at once, one hash function after
+    the other."""
+    items = np.array([h for s in sets for h in s], np.uint64)
+    starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
+    keys = np.empty((len(sets), BANDS), np.uint64)
     with np.errstate(over="ignore"):
-        for a in range(0, len(items), 4096):
-            h = items[a:a + 4096, None] * _A + _B
-            h ^= h >> np.uint64(31)
-            h *= np.uint64(0x9FB21C651E98DF25)
-            least = np.minimum(least, h.min(0))
-    return [xxhash.xxh64_intdigest(least[b * ROWS:(b + 1) * ROWS].tobytes(), b) - (1 << 63) for b in range(BANDS)]
+        for band in range(BANDS):
+            key = np.full(len(sets), band + 1, np.uint64)
+            for j in range(band * ROWS, (band + 1) * ROWS):
+                h = items * _A[j] + _B[j]
+                h ^= h >> np.uint64(31)
+                h *= np.uint64(0x9FB21C651E98DF25)
+                key = (key ^ np.minimum.reduceat(h, starts)) * np.uint64(0xD6E8FEB86659FD93)
+                key ^= key >> np.uint64(32)
+            keys[:, band] = key
+    return keys.view(np.int64)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -83,16 +100,25 @@ def list_paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def list_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, texts in rows_in(batches, "id", "text"):
-        seen, keys, classes = set(), [], []
+        seen, sets, classes, held = set(), [], [], 0
+
+        def out():
+            keys = bands(sets)
+            return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.array(classes, np.int64), BANDS))], ["key", "class"])
+
         for i, text in zip(ids, texts):
             for _, words in paragraphs(text) if i is not None else ():
                 c = class_of(words)
                 if c not in seen:
                     seen.add(c)
-                    keys += bands(shingles(words))
-                    classes += [c] * BANDS
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(classes, pa.int64())], ["key", "class"])
+                    sets.append(shingle_hashes(words))
+                    classes.append(c)
+                    held += len(words)
+            if held > 1 << 17:
+                yield out()
+                sets, classes, held = [], [], 0
+        if sets:
+            yield out()
 
 
 def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
