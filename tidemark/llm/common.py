@@ -51,6 +51,19 @@ def groups_in(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tu
         yield key, rows
 
 
+def in_batches(rows: Iterator[tuple], names: list[str], size: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Rows of nullable longs as Arrow batches of ``size`` rows (a batch a group would cost more
+    than the group)."""
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held)], names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held)], names)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): one row (node, component) per node that
     is not the smallest of its component, ``component`` being that smallest node.

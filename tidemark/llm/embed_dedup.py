@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Forest, colliding, components, groups_in, pairs_of_tile, prepare, rows_in, same, saved
+from tidemark.llm.common import Forest, colliding, components, groups_in, in_batches, pairs_of_tile, prepare, rows_in, same, saved
 
 TABLES, HASHES, WIDTH = 32, 14, 2.0
 TILE = 512
@@ -83,6 +83,9 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                                              ["rep", "label", "v", "count", "size", "keys"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return in_batches(linked(batches), ["a", "b", "n"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for (label, size, t, _, ta, tb), rows in groups_in(batches, 6):
             parts, reps, counts, vs, keys = zip(*rows)
             left, right = pairs_of_tile(ta, tb, list(parts))
@@ -104,12 +107,10 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
                 np.add.at(links, p, counts[q])
                 np.add.at(links, q, counts[p])
                 edges += [(int(reps[m]), int(reps[n])) for m, n in zip(p.tolist(), q.tolist()) if forest.join(m, n)]
-            hit = np.flatnonzero(links)
-            if len(hit):
-                a = [*reps[hit].tolist(), *(e[0] for e in edges)]
-                b = [*[None] * len(hit), *(e[1] for e in edges)]
-                n = [*links[hit].tolist(), *[0] * len(edges)]
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["a", "b", "n"])
+            for i in np.flatnonzero(links).tolist():
+                yield int(reps[i]), None, int(links[i])
+            for a, b in edges:
+                yield a, b, 0
 
     spark = df.sparkSession
     prepare(spark)

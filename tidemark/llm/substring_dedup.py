@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Forest, colliding, components, groups_in, pairs_of_tile, prepare, rows_in, saved
+from tidemark.llm.common import Forest, colliding, components, groups_in, in_batches, pairs_of_tile, prepare, rows_in, saved
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 12, 4
@@ -124,11 +124,14 @@ def list_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, class) over rows sorted by (key, class), for buckets of two or more classes.  The
     bucket's name is a hash of its members, so bands that collect the same classes agree."""
-    for _, rows in groups_in(batches, 1):
-        members = list(dict.fromkeys(c for (c,) in rows))
-        if len(members) > 1:
-            name = xxhash.xxh64_intdigest(np.array(members, np.int64).tobytes()) - (1 << 63)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(members), pa.int64()), pa.array(members, pa.int64())], ["bucket", "class"])
+    def rows():
+        for _, group in groups_in(batches, 1):
+            members = list(dict.fromkeys(c for (c,) in group))
+            if len(members) > 1:
+                name = xxhash.xxh64_intdigest(np.array(members, np.int64).tobytes()) - (1 << 63)
+                yield from ((name, c) for c in members)
+
+    return in_batches(rows(), ["bucket", "class"])
 
 
 def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,18 +146,19 @@ def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (_, ta, tb), rows in groups_in(batches, 3):
-        parts, classes, items = zip(*rows)
-        sets = [np.frombuffer(x, np.uint64) for x in items]
-        left, right = pairs_of_tile(ta, tb, list(parts))
-        forest, edges = Forest(len(rows)), []
-        for i in left:
-            for j in right:
-                if (i < j or ta != tb) and forest.root(i) != forest.root(j) and jaccard(sets[i], sets[j]) >= LEAST:
-                    forest.join(i, j)
-                    edges.append((classes[i], classes[j]))
-        if edges:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
+    def edges():
+        for (_, ta, tb), rows in groups_in(batches, 3):
+            parts, classes, items = zip(*rows)
+            sets = [np.frombuffer(x, np.uint64) for x in items]
+            left, right = pairs_of_tile(ta, tb, list(parts))
+            forest = Forest(len(rows))
+            for i in left:
+                for j in right:
+                    if (i < j or ta != tb) and forest.root(i) != forest.root(j) and jaccard(sets[i], sets[j]) >= LEAST:
+                        forest.join(i, j)
+                        yield classes[i], classes[j]
+
+    return in_batches(edges(), ["a", "b"])
 
 
 def paragraph_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
