@@ -260,15 +260,19 @@ def read_warc(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    prepare(archives.sparkSession)
-    return archives.select("path", "records").repartition("path").mapInArrow(run, RECORD)
+    spark = archives.sparkSession
+    prepare(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # stated, or the few bytes of the names would end in one task
+    return archives.select("path", "records").repartition(n, "path").mapInArrow(run, RECORD)
 
 
 def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """Write ``pages`` as archives in the shared folder; (path, records, bytes)."""
     spark = pages.sparkSession
-    sample = (pages.select(F.substring(F.col(payload_col).cast("string"), 1, SAMPLE_BYTES).alias("s"), F.col(id_col).alias("i"))
-              .filter("s is not null").orderBy(F.xxhash64("i"), "i").limit(SAMPLE_ROWS).select("s").collect())
+    ids = pages.select(F.col(id_col).alias("_i")).distinct().orderBy(F.xxhash64("_i"), "_i").limit(SAMPLE_ROWS)
+    sample = (pages.join(F.broadcast(ids), pages[id_col] == ids["_i"])  # at most SAMPLE_ROWS ids
+              .select(F.substring(F.col(payload_col).cast("string"), 1, SAMPLE_BYTES).alias("s"))
+              .filter("s is not null").limit(SAMPLE_ROWS).collect())
     dictionary = train_dictionary([r["s"].encode() for r in sample])
     return write_warc(record_types(pages, id_col, url_col, payload_col), scratch_path(spark, "warc"), dictionary)
 
