@@ -98,9 +98,9 @@ def test_running_sum_hot_key(spark):
 
 def _log(spark, rows):
     return spark.createDataFrame(
-        [(i, u, p, a, q, dt.datetime(2026, 6, 20) + dt.timedelta(minutes=m), ttl)
+        [(i, u, p, a, q, dt.datetime(2026, 6, 20) + dt.timedelta(minutes=m), ttl, 0)
          for i, (u, p, a, q, m, ttl) in enumerate(rows)],
-        "event_id long, user_id long, product_id long, action string, quantity long, ts timestamp_ntz, ttl int")
+        "event_id long, user_id long, product_id long, action string, quantity long, ts timestamp_ntz, ttl int, warehouse_id long")
 
 
 def test_cart_ttl_boundary_is_new_cart(spark):
@@ -124,6 +124,21 @@ def test_cancels_refused_and_lines(spark):
     assert [r.line_after for r in c][:3] == [3, 3, 1]
 
 
+def test_confirm_clears_the_reservation(spark):
+    log = _log(spark, [(1, 1, "reserve", 3, 0, 3600), (1, 1, "confirm", 3, 1, 0), (1, 1, "confirm", 1, 2, 0),
+                       (2, 1, "reserve", 4, 0, 3600), (2, 1, "cancel", 1, 1, 0), (2, 1, "confirm", 1, 2, 0),
+                       (3, 1, "confirm", 1, 0, 0)])
+    a = inv.assign_carts(log)
+    c = inv.apply_cancels(a)
+    assert [r.outcome for r in c.orderBy("event_id").collect()] == [
+        "reserved", "confirmed", "confirmed_unreserved", "reserved", "cancelled", "confirmed", "confirmed_unreserved"]
+    lines = inv.cart_lines(c, inv.carts(a, "2026-06-20 00:30:00"))
+    assert [(r.user_id, r.units) for r in lines.collect()] == [(2, 2)]
+    assert [tuple(r) for r in inv.reserved_totals(lines).collect()] == [(0, 1, 2)]
+    back = inv.returned_stock(c, inv.cart_lines(c, inv.carts(a, "2026-06-20 02:00:00"))).collect()
+    assert [tuple(r) for r in back] == [(0, 1, 1, 2)]
+
+
 def test_carts_hot_user_matches_window_form(spark):
     """All users' cart actions folded into few users; the chunked form equals lag + running sum."""
     log = src.cart_log(spark, SF001).withColumn("user_id", F.col("user_id") % 2)

@@ -4,7 +4,8 @@
 Distinct counts are exact by default (``exact=False`` switches to HyperLogLog).  Where a query
 needs several distinct counts over the same rows, it aggregates level by level (e.g. user x day
 x session, then user x day, then user) instead of one aggregate with several DISTINCTs, which
-Spark would run through an Expand that multiplies the rows.  Every level keeps Spark's
+Spark would run through an Expand that multiplies the rows.  Reports (U05, U07-U10, U12) come
+out sorted (T05): the sort sees one row per hour, week, type, country, device or weekday.  Every level keeps Spark's
 partial (map-side) aggregation, so a user holding a third of the events is pre-reduced on every
 task before anything is shuffled.
 """
@@ -95,7 +96,7 @@ def hourly_profile(events: DataFrame, user_col: str = "user_id", exact: bool = T
         F.count(F.lit(1)).alias("events"),
         users(user_col, exact).alias("unique_users"),
         round_half_up(F.avg("duration"), 0).alias("avg_duration_sec"),
-    )
+    ).orderBy("hour")
 
 
 def top_users(events: DataFrame, k: int = 20, user_col: str = "user_id") -> DataFrame:
@@ -144,7 +145,7 @@ def retention(events: DataFrame, weeks: int = 3, user_col: str = "user_id") -> D
     per = wk.groupBy("cohort_week").agg(*aggs)
     cols = ["cohort_week", "cohort_size"] + [f"week_{i}" for i in range(weeks + 1)]
     cols += [pct(f"week_{i}", "cohort_size", 1).alias(f"retention_w{i}_pct") for i in range(1, weeks + 1)]
-    return per.select(*cols)
+    return per.select(*cols).orderBy("cohort_week")
 
 
 def event_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
@@ -152,7 +153,8 @@ def event_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True)
     per = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
                                            users(user_col, exact).alias("unique_users"))
     return per.select("event_type", "events", "unique_users",
-                      pct(F.col("events"), share_total("events"), 2).alias("pct_of_total"))
+                      pct(F.col("events"), share_total("events"), 2).alias("pct_of_total")) \
+        .orderBy(F.col("events").desc(), "event_type")
 
 
 def country_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
@@ -162,7 +164,7 @@ def country_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True
         F.avg("duration").alias("_d"))
     return per.select("country", "events", "users",
                       round_half_up(F.col("events") / F.col("users"), 1).alias("events_per_user"),
-                      round_half_up("_d", 1).alias("avg_duration"))
+                      round_half_up("_d", 1).alias("avg_duration")).orderBy(F.col("events").desc(), "country")
 
 
 def device_conversion(events: DataFrame, purchase: str = "purchase", user_col: str = "user_id",
@@ -175,7 +177,8 @@ def device_conversion(events: DataFrame, purchase: str = "purchase", user_col: s
         F.count_if(is_p).alias("purchases"))
     return per.select("device_type", "events", "users",
                       round_half_up(F.coalesce("_v", F.lit(0)), 2).alias("total_purchase_value"),
-                      "purchases", pct("purchases", "users", 2).alias("conversion_rate_pct"))
+                      "purchases", pct("purchases", "users", 2).alias("conversion_rate_pct")) \
+        .orderBy(F.col("events").desc(), "device_type")
 
 
 def peak_hours(events: DataFrame, q: float = 0.95, k: int = 20, user_col: str = "user_id",
@@ -213,7 +216,8 @@ def weekday_load(events: DataFrame, literal: bool = True, user_col: str = "user_
     else:
         per_day = events.groupBy(day).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(user_col).alias("du"))
         agg = [F.avg("n").alias("avg_events"), F.avg("du").alias("avg_users")]
-    return per_day.groupBy(iso_weekday("day").alias("day_num"), weekday_name("day").alias("day_name")).agg(*agg)
+    return per_day.groupBy(iso_weekday("day").alias("day_num"), weekday_name("day").alias("day_name")).agg(*agg) \
+        .orderBy("day_num")
 
 
 # --------------------------------------------------------------------------- rollups

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.chunked import KEY, PID, Combine, _key_change, guarded_fold, running_sum, segmented_scan
+from tidemark.plans.chunked import KEY, PID, Combine, _columns, _key_change, guarded_fold, running_sum, segmented_scan
 
 STOCK_KEYS = ["warehouse_id", "product_id"]
 
@@ -121,13 +121,13 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
     """Number each user's carts.
 
     A reserve sets the whole cart's expiry to its own ts + ttl (replacing the previous one, also
-    with a shorter one).  A reserve at or after the current expiry opens a new cart.  Cancels do
-    not touch the expiry; a cancel belongs to the cart that is live at its time, else to none.
+    with a shorter one).  A reserve at or after the current expiry opens a new cart.  Cancels and
+    confirms do not touch the expiry; each belongs to the cart that is live at its time, else to none.
     This is not Spark's session window, which keeps the longest end and merges a row landing
     exactly on it.
 
-    Adds expires_at (reserves), cart_no (reserves; live cancels), cart_live (cancels: a cart was
-    live).  Confirm rows pass through with nulls.
+    Adds expires_at (reserves), cart_no (reserves; live cancels and confirms), cart_live (cancels
+    and confirms: a cart was live).
     """
     order = list(order)
     log = cart_log.withColumn(
@@ -175,13 +175,13 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
         offset = block["_offset"].fillna(0).astype("int64").to_numpy()
         cart_no = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
         live = (prev.notna() & (ts < prev)).to_numpy()
-        is_cancel = (block["action"] == "cancel").to_numpy()
+        takes = block["action"].isin(["cancel", "confirm"]).to_numpy()
         out = block.drop(columns=["_prev_exp", "_offset", PID, KEY])
-        keep = is_res | (is_cancel & live)
+        keep = is_res | (takes & live)
         out["cart_no"] = pd.array(np.where(keep, cart_no, 0), dtype="Int64")
         out.loc[~keep, "cart_no"] = pd.NA
-        out["cart_live"] = pd.array(np.where(is_cancel, live, False), dtype="boolean")
-        out.loc[~is_cancel, "cart_live"] = pd.NA
+        out["cart_live"] = pd.array(np.where(takes, live, False), dtype="boolean")
+        out.loc[~takes, "cart_live"] = pd.NA
         return out
 
     return segmented_scan(log, [user], order, summarize, summary_fields, combine, carry_fields, scan, out_schema,
@@ -189,11 +189,12 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
 
 
 def carts(assigned: DataFrame, as_of, user: str = "user_id", order=("ts", "event_id")) -> DataFrame:
-    """One row per cart: opened, expiry (the last reserve's), reserves, units, live at as_of."""
+    """One row per cart: opened, expiry (the last reserve's), reserves, units put in (cancels and
+    confirms are netted per line, see ``cart_lines``), live at as_of."""
     res = assigned.filter(F.col("action") == "reserve")
     per = res.groupBy(user, "cart_no").agg(
         F.min("ts").alias("opened_at"),
-        F.max_by("expires_at", F.struct(*order)).alias("expires_at"),
+        F.max_by("expires_at", F.struct(*_columns(list(order)))).alias("expires_at"),
         F.count(F.lit(1)).alias("reserves"),
         F.sum(F.col("quantity").cast("long")).alias("units"),
     )
@@ -201,76 +202,86 @@ def carts(assigned: DataFrame, as_of, user: str = "user_id", order=("ts", "event
     return per.withColumn("live", (F.col("opened_at") <= t) & (F.col("expires_at") > t))
 
 
-def apply_cancels(assigned: DataFrame, user: str = "user_id", order=("ts", "event_id")) -> DataFrame:
-    """Per (user, cart, product) line, reserves add and cancels take back units; a cancel
-    of more than is reserved is refused; a cancel without a live cart is refused.
+def apply_cancels(assigned: DataFrame, user: str = "user_id", order=("ts", "event_id"), line=STOCK_KEYS) -> DataFrame:
+    """Per (user, cart, warehouse, product) line, a reserve adds units, a cancel gives units
+    back and a confirm (a sale) clears units that are no longer reserved but sold.
 
-    Adds ``outcome`` (reserved / cancelled / refused_exceeds / refused_no_cart) and
-    ``line_after`` (units still reserved on the line; 0 means the line is gone).
+    A cancel or confirm takes all of its units or none: a cancel of more than the line holds, or
+    without a live cart, is refused; a confirm of such units is a sale that leaves the reservations
+    alone (the reference's counter would go below zero).  Adds ``outcome`` (reserved / cancelled /
+    refused_exceeds / refused_no_cart / confirmed / confirmed_unreserved) and ``line_after``
+    (units still reserved on the line; 0 means the line is gone).
     """
-    rows = assigned.filter(F.col("action").isin("reserve", "cancel"))
+    rows = assigned.filter(F.col("action").isin("reserve", "cancel", "confirm"))
+    is_sale = F.col("action") == "confirm"
     in_cart = rows.filter(F.col("cart_no").isNotNull()) \
         .withColumn("_delta", F.when(F.col("action") == "reserve", F.col("quantity").cast("long"))
                     .otherwise(-F.col("quantity").cast("long"))) \
         .withColumn("_start", F.lit(0).cast("long"))
-    folded = guarded_fold(in_cart, [user, "cart_no", "product_id"], list(order), "_delta", "_start")
+    folded = guarded_fold(in_cart, [user, "cart_no", *line], list(order), "_delta", "_start")
     folded = folded.withColumn(
         "outcome", F.when(F.col("action") == "reserve", "reserved")
-        .when(F.col("accepted"), "cancelled").otherwise("refused_exceeds")) \
+        .when(F.col("accepted"), F.when(is_sale, "confirmed").otherwise("cancelled"))
+        .otherwise(F.when(is_sale, "confirmed_unreserved").otherwise("refused_exceeds"))) \
         .withColumnRenamed("balance_after", "line_after").drop("_delta", "_start", "accepted")
     no_cart = rows.filter(F.col("cart_no").isNull()) \
-        .withColumn("outcome", F.lit("refused_no_cart")).withColumn("line_after", F.lit(None).cast("long"))
+        .withColumn("outcome", F.when(is_sale, "confirmed_unreserved").otherwise("refused_no_cart")) \
+        .withColumn("line_after", F.lit(None).cast("long"))
     return folded.unionByName(no_cart)
 
 
-def cart_lines(cancelled: DataFrame, cart_table: DataFrame, user: str = "user_id") -> DataFrame:
-    """Lines of each cart after reserves and cancels: (user, cart, product) -> units reserved."""
-    last = cancelled.filter(F.col("cart_no").isNotNull()).groupBy(user, "cart_no", "product_id").agg(
-        F.max_by("line_after", F.struct("ts", "event_id")).alias("units"))
+def cart_lines(cancelled: DataFrame, cart_table: DataFrame, user: str = "user_id", order=("ts", "event_id"),
+               line=STOCK_KEYS) -> DataFrame:
+    """Lines of each cart after reserves, cancels and confirms: (user, cart, warehouse, product) ->
+    units reserved."""
+    last = cancelled.filter(F.col("cart_no").isNotNull()).groupBy(user, "cart_no", *line).agg(
+        F.max_by("line_after", F.struct(*_columns(list(order)))).alias("units"))
     return last.filter(F.col("units") > 0).join(
         cart_table.select(user, "cart_no", "expires_at", "live"), [user, "cart_no"])
 
 
-def returned_stock(cancelled: DataFrame, lines: DataFrame) -> DataFrame:
-    """Units going back to stock per product: accepted cancels, plus every line of an expired
-    cart (the reference never returned those: its carts expired with the stock still taken)."""
+def returned_stock(cancelled: DataFrame, lines: DataFrame, keys=STOCK_KEYS) -> DataFrame:
+    """Units going back to stock per (warehouse, product): accepted cancels, plus what every line of
+    an expired cart still holds (the reference never returned those: its carts expired with the
+    stock still taken).  Confirmed units are sold and do not come back."""
+    keys = list(keys)
     c = cancelled.filter(F.col("outcome") == "cancelled") \
-        .groupBy("product_id").agg(F.sum(F.col("quantity").cast("long")).alias("cancelled_units"))
-    e = lines.filter(~F.col("live")).groupBy("product_id").agg(F.sum("units").alias("expired_units"))
-    return c.join(e, "product_id", "full").select(
-        "product_id",
+        .groupBy(*keys).agg(F.sum(F.col("quantity").cast("long")).alias("cancelled_units"))
+    e = lines.filter(~F.col("live")).groupBy(*keys).agg(F.sum("units").alias("expired_units"))
+    return c.join(e, keys, "full").select(
+        *keys,
         F.coalesce("cancelled_units", F.lit(0)).alias("cancelled_units"),
         F.coalesce("expired_units", F.lit(0)).alias("expired_units"))
 
 
-def cancel_all(lines: DataFrame, users: DataFrame, user: str = "user_id") -> DataFrame:
+def cancel_all(lines: DataFrame, users: DataFrame, user: str = "user_id", keys=STOCK_KEYS) -> DataFrame:
     """For the given users, every live line is cancelled; the list of returned items per
-    user (bounded by the distinct products in that user's live carts)."""
+    user (bounded by the distinct lines of that user's live carts)."""
     live = lines.filter(F.col("live")).join(users.select(user).distinct(), user, "left_semi")
-    per = live.groupBy(user, "product_id").agg(F.sum("units").alias("quantity"))
+    per = live.groupBy(user, *keys).agg(F.sum("units").alias("quantity"))
     return per.groupBy(user).agg(
-        F.sort_array(F.collect_list(F.struct("product_id", "quantity"))).alias("cancelled_items"),
+        F.sort_array(F.collect_list(F.struct(*keys, "quantity"))).alias("cancelled_items"),
         F.sum("quantity").alias("cancelled_units"))
 
 
-def user_reservations(lines: DataFrame, user: str = "user_id") -> DataFrame:
-    """Live reservations of each user as a map product -> units."""
-    live = lines.filter(F.col("live")).groupBy(user, "product_id").agg(F.sum("units").alias("units"))
-    return live.groupBy(user).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("product_id", "units")))).alias("reservations"))
+def user_reservations(lines: DataFrame, user: str = "user_id", keys=STOCK_KEYS) -> DataFrame:
+    """Live reservations of each user as a map "warehouse:product" -> units."""
+    live = lines.filter(F.col("live")).groupBy(user, *keys).agg(F.sum("units").alias("units"))
+    entry = F.struct(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("line"), "units")
+    return live.groupBy(user).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("reservations"))
 
 
-def reserved_quantity(product_id) -> Column:
-    """One product's reserved units from the map, 0 when absent."""
-    return F.coalesce(F.col("reservations").getItem(product_id), F.lit(0).cast("long"))
+def reserved_quantity(product_id, warehouse_id) -> Column:
+    """One line's reserved units from the map, 0 when absent."""
+    return F.coalesce(F.col("reservations").getItem(f"{warehouse_id}:{product_id}"), F.lit(0).cast("long"))
 
 
-def reserved_totals(lines: DataFrame, keys=("product_id",)) -> DataFrame:
-    """Reserved units per product over all users' live carts."""
+def reserved_totals(lines: DataFrame, keys=STOCK_KEYS) -> DataFrame:
+    """Reserved units per (warehouse, product) over all users' live carts."""
     return lines.filter(F.col("live")).groupBy(*keys).agg(F.sum("units").alias("reserved"))
 
 
-def availability(stock: DataFrame, reserved: DataFrame, keys=("product_id",)) -> DataFrame:
+def availability(stock: DataFrame, reserved: DataFrame, keys=STOCK_KEYS) -> DataFrame:
     """Physical, reserved (0 if none) and available = physical - reserved (not
     clamped at 0, as in the reference)."""
     keys = list(keys)

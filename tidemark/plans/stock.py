@@ -116,13 +116,15 @@ def i03_confirm_orders(spark, d):
 SELECT md5(CAST(order_id AS VARCHAR) || '|' || CAST(line_no AS VARCHAR) || '|' || CAST(supplier_id AS VARCHAR) || '|' ||
            CAST(product_id AS VARCHAR) || '|' || CAST(quantity AS VARCHAR)) AS event_id,
        'STOCK_DECREASED' AS event_type, product_id, warehouse_id, -quantity AS quantity, ts AS timestamp,
-       CAST(order_id AS VARCHAR) AS order_ref
-FROM fold WHERE {OUTCOME_SQL} IN ('confirmed', 'confirmed_uncleared')
+       CAST(order_id AS VARCHAR) AS order_ref, CAST(o_custkey AS VARCHAR) AS user_ref
+FROM fold LEFT JOIN orders ON o_orderkey = order_id WHERE {OUTCOME_SQL} IN ('confirmed', 'confirmed_uncleared')
 """)
 def i04_stock_events(spark, d):
-    ev = inv.stock_events(_outcomes(spark, d), ["order_id", "line_no", "supplier_id", "product_id", "quantity"])
+    buyers = src.shop_orders(spark, d).select(F.col("id").alias("order_id"), F.col("client_id").alias("user_id"))
+    ev = inv.stock_events(_outcomes(spark, d).join(buyers, "order_id", "left"),
+                          ["order_id", "line_no", "supplier_id", "product_id", "quantity"], "user_id")
     return ev.select("event_id", "event_type", "product_id", "warehouse_id", "quantity", "timestamp",
-                     F.col("metadata")["order_id"].alias("order_ref"))
+                     F.col("metadata")["order_id"].alias("order_ref"), F.col("metadata")["user_id"].alias("user_ref"))
 
 
 # ------------------------------------------------------------------------------- carts
@@ -130,6 +132,7 @@ def i04_stock_events(spark, d):
 CART = f"""
 log AS (
   SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
+         user_id % {src.WAREHOUSES} AS warehouse_id,
          CASE WHEN event_type IN ('click', 'view') THEN 'reserve' WHEN event_type = 'error' THEN 'cancel'
               WHEN event_type = 'purchase' THEN 'confirm' END AS action,
          1 + event_id % 5 AS quantity, ts, {src.CART_TTL_SECONDS} AS ttl
@@ -141,9 +144,9 @@ f AS (SELECT *, CASE WHEN action = 'reserve' AND (prev_exp IS NULL OR ts >= prev
 a AS (SELECT *, sum(flag) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cno,
              (prev_exp IS NOT NULL AND ts < prev_exp) AS live_now FROM f),
 assigned AS (
-  SELECT event_id, user_id, product_id, action, quantity, ts, ttl, expires_at,
-         CASE WHEN action = 'reserve' OR (action = 'cancel' AND live_now) THEN cno END AS cart_no,
-         CASE WHEN action = 'cancel' THEN live_now END AS cart_live
+  SELECT event_id, user_id, product_id, warehouse_id, action, quantity, ts, ttl, expires_at,
+         CASE WHEN action = 'reserve' OR live_now THEN cno END AS cart_no,
+         CASE WHEN action <> 'reserve' THEN live_now END AS cart_live
   FROM a),
 carts AS (
   SELECT user_id, cart_no, min(ts) AS opened_at, max(last_exp) AS expires_at, count(*) AS reserves,
@@ -155,30 +158,33 @@ carts AS (
   GROUP BY user_id, cart_no)
 """
 
+# Line by line: reserves add; a cancel or a confirm takes all of its units or none.
 CANCELS = CART + """,
 lr AS (SELECT *, CASE WHEN action = 'reserve' THEN quantity ELSE -quantity END AS delta,
-              row_number() OVER (PARTITION BY user_id, cart_no, product_id ORDER BY ts, event_id) AS rn
-       FROM assigned WHERE action IN ('reserve', 'cancel') AND cart_no IS NOT NULL),
+              row_number() OVER (PARTITION BY user_id, cart_no, warehouse_id, product_id ORDER BY ts, event_id) AS rn
+       FROM assigned WHERE cart_no IS NOT NULL),
 cf AS (
-  SELECT event_id, user_id, cart_no, product_id, action, quantity, ts, rn,
-         delta >= 0 OR -delta <= 0 AS accepted, CASE WHEN delta >= 0 THEN delta ELSE 0 END AS bal
+  SELECT event_id, user_id, cart_no, warehouse_id, product_id, action, quantity, ts, rn,
+         delta >= 0 AS accepted, greatest(delta, 0) AS bal
   FROM lr WHERE rn = 1
   UNION ALL
-  SELECT r.event_id, r.user_id, r.cart_no, r.product_id, r.action, r.quantity, r.ts, r.rn,
-         r.delta >= 0 OR -r.delta <= c.bal,
-         CASE WHEN r.delta >= 0 THEN c.bal + r.delta WHEN -r.delta <= c.bal THEN c.bal + r.delta ELSE c.bal END
-  FROM cf c JOIN lr r ON r.user_id = c.user_id AND r.cart_no = c.cart_no AND r.product_id = c.product_id
-                     AND r.rn = c.rn + 1),
+  SELECT r.event_id, r.user_id, r.cart_no, r.warehouse_id, r.product_id, r.action, r.quantity, r.ts, r.rn,
+         c.bal + r.delta >= 0, CASE WHEN c.bal + r.delta >= 0 THEN c.bal + r.delta ELSE c.bal END
+  FROM cf c JOIN lr r ON r.user_id = c.user_id AND r.cart_no = c.cart_no AND r.warehouse_id = c.warehouse_id
+                     AND r.product_id = c.product_id AND r.rn = c.rn + 1),
 cancelled AS (
-  SELECT event_id, user_id, cart_no, product_id, action, quantity, ts,
-         CASE WHEN action = 'reserve' THEN 'reserved' WHEN accepted THEN 'cancelled' ELSE 'refused_exceeds' END AS outcome,
+  SELECT event_id, user_id, cart_no, warehouse_id, product_id, action, quantity, ts,
+         CASE WHEN action = 'reserve' THEN 'reserved'
+              WHEN action = 'confirm' THEN CASE WHEN accepted THEN 'confirmed' ELSE 'confirmed_unreserved' END
+              WHEN accepted THEN 'cancelled' ELSE 'refused_exceeds' END AS outcome,
          bal AS line_after FROM cf
   UNION ALL
-  SELECT event_id, user_id, cart_no, product_id, action, quantity, ts, 'refused_no_cart', NULL
-  FROM assigned WHERE action = 'cancel' AND cart_no IS NULL),
+  SELECT event_id, user_id, cart_no, warehouse_id, product_id, action, quantity, ts,
+         CASE WHEN action = 'confirm' THEN 'confirmed_unreserved' ELSE 'refused_no_cart' END, NULL
+  FROM assigned WHERE action <> 'reserve' AND cart_no IS NULL),
 lines AS (
-  SELECT l.user_id, l.cart_no, l.product_id, l.units, c.expires_at, c.live
-  FROM (SELECT user_id, cart_no, product_id, arg_max(bal, rn) AS units FROM cf GROUP BY 1, 2, 3) l
+  SELECT l.user_id, l.cart_no, l.warehouse_id, l.product_id, l.units, c.expires_at, c.live
+  FROM (SELECT user_id, cart_no, warehouse_id, product_id, arg_max(bal, rn) AS units FROM cf GROUP BY 1, 2, 3, 4) l
   JOIN carts c ON c.user_id = l.user_id AND c.cart_no = l.cart_no
   WHERE l.units > 0)
 """
@@ -230,19 +236,19 @@ def i05_live_carts(spark, d):
 
 
 @register("i06_apply_cancels", f"""WITH RECURSIVE {CANCELS}
-SELECT event_id, user_id, cart_no, product_id, action, outcome, line_after FROM cancelled
+SELECT event_id, user_id, cart_no, warehouse_id, product_id, action, outcome, line_after FROM cancelled
 """)
 def i06_apply_cancels(spark, d):
-    return _cancelled(spark, d).select("event_id", "user_id", "cart_no", "product_id", "action", "outcome",
-                                       "line_after")
+    return _cancelled(spark, d).select("event_id", "user_id", "cart_no", "warehouse_id", "product_id", "action",
+                                       "outcome", "line_after")
 
 
 @register("i06_returned_stock", f"""WITH RECURSIVE {CANCELS},
-c AS (SELECT product_id, sum(quantity) AS cancelled_units FROM cancelled WHERE outcome = 'cancelled' GROUP BY 1),
-e AS (SELECT product_id, sum(units) AS expired_units FROM lines WHERE NOT live GROUP BY 1)
-SELECT COALESCE(c.product_id, e.product_id) AS product_id, COALESCE(cancelled_units, 0) AS cancelled_units,
-       COALESCE(expired_units, 0) AS expired_units
-FROM c FULL JOIN e ON c.product_id = e.product_id
+moved AS (
+  SELECT warehouse_id, product_id, quantity AS c, 0 AS e FROM cancelled WHERE outcome = 'cancelled'
+  UNION ALL
+  SELECT warehouse_id, product_id, 0, units FROM lines WHERE NOT live)
+SELECT warehouse_id, product_id, sum(c) AS cancelled_units, sum(e) AS expired_units FROM moved GROUP BY 1, 2
 """)
 def i06_returned_stock(spark, d):
     return inv.returned_stock(*_cart_state(spark, d))
@@ -250,9 +256,9 @@ def i06_returned_stock(spark, d):
 
 @register("i07_cancel_all", f"""WITH RECURSIVE {CANCELS},
 u AS (SELECT c_custkey AS user_id FROM customer WHERE c_mktsegment = 'HOUSEHOLD'),
-per AS (SELECT l.user_id, product_id, sum(units) AS quantity FROM lines l JOIN u ON u.user_id = l.user_id
-        WHERE live GROUP BY 1, 2)
-SELECT user_id, string_agg(CAST(product_id AS VARCHAR) || ':' || CAST(quantity AS VARCHAR), ',' ORDER BY product_id) AS cancelled_items,
+per AS (SELECT l.user_id, warehouse_id, product_id, sum(units) AS quantity FROM lines l JOIN u ON u.user_id = l.user_id
+        WHERE live GROUP BY 1, 2, 3)
+SELECT user_id, string_agg(concat_ws(':', warehouse_id, product_id, quantity), ',' ORDER BY warehouse_id, product_id) AS cancelled_items,
        sum(quantity) AS cancelled_units
 FROM per GROUP BY user_id
 """)
@@ -260,65 +266,68 @@ def i07_cancel_all(spark, d):
     users = src.load(spark, d, "customer").filter(F.col("c_mktsegment") == "HOUSEHOLD") \
         .select(F.col("c_custkey").alias("user_id"))
     out = inv.cancel_all(_lines(spark, d), users)
-    items = F.array_join(F.transform("cancelled_items", lambda x: F.concat(
-        x["product_id"].cast("string"), F.lit(":"), x["quantity"].cast("string"))), ",")
+    items = F.array_join(F.transform("cancelled_items", lambda x: F.concat_ws(
+        ":", *[x[c].cast("string") for c in ("warehouse_id", "product_id", "quantity")])), ",")
     return out.select("user_id", items.alias("cancelled_items"), "cancelled_units")
 
 
 @register("i09_user_reservations", f"""WITH RECURSIVE {CANCELS},
-per AS (SELECT user_id, product_id, sum(units) AS units FROM lines WHERE live GROUP BY 1, 2)
-SELECT user_id, string_agg(CAST(product_id AS VARCHAR) || ':' || CAST(units AS VARCHAR), ',' ORDER BY product_id) AS reservations,
-       COALESCE(max(units) FILTER (WHERE product_id = 7), 0) AS product_7
+per AS (SELECT user_id, concat_ws(':', warehouse_id, product_id) AS line, sum(units) AS units
+        FROM lines WHERE live GROUP BY 1, 2)
+SELECT user_id, string_agg(concat_ws('=', line, units), ',' ORDER BY line) AS reservations,
+       COALESCE(max(units) FILTER (WHERE line = '2:7'), 0) AS product_7_at_2
 FROM per GROUP BY user_id
 """)
 def i09_user_reservations(spark, d):
     r = inv.user_reservations(_lines(spark, d))
-    text = F.array_join(F.transform(F.map_entries("reservations"), lambda e: F.concat(
-        e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))), ",")
-    return r.select("user_id", text.alias("reservations"), inv.reserved_quantity(7).alias("product_7"))
+    text = F.array_join(F.transform(F.map_entries("reservations"), lambda e: F.concat_ws(
+        "=", e["key"], e["value"].cast("string"))), ",")
+    return r.select("user_id", text.alias("reservations"), inv.reserved_quantity(7, 2).alias("product_7_at_2"))
 
 
 @register("i10_reserved_totals", f"""WITH RECURSIVE {CANCELS}
-SELECT product_id, sum(units) AS reserved FROM lines WHERE live GROUP BY 1
+SELECT warehouse_id, product_id, sum(units) AS reserved FROM lines WHERE live GROUP BY 1, 2
 """)
 def i10_reserved_totals(spark, d):
     return inv.reserved_totals(_lines(spark, d))
 
 
 @register("i11_availability", f"""WITH RECURSIVE {CANCELS},
-res AS (SELECT product_id, sum(units) AS reserved FROM lines WHERE live GROUP BY 1)
-SELECT p.p_partkey AS product_id, {STOCK0} AS total_physical, COALESCE(r.reserved, 0) AS currently_reserved,
-       {STOCK0} - COALESCE(r.reserved, 0) AS available_to_buy
-FROM part p LEFT JOIN res r ON r.product_id = p.p_partkey
+res AS (SELECT warehouse_id, product_id, sum(units) AS reserved FROM lines WHERE live GROUP BY 1, 2)
+SELECT s.w AS warehouse_id, s.p_partkey AS product_id, {STOCK0} AS total_physical,
+       COALESCE(r.reserved, 0) AS currently_reserved, {STOCK0} - COALESCE(r.reserved, 0) AS available_to_buy
+FROM (SELECT p_partkey, unnest(range(0, {src.WAREHOUSES})) AS w FROM part) s
+LEFT JOIN res r ON r.warehouse_id = s.w AND r.product_id = s.p_partkey
 """)
 def i11_availability(spark, d):
-    stock = src.warehouse_stock(spark, d).filter(F.col("warehouse_id") == 0).select("product_id", "quantity")
-    return inv.availability(stock, inv.reserved_totals(_lines(spark, d)))
+    return inv.availability(src.warehouse_stock(spark, d), inv.reserved_totals(_lines(spark, d)))
 
 
 @register("i08_reserve", f"""WITH RECURSIVE
-req AS (
-  SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id, 0 AS warehouse_id,
-         1 + event_id % 5 AS quantity,
-         row_number() OVER (PARTITION BY CAST(json_extract_string(props, '$.k') AS BIGINT) ORDER BY ts, event_id) AS rn
+raw AS (
+  SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
+         user_id % {src.WAREHOUSES} AS warehouse_id, 1 + event_id % 5 AS quantity, ts
   FROM events WHERE event_type IN ('click', 'view')),
+req AS (
+  SELECT r.*, CASE WHEN p_partkey IS NULL THEN 0 ELSE {STOCK0} END AS stock,
+         row_number() OVER (PARTITION BY r.warehouse_id, r.product_id ORDER BY ts, event_id) AS rn
+  FROM raw r LEFT JOIN part ON p_partkey = r.product_id),
 fold AS (
-  SELECT event_id, user_id, product_id, quantity, rn, quantity <= {STOCK0} AS accepted,
-         CASE WHEN quantity <= {STOCK0} THEN {STOCK0} - quantity ELSE {STOCK0} END AS bal FROM req WHERE rn = 1
+  SELECT event_id, user_id, warehouse_id, product_id, quantity, rn, quantity <= stock AS accepted,
+         CASE WHEN quantity <= stock THEN stock - quantity ELSE stock END AS bal FROM req WHERE rn = 1
   UNION ALL
-  SELECT r.event_id, r.user_id, r.product_id, r.quantity, r.rn, r.quantity <= f.bal,
+  SELECT r.event_id, r.user_id, r.warehouse_id, r.product_id, r.quantity, r.rn, r.quantity <= f.bal,
          CASE WHEN r.quantity <= f.bal THEN f.bal - r.quantity ELSE f.bal END
-  FROM fold f JOIN req r ON r.product_id = f.product_id AND r.rn = f.rn + 1)
-SELECT event_id, user_id, product_id, CASE WHEN accepted THEN quantity ELSE 0 END AS reserved_quantity,
+  FROM fold f JOIN req r ON r.warehouse_id = f.warehouse_id AND r.product_id = f.product_id AND r.rn = f.rn + 1)
+SELECT event_id, user_id, warehouse_id, product_id, CASE WHEN accepted THEN quantity ELSE 0 END AS reserved_quantity,
        bal AS remaining_quantity
 FROM fold
 """)
 def i08_reserve(spark, d):
-    """Reserve actions take units of product k from warehouse 0 (stock of part k there)."""
-    reqs = src.cart_log(spark, d).filter(F.col("action") == "reserve") \
-        .withColumn("warehouse_id", F.lit(0).cast("long"))
+    """Reserve actions take units of product k from the warehouse that serves the user."""
+    reqs = src.cart_log(spark, d).filter(F.col("action") == "reserve")
     out = inv.reserve(src.warehouse_stock(spark, d), reqs, ["ts", "event_id"])
-    return out.select("event_id", "user_id", "product_id", "reserved_quantity", "remaining_quantity")
+    return out.select("event_id", "user_id", "warehouse_id", "product_id", "reserved_quantity", "remaining_quantity")
 
 
 # ------------------------------------------------------------------------------ events

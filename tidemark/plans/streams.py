@@ -2,8 +2,9 @@
 
 Each writes its input (derived from the driver's tables) as a file source under the shared
 checkpoint folder, runs the stream with ``availableNow`` into a sink with its own checkpoint,
-and returns the sink read back.  Oracles for windowed outputs keep only windows the final
-watermark has closed (the stream holds the others open, as it should).
+and returns the sink read back.  Windows, carts and requests still open at the end of the log are
+closed by an end marker that arrives later (a second run from the checkpoint), so the results are
+those of the whole log.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ import os
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import activity as act
 from tidemark.operators import workqueue as wq
 from tidemark.plans.activity import ACT, ACT_COUNTRY
 from tidemark.plans.queue import JOBS, NOW, RANKED
 from tidemark.plans.registry import register
-from tidemark.plans.stock import CART, EVENTS, FOLD_ALL, REQ
+from tidemark.plans.stock import CANCELS, CART, EVENTS, FOLD_ALL, REQ
 from tidemark.session import scratch_path
 from tidemark.sources import driver as src
 from tidemark.session import ship_package
@@ -24,13 +26,17 @@ from tidemark.streaming import stateful
 from tidemark.streaming import streams as st
 
 
-def _source(spark, df, name, ts_col, files=8):
+def _source(spark, df, name, ts_col, after=None):
     """The input as files in the shared folder, read as a stream.  All files are taken in one
     trigger: files written by one job carry no usable arrival order (the file source orders by
-    modification time), and replaying them out of order would make in-time rows late."""
+    modification time), and replaying them out of order would make in-time rows late.  With
+    ``after``, also returns the arrival of the end marker, that much later."""
     path = os.path.join(scratch_path(spark, name), "source")
-    st.write_source(df, path, ts_col, files)
-    return st.read_source(spark, path, df.schema, files_per_trigger=None)
+    st.write_source(df, path, ts_col)
+    stream = st.read_source(spark, path, df.schema, files_per_trigger=None)
+    if after is None:
+        return stream
+    return stream, lambda: st.write_source(st.closing_row(df, ts_col, after), path, ts_col, 1)
 
 
 @register("z01_ingest_events", f"""WITH {EVENTS}
@@ -43,29 +49,45 @@ def z01_ingest_events(spark, d):
     return out.select("event_id", "event_type", "product_id", "warehouse_id", "quantity", "timestamp")
 
 
+@register("z01_ingest_keyed", f"""WITH {EVENTS}
+SELECT event_id, event_type, product_id, warehouse_id, quantity, timestamp FROM uniq
+""")
+def z01_ingest_keyed(spark, d):
+    """First deliveries, then the redeliveries as a later arrival: no id is taken twice."""
+    ev = src.inventory_events(spark, d).drop("metadata")
+    path = os.path.join(scratch_path(spark, "z01k"), "source")
+    st.write_source(ev.filter("delivery = 0"), path, "timestamp")
+    stream = st.read_source(spark, path, ev.schema, files_per_trigger=None)
+    out = st.run_ingest(spark, stream, "z01k", lambda: st.write_source(ev.filter("delivery > 0"), path, "timestamp"))
+    return out.select("event_id", "event_type", "product_id", "warehouse_id", "quantity", "timestamp")
+
+
 @register("z02_stream_rollup", f"""WITH {ACT_COUNTRY}
 SELECT CAST(ts AS DATE) AS day, country, device_type, count(*) AS event_count,
        CAST(sum(duration) AS BIGINT) AS total_duration,
-       CAST(sum(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-FROM actc
-WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-GROUP BY 1, 2, 3
+       CAST(sum(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, true AS users_within_5pct
+FROM actc GROUP BY 1, 2, 3
 """)
 def z02_stream_rollup(spark, d):
     ev = src.activity_events(spark, d, with_country=True)
-    stream = _source(spark, ev, "z02", "ts")
-    out = st.run_append(spark, st.stream_rollup(stream), "z02")
-    return out.select("day", "country", "device_type", "event_count", "total_duration",
-                      F.col("total_value").cast("double").alias("total_value"))
+    stream, end = _source(spark, ev, "z02", "ts", "3 DAYS")
+    out = st.run_append(spark, st.stream_rollup(stream), "z02", end)
+    exact = act.daily_rollup(ev).select(F.col("day").alias("_d"), F.col("country").alias("_c"),
+                                        F.col("device_type").alias("_t"), "unique_users")
+    met = out.join(exact, (out["day"] == exact["_d"]) & out["country"].eqNullSafe(exact["_c"])
+                   & (out["device_type"] == exact["_t"]), "left")
+    near = F.abs(F.col("unique_users_est") - F.col("unique_users")) <= F.greatest(F.lit(1.0), F.col("unique_users") * 0.05)
+    return met.select("day", "country", "device_type", "event_count", "total_duration",
+                      F.col("total_value").cast("double").alias("total_value"), near.alias("users_within_5pct"))
 
 
 @register("z04_stream_reserved", f"""WITH {CART}
-SELECT product_id, sum(CASE WHEN action = 'reserve' THEN quantity WHEN action = 'confirm' THEN -quantity ELSE 0 END) AS reserved
-FROM log GROUP BY product_id
+SELECT warehouse_id, product_id, sum(CASE WHEN action = 'reserve' THEN quantity ELSE -quantity END) AS reserved
+FROM log GROUP BY 1, 2
 """)
 def z04_stream_reserved(spark, d):
     stream = _source(spark, src.cart_log(spark, d), "z04", "ts")
-    return st.run_update(spark, st.stream_reserved(stream), "z04", ["product_id"])
+    return st.run_update(spark, st.stream_reserved(stream), "z04", ["warehouse_id", "product_id"])
 
 
 @register("z06_stream_worker_counts", f"""WITH {JOBS}, {RANKED}
@@ -84,31 +106,29 @@ s AS (SELECT user_id, ts,
 n AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s),
 ses AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events
         FROM n GROUP BY user_id, sid)
-SELECT * FROM ses WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+SELECT * FROM ses
 """)
 def z07_stream_sessions(spark, d):
     ev = src.activity_events(spark, d).select("user_id", "ts")
-    stream = _source(spark, ev, "z07", "ts")
-    return st.run_append(spark, st.stream_sessions(stream), "z07")
+    stream, end = _source(spark, ev, "z07", "ts", "3 HOURS")
+    return st.run_append(spark, st.stream_sessions(stream), "z07", end)
 
 
 @register("z05_stream_settle", f"""WITH RECURSIVE {REQ}, {FOLD_ALL}
 SELECT warehouse_id, product_id, order_id, line_no, supplier_id, quantity, ts, accepted, balance_after FROM fold
-WHERE ts <= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 1 DAY
 """)
 def z05_stream_settle(spark, d):
     ship_package(spark)
     reqs = src.stock_requests(spark, d).select("order_id", "line_no", "product_id", "warehouse_id",
                                                 "supplier_id", "quantity", "ts")
-    stream = _source(spark, reqs, "z05", "ts")
-    return st.run_append(spark, stateful.stream_settle(stream, src.warehouse_stock(spark, d), "1 day"), "z05")
+    stream, end = _source(spark, reqs, "z05", "ts", "3 DAYS")
+    return st.run_append(spark, stateful.stream_settle(stream, src.warehouse_stock(spark, d), "1 day"), "z05", end)
 
 
-@register("z03_stream_carts", f"""WITH {CART}
-SELECT user_id, cart_no, opened_at, expires_at, reserves, units FROM carts
-WHERE expires_at <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+@register("z03_stream_carts", f"""WITH RECURSIVE {CANCELS}
+SELECT user_id, cart_no, warehouse_id, product_id, units, expires_at FROM lines
 """)
 def z03_stream_carts(spark, d):
     ship_package(spark)
-    stream = _source(spark, src.cart_log(spark, d), "z03", "ts")
-    return st.run_append(spark, stateful.stream_carts(stream, "1 hour"), "z03")
+    stream, end = _source(spark, src.cart_log(spark, d), "z03", "ts", f"{src.CART_TTL_SECONDS + 7200} SECONDS")
+    return st.run_append(spark, stateful.stream_carts(stream, "1 hour"), "z03", end)

@@ -2,7 +2,7 @@
 
 Every adapter is a projection (plus, where noted, a join to a small dimension) over a full
 table, so Catalyst prunes columns and pushes filters of the caller down to the Parquet scan.
-The same mapping is written in SQL in ``tidemark.plans.oracle`` for the DuckDB check.
+The same mapping is written in SQL beside the registered queries for the DuckDB check.
 """
 
 from __future__ import annotations
@@ -232,7 +232,8 @@ def inventory_events(spark: SparkSession, d: str) -> DataFrame:
 def cart_log(spark: SparkSession, d: str, ttl: int = CART_TTL_SECONDS) -> DataFrame:
     """Cart actions over events: click/view reserve, error cancels, purchase confirms.
 
-    product = k of the event, quantity = 1 + event_id % 5; signups are not cart actions.
+    product = k of the event, quantity = 1 + event_id % 5, warehouse = the one that serves the user
+    (user_id % 5); signups are not cart actions.
     """
     e = load(spark, d, "events")
     action = F.when(F.col("event_type").isin("click", "view"), "reserve") \
@@ -242,6 +243,7 @@ def cart_log(spark: SparkSession, d: str, ttl: int = CART_TTL_SECONDS) -> DataFr
         F.col("event_id"),
         F.col("user_id"),
         _k().cast("long").alias("product_id"),
+        F.pmod(F.col("user_id"), F.lit(WAREHOUSES)).cast("long").alias("warehouse_id"),
         action.alias("action"),
         (F.lit(1) + F.pmod(F.col("event_id"), F.lit(5))).alias("quantity"),
         F.col("ts"),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import readable_size
+from tidemark.session import range_partitions
 
 GRAIN_COLUMN = {"day": "event_date", "month": "event_month"}
 
@@ -32,10 +33,11 @@ def with_partition_column(df: DataFrame, grain: str, ts_col: str = "ts") -> Data
 def write_layout(df: DataFrame, path: str, grain: str = "day", sort_cols=("user_id", "ts"),
                  ts_col: str = "ts", mode: str = "overwrite", num_partitions: int | None = None,
                  max_records_per_file: int = 5_000_000) -> str:
-    """Write ``df`` partitioned by ``grain`` and sorted by ``sort_cols`` inside each file."""
+    """Write ``df`` partitioned by ``grain`` and sorted by ``sort_cols`` inside each file.  The
+    number of tasks follows the bytes of ``df`` (``range_partitions``) unless it is given."""
     part = GRAIN_COLUMN[grain]
     out = with_partition_column(df, grain, ts_col) if part not in df.columns else df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(out, num_partitions)
     keys = [part, *sort_cols]
     out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     (out.write.mode(mode).partitionBy(part)
@@ -80,7 +82,7 @@ def retain(df: DataFrame, as_of, ts_col: str = "ts", keep: str = "INTERVAL 1 YEA
 def layout_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Per table: rows, bytes on disk, bytes per row, partitions, readable size.
 
-    Sizes come from the file metadata column, so only footers and file listings are read.
+    Sizes come from the file metadata column; no data column is read.
     """
     out = None
     for name, path in paths.items():

@@ -56,7 +56,7 @@ SETTLE_BUFFER = T.StructType([
     T.StructField("ms", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("order_id", T.LongType()), T.StructField("line_no", T.IntegerType()),
     T.StructField("supplier_id", T.LongType()), T.StructField("quantity", T.LongType()),
-    T.StructField("start", T.LongType()),
+    T.StructField("start", T.LongType()), T.StructField("known", T.BooleanType()),
 ])
 
 SETTLE_OUT = T.StructType([
@@ -82,7 +82,7 @@ class GuardedDecrement(StatefulProcessor):
         for pdf in rows:
             buf = pd.DataFrame({"ms": pdf["ev_ms"], "ts": pdf["ts"], "order_id": pdf["order_id"],
                                 "line_no": pdf["line_no"], "supplier_id": pdf["supplier_id"],
-                                "quantity": pdf["quantity"], "start": pdf["start_qty"]})
+                                "quantity": pdf["quantity"], "start": pdf["start_qty"], "known": pdf["known"]})
             self.buffer.appendList(_tuples(buf[_BUF_COLS]))
             # one timer per key and batch, at the earliest new row: when it fires, every
             # buffered row the watermark has passed is processed
@@ -98,8 +98,8 @@ class GuardedDecrement(StatefulProcessor):
         later = [r for r in rows if r[0] > wm]
         b = self.balance.get()[0] if self.balance.exists() else int(due[0][6])
         out = []
-        for ms, ts, order_id, line_no, supplier_id, q, _start in due:
-            ok = b >= q
+        for ms, ts, order_id, line_no, supplier_id, q, _start, known in due:
+            ok = bool(known) and b >= q
             if ok:
                 b -= q
             out.append((key[0], key[1], order_id, line_no, supplier_id, q, ts, ok, b))
@@ -116,13 +116,15 @@ class GuardedDecrement(StatefulProcessor):
 
 def stream_settle(requests: DataFrame, stock: DataFrame, delay: str = "1 day") -> DataFrame:
     """The guarded decrement over a request stream.  Initial stock comes from a static
-    table (stream-static join); outcomes are emitted once the watermark passes a request."""
+    table (stream-static join); outcomes are emitted once the watermark passes a request.  A request
+    without a stock row is rejected, with balance 0, as in the batch form."""
     requests.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     s = stock.select("warehouse_id", "product_id", F.col("quantity").cast("long").alias("start_qty"))
-    r = requests.join(s, ["warehouse_id", "product_id"])
+    r = requests.join(s, ["warehouse_id", "product_id"], "left").withColumn("known", F.col("start_qty").isNotNull()) \
+        .withColumn("start_qty", F.coalesce("start_qty", F.lit(0).cast("long")))
     r = _event_time(r, "ts", delay).select(
         "warehouse_id", "product_id", "order_id", "line_no", "supplier_id",
-        F.col("quantity").cast("long").alias("quantity"), "ts", "start_qty", "ev_ms", "ev_time")
+        F.col("quantity").cast("long").alias("quantity"), "ts", "start_qty", "known", "ev_ms", "ev_time")
     return r.groupBy("warehouse_id", "product_id").transformWithStateInPandas(
         GuardedDecrement(), SETTLE_OUT, "append", "EventTime")
 
@@ -133,70 +135,79 @@ CART_BUFFER = T.StructType([
     T.StructField("ms", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("event_id", T.LongType()), T.StructField("action", T.StringType()),
     T.StructField("quantity", T.LongType()), T.StructField("ttl_ms", T.LongType()),
+    T.StructField("warehouse_id", T.LongType()), T.StructField("product_id", T.LongType()),
 ])
 
 CART_STATE = T.StructType([
-    T.StructField("cart_no", T.LongType()), T.StructField("opened_at", T.TimestampNTZType()),
-    T.StructField("last_ts", T.TimestampNTZType()), T.StructField("last_ttl_ms", T.LongType()),
-    T.StructField("exp_ms", T.LongType()), T.StructField("reserves", T.LongType()),
-    T.StructField("units", T.LongType()), T.StructField("open", T.BooleanType()),
+    T.StructField("cart_no", T.LongType()), T.StructField("last_ts", T.TimestampNTZType()),
+    T.StructField("last_ttl_ms", T.LongType()), T.StructField("exp_ms", T.LongType()),
+    T.StructField("open", T.BooleanType()),
 ])
 
 CART_OUT = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("cart_no", T.LongType()),
-    T.StructField("opened_at", T.TimestampNTZType()), T.StructField("expires_at", T.TimestampNTZType()),
-    T.StructField("reserves", T.LongType()), T.StructField("units", T.LongType()),
+    T.StructField("warehouse_id", T.LongType()), T.StructField("product_id", T.LongType()),
+    T.StructField("units", T.LongType()), T.StructField("expires_at", T.TimestampNTZType()),
 ])
 
 
 class CartExpiry(StatefulProcessor):
     """Per user: a reserve extends (replaces) the cart's expiry or, at/after it, opens a new cart;
-    a cart is emitted once its expiry is at or before the watermark."""
+    cancels and confirms take units of the open cart's lines (all of theirs or none).  Once a cart's
+    expiry is at or before the watermark, each line that still holds units is emitted."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.cart = handle.getValueState("cart", CART_STATE)
+        self.lines = handle.getMapState("lines", "warehouse_id long, product_id long", "units long")
         self.buffer = handle.getListState("buffer", CART_BUFFER)
 
     def handleInputRows(self, key, rows, timerValues):
         for pdf in rows:
             buf = pd.DataFrame({"ms": pdf["ev_ms"], "ts": pdf["ts"], "event_id": pdf["event_id"],
                                 "action": pdf["action"], "quantity": pdf["quantity"],
-                                "ttl_ms": pdf["ttl"].astype("int64") * 1000})
+                                "ttl_ms": pdf["ttl"].astype("int64") * 1000, "warehouse_id": pdf["warehouse_id"],
+                                "product_id": pdf["product_id"]})
             self.buffer.appendList(_tuples(buf[[f.name for f in CART_BUFFER.fields]]))
             self.handle.registerTimer(int(pdf["ev_ms"].min()))
         return iter([])
 
     @staticmethod
-    def _closed(key, st) -> tuple:
-        cart_no, opened_at, last_ts, last_ttl_ms, _exp, reserves, units, _open = st
+    def _closed(key, st, lines) -> list[tuple]:
+        cart_no, last_ts, last_ttl_ms, _exp, _open = st
         # the expiry is the last reserve's time plus its TTL (wall clock)
         expires_at = pd.Timestamp(last_ts) + pd.Timedelta(milliseconds=int(last_ttl_ms))
-        return (key[0], cart_no, opened_at, expires_at, reserves, units)
+        return [(key[0], cart_no, w, p, units, expires_at) for (w, p), units in lines.items() if units > 0]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()
         rows = list(self.buffer.get()) if self.buffer.exists() else []
-        due = sorted([r for r in rows if r[0] <= wm], key=lambda r: (r[0], r[2]))
+        due = sorted([r for r in rows if r[0] <= wm], key=lambda r: (r[1], r[2]))
         later = [r for r in rows if r[0] > wm]
-        st = tuple(self.cart.get()) if self.cart.exists() else (0, None, None, 0, 0, 0, 0, False)
-        out = []
-        for ms, ts, _eid, action, q, ttl_ms in due:
-            if action != "reserve":
-                continue
-            cart_no, opened_at, last_ts, last_ttl, exp_ms, reserves, units, is_open = st
-            if is_open and ms >= exp_ms:
-                out.append(self._closed(key, st))
-                is_open = False
-            if not is_open:
-                st = (cart_no + 1, ts, ts, ttl_ms, ms + ttl_ms, 1, q, True)
-            else:
-                st = (cart_no, opened_at, ts, ttl_ms, ms + ttl_ms, reserves + 1, units + q, True)
-        if st[7] and st[4] <= wm:
-            out.append(self._closed(key, st))
-            st = st[:7] + (False,)
-        elif st[7]:
-            self.handle.registerTimer(st[4])
+        st = tuple(self.cart.get()) if self.cart.exists() else (0, None, 0, 0, False)
+        before = {tuple(k): v[0] for k, v in self.lines.iterator()} if self.lines.exists() else {}
+        lines, out = dict(before), []
+        for ms, ts, _eid, action, q, ttl_ms, warehouse, product in due:
+            cart_no, _last_ts, _last_ttl, exp_ms, is_open = st
+            line = (warehouse, product)
+            if action == "reserve":
+                if not is_open or ms >= exp_ms:
+                    out += self._closed(key, st, lines) if is_open else []
+                    lines, cart_no = {}, cart_no + 1
+                lines[line] = lines.get(line, 0) + q
+                st = (cart_no, ts, ttl_ms, ms + ttl_ms, True)
+            elif is_open and ms < exp_ms and lines.get(line, 0) >= q:
+                lines[line] = lines.get(line, 0) - q
+        if st[4] and st[3] <= wm:
+            out += self._closed(key, st, lines)
+            st, lines = st[:4] + (False,), {}
+        elif st[4]:
+            self.handle.registerTimer(st[3])
+        for line in before.keys() - lines.keys():
+            self.lines.removeKey(line)
+        for line, units in lines.items():
+            if before.get(line) != units:
+                self.lines.updateValue(line, (units,))
         self.cart.update(st)
         self.buffer.clear()
         if later:
@@ -210,8 +221,8 @@ class CartExpiry(StatefulProcessor):
 
 
 def stream_carts(cart_log: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Closed carts as output rows (the stock they still hold can then be returned)."""
+    """The lines of closed carts as output rows: the units that go back to stock."""
     cart_log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     r = _event_time(cart_log, "ts", delay).select(
-        "user_id", "event_id", "action", F.col("quantity").cast("long").alias("quantity"), "ts", "ttl", "ev_ms", "ev_time")
+        "user_id", "event_id", "action", "warehouse_id", "product_id", F.col("quantity").cast("long").alias("quantity"), "ts", "ttl", "ev_ms", "ev_time")
     return r.groupBy("user_id").transformWithStateInPandas(CartExpiry(), CART_OUT, "append", "EventTime")

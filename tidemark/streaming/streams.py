@@ -21,16 +21,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.dates import wall_clock, wall_instant
-from tidemark.session import scratch_path
+from tidemark.operators.inventory import append_events
+from tidemark.session import range_partitions, scratch_path
 
 
-def write_source(df: DataFrame, path: str, ts_col: str, files: int = 8) -> str:
-    """Write ``df`` as a stream source: ``files`` Parquet files, each a contiguous range of event
-    time, so replaying them one per trigger delivers the data roughly in time order."""
-    df.repartitionByRange(files, ts_col).sortWithinPartitions(ts_col).write.mode("overwrite").parquet(path)
+def write_source(df: DataFrame, path: str, ts_col: str, files: int | None = None) -> str:
+    """Add ``df`` to a stream source: Parquet files, each a contiguous range of event time; their
+    number follows the bytes of ``df`` (``range_partitions``) unless it is given."""
+    n = range_partitions(df, files)
+    df.repartitionByRange(n, ts_col).sortWithinPartitions(ts_col).write.mode("append").parquet(path)
     return path
 
 
+def closing_row(df: DataFrame, ts_col: str, after: str) -> DataFrame:
+    """The end marker of a finished log: its latest row, moved ``after`` (an interval) later.  It
+    lifts the watermark past everything that is still open and stays open itself, so it never comes
+    out.  An empty log has none."""
+    last = df.agg(F.max_by(F.struct(*df.columns), F.col(ts_col)).alias("_r")).filter("_r IS NOT NULL").select("_r.*")
+    return last.withColumn(ts_col, (F.col(ts_col) + F.expr(f"INTERVAL {after}")).cast(df.schema[ts_col].dataType))
+
+
 def read_source(spark: SparkSession, path: str, schema, files_per_trigger: int | None = 1) -> DataFrame:
     r = spark.readStream.schema(schema)
     if files_per_trigger:
@@ -101,11 +111,12 @@ def stream_rollup(stream: DataFrame, delay: str = "1 hour", user_col: str = "use
 
 
 def stream_reserved(stream: DataFrame) -> DataFrame:
-    """Reserved units per product as a running counter: reserves add, confirmations remove
-    (the reference's per-product reservation counter)."""
+    """The running reservation counter per (warehouse, product): reserves add, cancels and
+    confirms take.  It trusts its log, as the reference's counter does; the totals that refuse
+    unknown units and drop expired carts are I10 (batch) and Z03 (stream)."""
     delta = F.when(F.col("action") == "reserve", F.col("quantity")) \
-        .when(F.col("action") == "confirm", -F.col("quantity")).otherwise(F.lit(0))
-    return stream.groupBy("product_id").agg(F.sum(delta.cast("long")).alias("reserved"))
+        .when(F.col("action").isin("cancel", "confirm"), -F.col("quantity")).otherwise(F.lit(0))
+    return stream.groupBy("warehouse_id", "product_id").agg(F.sum(delta.cast("long")).alias("reserved"))
 
 
 def stream_worker_counts(stream: DataFrame, action: str = "started") -> DataFrame:
@@ -123,12 +134,35 @@ def stream_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "1
                       wall_clock("w.end").alias("session_end"), "events")
 
 
-def run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def run_append(spark: SparkSession, stream: DataFrame, name: str, *arrivals) -> DataFrame:
+    """Run the stream over its source; then, after each of ``arrivals`` (functions that add files to
+    the source), resume it from its checkpoint."""
     sink, ckpt = _paths(spark, name)
     run_to_files(stream, sink, ckpt)
+    for arrive in arrivals:
+        arrive()
+        run_to_files(stream, sink, ckpt)
     return spark.read.parquet(sink)
 
 
+def run_ingest(spark: SparkSession, stream: DataFrame, name: str, *arrivals, order_col: str = "delivery") -> DataFrame:
+    """Z01 without a time limit: every batch appends the first delivery of the ids that no earlier
+    batch holds (an anti join), however late they are.  A batch owns the folder of its number and
+    rewrites it, so a retried batch changes nothing."""
+    table, ckpt = _paths(spark, name)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        base = own.read.parquet(table).filter(F.col("_batch") < batch_id) if batch_id else None
+        append_events(base, batch, order_col).write.mode("overwrite").parquet(os.path.join(table, f"_batch={batch_id}"))
+
+    for arrive in (lambda: None, *arrivals):
+        arrive()
+        (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(table).drop("_batch")
+
+
 def run_update(spark: SparkSession, stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
     sink, ckpt = _paths(spark, name)
     run_upserts(stream, sink, ckpt)
