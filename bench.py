@@ -32,6 +32,11 @@ HEADLINE = [
     "i01_settle",
     "i03_confirm_orders",
     "i05_live_carts",
+    "i11_availability",
+    "w01_claim_calls",
+    "s09_replace_partition",
+    "z03_stream_carts",
+    "z05_stream_settle",
 ]
 
 

@@ -1,6 +1,7 @@
 """Plan checks: filters and column pruning reach the scan, partitions are pruned, heavy
 queries scan their fact table once, dictionaries are broadcast, top-k stays a top-k."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -70,10 +71,23 @@ def test_activity_adapter_prunes_columns(spark):
 
 
 def test_u07_retention_shuffles_the_events_once(spark):
-    """Per-user week sets: one exchange on the user, one small one on the cohort, no sort."""
+    """Per-user week sets: one exchange on the user, one small one on the cohort; the only sort is that
+    of the finished report (one row per cohort)."""
     p = plan(QUERIES["u07_retention"](spark, SF01))
     assert p.count("Exchange hashpartitioning") == 2
-    assert "Window" not in p and "Sort [" not in p
+    assert "Window" not in p and p.count("Sort [") == 1 and p.count("Exchange rangepartitioning") == 1
+    assert "Sort [cohort_week" in p
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("u05_hourly_profile", [("hour", 1)]), ("u07_retention", [("cohort_week", 1)]),
+    ("u08_event_mix", [("events", -1)]), ("u09_country_mix", [("events", -1)]),
+    ("u10_device_conversion", [("events", -1)]), ("u12_weekday_load", [("day_num", 1)])])
+def test_reports_come_out_sorted(spark, name, columns):
+    rows = QUERIES[name](spark, SF01).collect()
+    (column, way), = columns
+    values = [r[column] for r in rows]
+    assert len(values) > 1 and values == sorted(values, reverse=way < 0)
 
 
 def test_shared_file_write_reads_back(spark):

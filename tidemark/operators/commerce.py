@@ -98,19 +98,25 @@ def search_catalog(df: DataFrame, category: str | None = None, tag: str | None =
 
 
 def page(df: DataFrame, skip: int = 0, limit: int = 20, tag: str | None = None,
-         order_col: str = "created_at", key_col: str = "id", tags_col: str = "tags"):
+         order_col: str = "created_at", key_col: str = "id", tags_col: str = "tags", after: tuple | None = None):
     """Newest first, skip ``skip``, at most ``limit`` (1..100) rows, plus the total count.
 
     Returns ``(items_df, total_df)``; both are lazy.  The page is a top-(skip+limit) per
-    partition followed by an offset, never a full sort on one task.
+    partition followed by an offset, never a full sort on one task.  A deep page costs skip rows
+    per partition; ``after`` = (order value, key) of the last row seen continues from there with a
+    filter instead, whatever the depth.
     """
     if not 1 <= limit <= 100:
         raise ValueError("limit must be within 1..100")
     if skip < 0:
         raise ValueError("skip must be >= 0")
     base = df if tag is None else df.filter(F.array_contains(F.col(tags_col), tag))
-    items = base.orderBy(F.col(order_col).desc(), F.col(key_col).asc()).offset(skip).limit(limit) if skip \
-        else base.orderBy(F.col(order_col).desc(), F.col(key_col).asc()).limit(limit)
+    rest = base
+    if after is not None:
+        value, key = F.lit(after[0]), F.lit(after[1])
+        rest = base.filter((F.col(order_col) < value) | ((F.col(order_col) == value) & (F.col(key_col) > key)))
+    items = rest.orderBy(F.col(order_col).desc(), F.col(key_col).asc())
+    items = items.offset(skip).limit(limit) if skip else items.limit(limit)
     total = base.agg(F.count(F.lit(1)).alias("total"))
     return items, total
 

@@ -83,6 +83,26 @@ def s18_layout_report(spark, d):
     return rep.select("table_name", "total_rows", "partition_count")
 
 
+@register("s18_layout_sizes", "WITH t(table_name) AS (VALUES " + ", ".join(f"('{n}')" for n in lay.LAYOUTS) + """)
+SELECT table_name, true AS parts_add_up, true AS per_row_matches, true AS readable FROM t
+""")
+def s18_layout_sizes(spark, d):
+    """Bytes depend on the writer, so they are checked by what must hold: the partitions' bytes add
+    up to the table's, bytes per row times rows too, and the readable size has a number and a unit."""
+    paths = four_layouts(spark, d)
+    parts = None
+    for name, (grain, _) in lay.LAYOUTS.items():
+        one = lay.partition_report(spark, paths[name], lay.GRAIN_COLUMN[grain]).agg(
+            F.sum("bytes").alias("part_bytes"), F.sum("rows").alias("part_rows")).select(F.lit(name).alias("table_name"), "*")
+        parts = one if parts is None else parts.unionByName(one)
+    rep = lay.layout_report(spark, paths).join(parts, "table_name")
+    return rep.select(
+        "table_name",
+        ((F.col("part_bytes") == F.col("total_bytes")) & (F.col("part_rows") == F.col("total_rows"))).alias("parts_add_up"),
+        (F.abs(F.col("avg_bytes_per_row") * F.col("total_rows") - F.col("total_bytes")) < 1).alias("per_row_matches"),
+        F.col("total_size").rlike("^[0-9.]+ ?[A-Za-z]+$").alias("readable"))
+
+
 @register("s18_partition_rows", f"""WITH {ACT}
 SELECT CAST(ts AS DATE) AS event_date, count(*) AS rows FROM act GROUP BY 1
 """)

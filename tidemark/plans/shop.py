@@ -8,6 +8,7 @@ from tidemark.functions.dates import months_before, since
 from tidemark.functions.numeric import line_revenue
 from tidemark.operators import commerce
 from tidemark.plans.registry import register
+from tidemark.session import scratch_path
 from tidemark.sources import driver as src
 
 CUTOFF = months_before(src.AS_OF, 6).strftime("%Y-%m-%d %H:%M:%S")
@@ -50,7 +51,12 @@ ORDER BY total_revenue DESC, client_id
 LIMIT 100
 """)
 def j02_top_clients_denorm(spark, d):
-    items = commerce.denormalise(src.order_items(spark, d), src.products(spark, d), "product_id", ("category",))
+    """The denormalised items are a written table, so the query itself reads no products."""
+    items = commerce.denormalise(src.order_items(spark, d).select("order_id", "product_id", "revenue"),
+                                 src.products(spark, d), "product_id", ("category",))
+    path = scratch_path(spark, "items_with_category")
+    items.write.parquet(path)
+    items = spark.read.schema(items.schema).parquet(path)
     return commerce.top_clients_denorm(src.clients(spark, d), src.shop_orders(spark, d), items,
                                        src.ECONOMY, src.AS_OF, months=6, k=100)
 
@@ -65,6 +71,19 @@ def s11_denormalise(spark, d):
     return commerce.denormalise(items, src.products(spark, d), "product_id", ("category",))
 
 
+@register("s11_fill_missing", f"""
+SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, l.l_partkey AS product_id, l.l_suppkey AS supplier_id,
+       CASE WHEN l_returnflag = 'R' THEN 'KEPT' ELSE p.p_type END AS category
+FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
+""")
+def s11_fill_missing(spark, d):
+    """Items of returned lines carry a category already; only the others take the product's."""
+    li = src.stock_requests(spark, d)
+    items = li.select("order_id", "line_no", "product_id", "supplier_id",
+                      F.when(F.col("return_flag") == "R", "KEPT").alias("category"))
+    return commerce.denormalise(items, src.products(spark, d), "product_id", ("category",))
+
+
 @register("s12_order_totals", f"""
 SELECT o.o_orderkey AS id, o.o_custkey AS client_id, o.o_orderstatus AS status,
        CAST(COALESCE(t.total, 0) AS DOUBLE) AS total_amount
@@ -110,6 +129,18 @@ def t04_page_products(spark, d):
     return items.select("id", "name", "price")
 
 
+@register("t04_next_page", """
+WITH hits AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part
+              WHERE list_contains(string_split(p_name, ' '), 'widget'))
+SELECT id, name, price FROM hits WHERE price < 1500 OR (price = 1500 AND id > 100)
+ORDER BY price DESC, id LIMIT 20
+""")
+def t04_next_page(spark, d):
+    items, _total = commerce.page(src.products(spark, d), limit=20, tag="widget", order_col="price", key_col="id",
+                                  after=(1500.0, 100))
+    return items.select("id", "name", "price")
+
+
 @register("t04_page_total", """
 SELECT count(*) AS total FROM part WHERE list_contains(string_split(p_name, ' '), 'widget')
 """)
