@@ -1,5 +1,6 @@
 """Streams equal their batch forms when data arrives over several triggers, in time order."""
 
+import datetime as dt
 import os
 import time
 import uuid
@@ -8,8 +9,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from tidemark.operators import activity as act
+from tidemark.operators import inventory as inv
 from tidemark.session import scratch_path
+from tidemark.session import ship_package
 from tidemark.sources import driver as src
+from tidemark.streaming import stateful
 from tidemark.streaming import streams as st
 
 
@@ -41,7 +45,6 @@ def test_stream_sessions_equal_batch_on_closed_sessions(spark):
     stream = _arrive_in_order(spark, ev, "ts", ["2024-01-10", "2024-01-20"])
     got = st.run_append(spark, st.stream_sessions(stream), f"t-{uuid.uuid4().hex[:6]}")
     wm = ev.agg(F.max("ts")).first()[0]
-    import datetime as dt
     closed = wm - dt.timedelta(hours=1)
     exp = act.sessions(ev, "30 minutes").filter(F.col("session_end") <= F.lit(closed))
     a = sorted(tuple(r) for r in got.select("user_id", "session_start", "session_end", "events").collect())
@@ -49,6 +52,33 @@ def test_stream_sessions_equal_batch_on_closed_sessions(spark):
     assert a == b and len(a) > 0
 
 
+def test_stream_carts_equal_batch_lines_over_triggers(spark):
+    ship_package(spark)
+    log = src.cart_log(spark, SF001)
+    stream = _arrive_in_order(spark, log, "ts", ["2024-01-10", "2024-01-20"])
+    got = st.run_append(spark, stateful.stream_carts(stream, "1 hour"), f"t-{uuid.uuid4().hex[:6]}")
+    assigned = inv.assign_carts(log)
+    lines = inv.cart_lines(inv.apply_cancels(assigned), inv.carts(assigned, "2024-01-31"))
+    exp = lines.filter(F.col("expires_at") <= F.lit(log.agg(F.max("ts")).first()[0] - dt.timedelta(hours=1)))
+    cols = ["user_id", "cart_no", "warehouse_id", "product_id", "units", "expires_at"]
+    a, b = (sorted(tuple(r) for r in x.select(*cols).collect()) for x in (got, exp))
+    assert a == b and len(a) > 0
+
+
+def test_stream_settle_equals_batch_over_triggers(spark):
+    ship_package(spark)
+    reqs = src.stock_requests(spark, SF001).select("order_id", "line_no", "product_id", "warehouse_id", "supplier_id",
+                                                   "quantity", "ts")
+    stock = src.warehouse_stock(spark, SF001).filter("product_id % 10 <> 0")  # some keys have no stock row
+    stream = _arrive_in_order(spark, reqs, "ts", ["1995-01-01", "1998-01-01"])
+    got = st.run_append(spark, stateful.stream_settle(stream, stock, "1 day"), f"t-{uuid.uuid4().hex[:6]}")
+    order = ["ts", "order_id", "line_no", "supplier_id", "quantity"]
+    exp = inv.settle(stock, reqs, order).filter(F.col("ts") <= F.lit(reqs.agg(F.max("ts")).first()[0] - dt.timedelta(days=1)))
+    cols = ["warehouse_id", "product_id", *order, "accepted", "balance_after"]
+    a, b = (sorted(tuple(r) for r in x.select(*cols).collect()) for x in (got, exp))
+    assert a == b and len(a) > 0 and any(not r[-2] and r[-1] == 0 for r in a)
+
+
 def test_rollup_sketch_merge_close_to_exact(spark):
     ev = src.activity_events(spark, SF001, with_country=True)
     first = F.col("event_type").isin("click", "view")

@@ -132,12 +132,12 @@ def t04_page_products(spark, d):
 @register("t04_next_page", """
 WITH hits AS (SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM part
               WHERE list_contains(string_split(p_name, ' '), 'widget'))
-SELECT id, name, price FROM hits WHERE price < 1500 OR (price = 1500 AND id > 100)
+SELECT id, name, price FROM hits WHERE price < 949.3 OR (price = 949.3 AND id > 493)
 ORDER BY price DESC, id LIMIT 20
 """)
 def t04_next_page(spark, d):
     items, _total = commerce.page(src.products(spark, d), limit=20, tag="widget", order_col="price", key_col="id",
-                                  after=(1500.0, 100))
+                                  after=(949.3, 493))
     return items.select("id", "name", "price")
 
 
