@@ -178,3 +178,28 @@ def test_remove_repeats_keeps_columns(docs):
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     assert got[1] == rows[0][1] and got[3] is None and got[4] == ""
     assert got[2].startswith("two é") and len(got[2]) < 20
+
+
+def test_suffix_repeated_ids(docs):
+    rng = random.Random(8)
+    once, other, passage = words(rng, 60), words(rng, 70), words(rng, 50)
+    rows = [(1, once), (1, once), (2, other + passage), (2, words(rng, 40)), (2, passage + words(rng, 30)), (3, once[:150] + words(rng, 9)),
+            (3, once[:150] + words(rng, 9)), (4, passage[20:] + words(rng, 3)), (4, passage[20:] + "x"), (5, passage * 2), (5, passage * 2)]
+    rows += [(6, words(rng, 30) + passage[k:] + words(rng, 30)) for k in range(5)] * 3
+    rng.shuffle(rows)
+
+    def key(text):
+        k = xxhash.xxh64_intdigest(text.encode(), 42)
+        return k - (k >> 63 << 64)
+    ordered = sorted(set(rows), key=lambda r: (r[0], key(r[1])))  # equal rows are one document
+    cut = brute_repeats([(n, t) for n, (_, t) in enumerate(ordered)])
+    want = {r: cut[n] for n, r in enumerate(ordered)}
+    expected = sorted((i, *want[i, t]) for i, t in rows)
+    assert want[1, once][1] == 0 and sum(w[1] > 0 for w in want.values()) > 6
+    for parts in (1, 7):
+        df = docs(rows).repartition(parts)
+        got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"]))
+                     for r in suffix_dedup.suffix_dedup(df).collect())
+        assert got == expected
+        left = sorted((r["doc_id"], r["text"]) for r in suffix_dedup.remove_repeats(df).collect())
+        assert left == sorted((i, w[-1].decode()) for i, *w in expected)

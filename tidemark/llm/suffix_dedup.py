@@ -1,7 +1,7 @@
 """Suffix-array dedup: every byte of a repeated passage but its first occurrence is removed.
 
-A byte goes when a string of ``LENGTH`` bytes that covers it also starts earlier (smaller id, or
-the same document and an earlier start).  Sorting every suffix of the corpus would shuffle a
+A byte goes when a string of ``LENGTH`` bytes that covers it also starts earlier (smaller id, of
+one id's different texts the smaller hash, or the same document and an earlier start).  Sorting every suffix of the corpus would shuffle a
 hundred times its bytes, so suffixes are sorted where repeats can be:
 
 1. Anchors.  Of the ``LENGTH - K + 1`` K-grams in a window, the one with the least hash (the
@@ -20,13 +20,16 @@ hundred times its bytes, so suffixes are sorted where repeats can be:
 4. Marks are merged per document and cut out.
 
 Defined results: a null text counts as empty; a null id's row keeps its text and is no source of
-repeats; rows that repeat an id are one document to the search, and each is cut at that
-document's marks; texts under ``LENGTH`` bytes are whole; empty input gives an empty result.
+repeats; a document is an id and a text (told by its 64-bit hash ``key``): equal rows are one
+document, no repeats of each other, and all are cut alike, while different texts of one id are
+documents of their own, in order of their hash; texts under ``LENGTH`` bytes are whole; empty input
+gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +100,7 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[new], e[last]
 
 
-FOUND = "h long, digest long, id long, pos long, stop long"  # stop < 0: an anchor, else a mark [pos, stop)
+FOUND = "h long, digest long, id long, key long, pos long, stop long"  # stop < 0: an anchor, else a mark [pos, stop)
 
 
 def found(*columns) -> pa.RecordBatch:
@@ -105,43 +108,43 @@ def found(*columns) -> pa.RecordBatch:
                                       [c.split()[0] for c in FOUND.split(", ")])
 
 
-def marks(ids: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
+def marks(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Marks merged per document; they travel under a hash of their id."""
     if not len(ids):
         return
-    order = np.argsort(ids, kind="stable")
-    ids, starts, stops = ids[order], starts[order], stops[order]
-    cuts = np.flatnonzero(ids[1:] != ids[:-1]) + 1
+    order = np.lexsort((keys, ids))
+    ids, keys, starts, stops = ids[order], keys[order], starts[order], stops[order]
+    cuts = np.flatnonzero((ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])) + 1
     out = []
     for a, b in zip(np.concatenate(([0], cuts)).tolist(), np.concatenate((cuts, [len(ids)])).tolist()):
         s, e = merged(starts[a:b], stops[a:b]) if b - a > 1 else (starts[a:b], stops[a:b])
-        out.append((np.full(len(s), ids[a]), s, e))
-    ids, starts, stops = (np.concatenate(c) for c in zip(*out))
+        out.append((np.full(len(s), ids[a]), np.full(len(s), keys[a]), s, e))
+    ids, keys, starts, stops = (np.concatenate(c) for c in zip(*out))
     with np.errstate(over="ignore"):
-        yield found(ids * np.int64(0x5851F42D4C957F2D), np.zeros(len(ids), np.int64), ids, starts, stops)
+        yield found(ids * np.int64(0x5851F42D4C957F2D), np.zeros(len(ids), np.int64), ids, keys, starts, stops)
 
 
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Steps 1 and 2 within a batch: earliest anchors of each context, marks for the others."""
-    for ids, texts in rows_in(batches, "id", "text"):
+    for ids, keys, texts in rows_in(batches, "id", "key", "text"):
         own, digests = [], []
-        for i in sorted((i for i in range(len(ids)) if ids[i] is not None and texts[i]), key=lambda i: ids[i]):
-            text = texts[i]
+        documents = {(ids[i], keys[i]): texts[i] for i in range(len(ids)) if ids[i] is not None and texts[i]}
+        for (i, key), text in sorted(documents.items()):
             p, h = anchors(text)
-            own.append((np.full(len(p), ids[i], np.int64), p, h))
+            own.append((np.full(len(p), i, np.int64), np.full(len(p), key, np.int64), p, h))
             digests.extend([xxhash.xxh64_intdigest(text[a - LEFT if a > LEFT else 0:a + LENGTH], min(a, LEFT)) for a in p.tolist()])
         if not own:
             continue
-        ids, pos, h = (np.concatenate(c) for c in zip(*own))
+        ids, keys, pos, h = (np.concatenate(c) for c in zip(*own))
         digest = np.array(digests, np.uint64)
         with np.errstate(over="ignore"):
             both = h * np.uint64(0x9E3779B97F4A7C15) ^ digest
-        order = np.argsort(both, kind="stable")  # rows are in order of (id, position) already
+        order = np.argsort(both, kind="stable")  # rows are in order of (id, key, position) already
         first = np.ones(len(order), bool)
         first[1:] = both[order[1:]] != both[order[:-1]]
         keep, rest = np.sort(order[first]), order[~first]
-        yield found(h[keep].view(np.int64), digest[keep].view(np.int64), ids[keep], pos[keep], np.full(len(keep), -1))
-        yield from marks(ids[rest], np.maximum(pos[rest] - LEFT, 0), pos[rest] + LENGTH)
+        yield found(h[keep].view(np.int64), digest[keep].view(np.int64), ids[keep], keys[keep], pos[keep], np.full(len(keep), -1))
+        yield from marks(ids[rest], keys[rest], np.maximum(pos[rest] - LEFT, 0), pos[rest] + LENGTH)
 
 
 def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,21 +165,23 @@ def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def match_groups(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    done = rows[:, rows[4] >= 0]
+    done = rows[:, rows[5] >= 0]
     if done.shape[1]:
         yield found(*done)
-    h, digest, ids, pos = rows[:4, rows[4] < 0]
+    h, digest, ids, keys, pos = rows[:5, rows[5] < 0]
     if len(h) < 2:
         return
-    order = np.lexsort((pos, ids, digest, h))
-    h, digest, ids, pos = h[order], digest[order], ids[order], pos[order]
+    order = np.lexsort((pos, keys, ids, digest, h))
+    h, digest, ids, keys, pos = (c[order] for c in (h, digest, ids, keys, pos))
     new_h = np.concatenate(([True], h[1:] != h[:-1]))
     new = new_h | np.concatenate(([True], digest[1:] != digest[:-1]))
-    yield from marks(ids[~new], np.maximum(pos[~new] - LEFT, 0), pos[~new] + LENGTH)
+    least = np.flatnonzero(new)[np.cumsum(new) - 1]  # the earliest of each context, which equal rows repeat
+    later = (ids != ids[least]) | (keys != keys[least]) | (pos != pos[least])
+    yield from marks(ids[later], keys[later], np.maximum(pos[later] - LEFT, 0), pos[later] + LENGTH)
     contexts = np.bincount(np.cumsum(new_h) - 1, weights=new)
     open_ = new & (contexts[np.cumsum(new_h) - 1] > 1)
     if open_.any():
-        yield found(h[open_], digest[open_], ids[open_], pos[open_], np.full(int(open_.sum()), -1))
+        yield found(h[open_], digest[open_], ids[open_], keys[open_], pos[open_], np.full(int(open_.sum()), -1))
 
 
 # ------------------------------------------------------------------------- deep-shallow sorting
@@ -261,8 +266,8 @@ def deep_shallow(rows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return order, common
 
 
-def shared_windows(ids, pos, left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marks (id, start, stop) among contexts: ``left`` are the reversed bytes before the
+def shared_windows(ids, keys, pos, left: list[bytes], right: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Marks (id, key, start, stop) among contexts: ``left`` are the reversed bytes before the
     anchors, ``right`` those from the anchors on."""
     n = len(ids)
     sides = []
@@ -274,7 +279,7 @@ def shared_windows(ids, pos, left: list[bytes], right: list[bytes]) -> tuple[np.
         rows[where, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
         sides.append(deep_shallow(rows, lengths))
     (left_order, left_common), (right_order, right_common) = sides
-    by_age = np.lexsort((pos, ids))
+    by_age = np.lexsort((pos, keys, ids))
     low, high = np.full(n, LENGTH), np.full(n, -1)
     left_class, right_class = np.empty(n, np.int64), np.empty(n, np.int64)
     for o in range(LEFT + 1):  # the window that starts o bytes before the anchor
@@ -288,33 +293,38 @@ def shared_windows(ids, pos, left: list[bytes], right: list[bytes]) -> tuple[np.
         low[who] = np.minimum(low[who], o)
         high[who] = o
     hit = np.flatnonzero(high >= 0)  # windows around one anchor overlap, so their union is one run
-    return ids[hit], pos[hit] - high[hit], pos[hit] - low[hit] + LENGTH
+    return ids[hit], keys[hit], pos[hit] - high[hit], pos[hit] - low[hit] + LENGTH
 
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around the listed anchors of each document."""
-    for ids, texts, places, hashes in rows_in(batches, "id", "text", "places", "hashes"):
-        out = [(h, i, p, t[max(0, p - LEFT):p][::-1], t[p:p + LENGTH])
-               for i, t, own, hs in zip(ids, texts, places, hashes) for p, h in zip(own, hs)]
+    for ids, keys, texts, places, hashes in rows_in(batches, "id", "key", "text", "places", "hashes"):
+        out = [(h, i, k, p, t[max(0, p - LEFT):p][::-1], t[p:p + LENGTH])
+               for i, k, t, own, hs in zip(ids, keys, texts, places, hashes) for p, h in zip(own, hs)]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["h", "id", "pos", "before", "after"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["h", "id", "key", "pos", "before", "after"])
 
 
 def sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3 over rows sorted by ``h``: contexts of whole K-grams, about ``CHUNK`` at a time."""
-    held: list[list] = [[], [], [], [], []]
+    """Step 3 over rows sorted by ``h``, id, key and position: contexts of whole K-grams, about
+    ``CHUNK`` at a time; what equal rows list again is left out."""
+    held: list[list] = [[], [], [], [], [], []]
+    last = None
 
     def out(end):
         part = [c[:end] for c in held]
-        ids, starts, stops = shared_windows(np.array(part[1], np.int64), np.array(part[2], np.int64), part[3], part[4])
+        found_ = shared_windows(*(np.array(c, np.int64) for c in part[1:4]), *part[4:])
         for c in held:
             del c[:end]
-        if len(ids):
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (ids, starts, stops)], ["id", "pos", "stop"])
+        if len(found_[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in found_], ["id", "key", "pos", "stop"])
 
-    for columns in rows_in(batches, "h", "id", "pos", "before", "after"):
+    for columns in rows_in(batches, "h", "id", "key", "pos", "before", "after"):
+        places = list(zip(*columns[:4]))
+        fresh = [a != b for a, b in zip(places, [last, *places])]
+        last = places[-1]
         for c, more in zip(held, columns):
-            c.extend(more)
+            c.extend(compress(more, fresh))
         if len(held[0]) >= CHUNK and held[0][0] != held[0][-1]:
             end = len(held[0])
             while held[0][end - 1] == held[0][-1]:
@@ -324,23 +334,29 @@ def sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from out(len(held[0]))
 
 
+def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, text binary) per row; rows of equal id and text share their key."""
+    text = F.col(text_col).cast("string").cast("binary")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Marked runs per document: (id, starts array<long>, stops array<long>), unmerged."""
+    """Marked runs per document: (id, key, starts array<long>, stops array<long>), unmerged."""
     prepare(docs.sparkSession)
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    plain = documents(docs, id_col, text_col)
     listed = plain.mapInArrow(scan, FOUND)
     seen = saved(listed.repartition("h").sortWithinPartitions("h").mapInArrow(match, FOUND), "repeats")
-    open_ = (seen.filter("stop < 0").groupBy("id")
+    open_ = (seen.filter("stop < 0").groupBy("id", "key")
              .agg(F.collect_list(F.struct("pos", "h")).alias("at"))
-             .select(F.col("id").alias("oid"), F.col("at.pos").alias("places"), F.col("at.h").alias("hashes")))
-    fetched = (plain.join(open_, plain["id"] == open_["oid"], "left").filter("oid is not null")
-               .select("id", "text", "places", "hashes")
-               .mapInArrow(contexts, "h long, id long, pos long, before binary, after binary"))
-    sorted_ = (fetched.repartition("h").sortWithinPartitions("h")
-               .mapInArrow(sort_suffixes, "id long, pos long, stop long"))
-    both = seen.filter("stop >= 0").select("id", "pos", "stop").unionByName(sorted_)
-    return (both.groupBy("id").agg(F.collect_list(F.struct("pos", "stop")).alias("m"))
-            .select("id", F.col("m.pos").alias("starts"), F.col("m.stop").alias("stops")))
+             .select(F.col("id").alias("oid"), F.col("key").alias("okey"), F.col("at.pos").alias("places"), F.col("at.h").alias("hashes")))
+    fetched = (plain.join(open_, (plain["id"] == open_["oid"]) & (plain["key"] == open_["okey"]), "left").filter("oid is not null")
+               .select("id", "key", "text", "places", "hashes")
+               .mapInArrow(contexts, "h long, id long, key long, pos long, before binary, after binary"))
+    sorted_ = (fetched.repartition("h").sortWithinPartitions("h", "id", "key", "pos")
+               .mapInArrow(sort_suffixes, "id long, key long, pos long, stop long"))
+    both = seen.filter("stop >= 0").select("id", "key", "pos", "stop").unionByName(sorted_)
+    return (both.groupBy("id", "key").agg(F.collect_list(F.struct("pos", "stop")).alias("m"))
+            .select("id", "key", F.col("m.pos").alias("starts"), F.col("m.stop").alias("stops")))
 
 
 def cut(text: bytes, starts, stops) -> tuple[int, int, bytes]:
@@ -356,9 +372,9 @@ def cut(text: bytes, starts, stops) -> tuple[int, int, bytes]:
 
 
 def with_marks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    m = repeats(docs, id_col, text_col).withColumnRenamed("id", "mid")
-    return plain.join(m, plain["id"] == m["mid"], "left").select("id", "text", "starts", "stops")
+    plain = documents(docs, id_col, text_col)
+    m = repeats(docs, id_col, text_col).withColumnsRenamed({"id": "mid", "key": "mkey"})
+    return plain.join(m, (plain["id"] == m["mid"]) & (plain["key"] == m["mkey"]), "left").select("id", "text", "starts", "stops")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,8 +405,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             columns = [pa.array(texts, pa.string()) if f.name == text_col else batch.column(names.index(f.name)) for f in schema]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    m = repeats(docs, id_col, text_col).select(F.col("id").alias("_mid"), F.col("starts").alias("_starts"), F.col("stops").alias("_stops"))
-    out = docs.join(m, docs[id_col] == m["_mid"], "left").drop("_mid").mapInArrow(run, schema)
+    m = repeats(docs, id_col, text_col).select(F.col("id").alias("_mid"), F.col("key").alias("_mkey"), F.col("starts").alias("_starts"), F.col("stops").alias("_stops"))
+    key = F.xxhash64(docs[text_col].cast("string").cast("binary"))
+    out = docs.join(m, (docs[id_col] == m["_mid"]) & (key == m["_mkey"]), "left").drop("_mid", "_mkey").mapInArrow(run, schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length(text_col), F.col("n_chars")).cast(schema["n_chars"].dataType))
     return out
