@@ -203,3 +203,16 @@ def test_suffix_repeated_ids(docs):
         assert got == expected
         left = sorted((r["doc_id"], r["text"]) for r in suffix_dedup.remove_repeats(df).collect())
         assert left == sorted((i, w[-1].decode()) for i, *w in expected)
+
+
+def test_near_copies_go_by_row(docs):
+    rng = random.Random(9)
+    copy, far, clean, own, lone = (words(rng, 60) for _ in range(5))
+    rows = [(1, copy), (2, far), (3, copy), (3, clean), (None, copy), (None, own), (None, lone), (None, lone), (7, copy), (7, far), (7, None)]
+    assert len({brute_fingerprint(t) for _, t in rows}) == 6
+    left = simhash.drop_near_copies(docs(rows))
+    assert left.columns == docs(rows).columns
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert got == sorted([(1, copy), (2, far), (3, clean), (None, own), (None, lone), (None, lone), (7, None)], key=str)
+    of = {(r["doc_id"], r["fp"] % 2**64): r["component"] for r in simhash.near_groups(docs(rows)).collect()}
+    assert of[7, brute_fingerprint(copy)] == 1 and of[7, brute_fingerprint(far)] == 2 and of[7, 0] == 7

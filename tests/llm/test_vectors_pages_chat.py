@@ -276,6 +276,16 @@ def test_toxicity_edges(docs, spark):
     assert toxicity.toxicity(docs([]), labels).count() == 0
 
 
+def test_drop_toxic_goes_by_row(docs, spark):
+    rng = random.Random(6)
+    rows = [(i, words(rng, 60) + (" vile rotten vile scum" if i % 4 == 0 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    bad, clean = "vile rotten scum " * 50, [(None, words(rng, 40)), (None, None), (1002, words(rng, 9)), (1002, None)]
+    left = toxicity.drop_toxic(docs(rows + clean + [(None, bad), (1002, bad), (1002, bad)]), labels)
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    assert sorted(got, key=str) == sorted([r for r in rows if r[0] % 4] + clean, key=str)
+
+
 # ---------------------------------------------------------------------------------- query digests
 
 def test_op2_query_against_brute_force(spark):

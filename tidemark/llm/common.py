@@ -147,3 +147,16 @@ class Forest:
 def same(a: Column, b: Column) -> Column:
     """Null-safe equality."""
     return a.eqNullSafe(b)
+
+
+def text_key(text: Column) -> Column:
+    """A 64-bit hash that, beside an id, tells rows by their text."""
+    return F.xxhash64(text.cast("string").cast("binary"))
+
+
+def without(docs: DataFrame, lost: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose id (null-safe) and text are listed in ``lost(id, key)``,
+    ``key`` being the ``text_key``."""
+    lost = lost.select(F.col("id").alias("_lost"), F.col("key").alias("_of")).distinct()
+    on = same(docs[id_col], lost["_lost"]) & (text_key(docs[text_col]) == lost["_of"])
+    return docs.join(lost, on, "left_anti")

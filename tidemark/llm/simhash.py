@@ -11,8 +11,9 @@ bits, so their number grows with the fingerprints and not with the square of a g
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero, linked
 like any other; a null id gets its fingerprint and the component of its fingerprint's group;
-repeated rows share a component, and an id names one document
-where near copies are dropped; empty input gives an empty result.
+repeated rows share a component, and different texts of one id are linked and dropped each by its
+own fingerprint (rows that have their component's smallest id all stay, as do the null ids of a
+fingerprint without any id); empty input gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, prepare, rows_in, same, saved
+from tidemark.llm.common import components, prepare, rows_in, same, saved, text_key, without
 
 SEED = 42
 HOT = 2_000
@@ -55,15 +56,16 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int = 3) -> DataFrame:
-    """(id, fp) per row of ``docs``."""
+    """(id, key, fp) per row of ``docs``; ``key`` is ``text_key`` of its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in rows_in(batches, "id", "text"):
+        for ids, keys, texts in rows_in(batches, "id", "key", "text"):
             fps = [fingerprint(t, words_per_shingle) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, keys, fps)], ["id", "key", "fp"])
 
     prepare(docs.sparkSession)
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return plain.mapInArrow(run, "id long, fp long")
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("key"),
+                        F.col(text_col).cast("string").alias("text"))
+    return plain.mapInArrow(run, "id long, key long, fp long")
 
 
 def close_pairs(reps: DataFrame, hot: int = HOT) -> DataFrame:
@@ -94,19 +96,26 @@ def close_pairs(reps: DataFrame, hot: int = HOT) -> DataFrame:
             .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
-    """(id, fp, component) per row: component is the smallest id reachable by links."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int = 3) -> DataFrame:
+    """(id, key, fp, component) per row.  Links join fingerprints, so an id with several texts
+    does not tie their components together."""
     fps = saved(fingerprints(docs, id_col, text_col, words_per_shingle), "simhash")
     reps = fps.groupBy("fp").agg(F.min("id").alias("rep"))
-    links = close_pairs(reps.filter("rep is not null"))
-    roots = components(links)
-    found = (reps.join(roots, reps["rep"] == roots["node"], "left")
-             .select("fp", F.coalesce("component", "rep").alias("component")))
-    return fps.join(found, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    roots = components(close_pairs(reps.filter("rep is not null").select("fp", F.col("fp").alias("rep"))))
+    rooted = (reps.join(roots, reps["fp"] == roots["node"], "left")
+              .select("fp", "rep", F.coalesce("component", "fp").alias("root")))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
+    found = rooted.join(least, "root").select("fp", "component")
+    return fps.join(found, "fp").select("id", "key", "fp", "component")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
+    """(id, fp, component) per row: component is the smallest id reachable by links."""
+    return grouped(docs, id_col, text_col, words_per_shingle).select(F.col("id").alias(id_col), "fp", "component")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component stays: that with the component's smallest id."""
-    groups = near_groups(docs, id_col, text_col)
-    lost = groups.filter(~same(F.col(id_col), F.col("component"))).select(F.col(id_col).alias("_lost")).distinct()
-    return docs.join(lost, same(docs[id_col], lost["_lost"]), "left_anti")
+    """One document of each component stays: that with the component's smallest id.  Rows go by
+    id and text."""
+    lost = grouped(docs, id_col, text_col).filter(~same(F.col("id"), F.col("component")))
+    return without(docs, lost, id_col, text_col)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import prepare, rows_in, saved
+from tidemark.llm.common import prepare, rows_in, saved, text_key, without
 
 SAMPLE = 10_000    # labelled rows of each label that words are counted in
 KNOWN = 5          # documents of the sample from which a word stands for itself
@@ -167,9 +167,17 @@ def training_part(id_col: Column) -> Column:
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", label_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: (id, score, passages array<struct<start,end,evidence>>)."""
+    out = scored(docs, labels, id_col, text_col, label_col, label_id)
+    return out.select(F.col("id").alias(id_col), "score", "passages")
+
+
+def scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str = "toxic",
+           label_id: str = "doc_id") -> DataFrame:
+    """(id, key, score, passages) per row of ``docs``; ``key`` is ``text_key`` of its text."""
     spark = docs.sparkSession
     prepare(spark)
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("key"),
+                        F.col(text_col).cast("string").alias("text"))
     marked = (labels.select(F.col(label_id).cast("long").alias("lid"), F.col(label_col).cast("int").alias("toxic"))
               .filter(F.col("toxic").isin(0, 1) & training_part(F.col("lid")))
               .groupBy("lid").agg(F.max("toxic").alias("toxic")))
@@ -181,15 +189,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(model)
-        for ids, texts in rows_in(batches, "id", "text"):
+        for ids, keys, texts in rows_in(batches, "id", "key", "text"):
             n, found = zip(*(segments(x, weights) for x in texts))
             found = [[{"start": a, "end": b, "s": s} for a, b, s in f] for f in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
+                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(n, pa.int64()),
                  pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("s", pa.float64())])))],
-                ["id", "n", "found"])
+                ["id", "key", "n", "found"])
 
-    found = saved(plain.mapInArrow(scan, "id long, n long, found array<struct<start:int,end:int,s:double>>"), "segments")
+    found = saved(plain.mapInArrow(scan, "id long, key long, n long, found array<struct<start:int,end:int,s:double>>"), "segments")
     known = found.join(marked, found["id"] == marked["lid"])
     tail = (known.filter("toxic = 0")
             .agg(F.sum(F.size("found")).alias("k"), F.sum(F.aggregate("found", F.lit(0.0), lambda a, x: a + x["s"])).alias("s"),
@@ -208,7 +216,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     bins = (evidence(known).groupBy(F.round("x", 2).alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect())
     a, b = logistic([(r["x"], r["toxic"], r["n"]) for r in bins])
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) + F.lit(b) * F.col("x")))) if able else F.lit(0.0)
-    return evidence(found).select(F.col("id").alias(id_col), score.alias("score"), "passages")
+    return evidence(found).select("id", "key", score.alias("score"), "passages")
 
 
 def logistic(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -229,7 +237,6 @@ def logistic(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` without those scored at ``threshold`` or above."""
-    out = toxicity(docs, labels, id_col, text_col).filter(F.col("score") >= threshold)
-    lost = out.select(F.col(id_col).alias("_lost")).distinct()
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["_lost"]), "left_anti")
+    """``docs`` without those scored at ``threshold`` or above; rows go by id and text, on which
+    alone a score depends."""
+    return without(docs, scored(docs, labels, id_col, text_col).filter(F.col("score") >= threshold), id_col, text_col)
