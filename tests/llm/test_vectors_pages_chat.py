@@ -184,6 +184,30 @@ def test_chat_edges(spark):
     assert chat.format_chat(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_chat_texts_of_several_speakers(spark, monkeypatch):
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(c, t, r, x) for c in range(40) for t, (r, x) in enumerate([("user", "User: what is it?"), ("assistant", "### Assistant: it is. " * 20)])]
+    talk = "Log of today\n\nUser: a\nmore of a\n\nAssistant: b\r\n[human] c\nUser: d\n\n<|im_start|>assistant\ne: f\nContext\n"
+    plain = "One line\nthe user: said\nAnswer\n42"
+    rows += [(90, 0, None, talk)] * 2 + [(91, 0, None, "Human: hi\nAI: hello\nHuman: bye"), (91, 1, None, "User: more"), (92, 0, None, plain)]
+    want = [("user", "a\nmore of a", 2), ("assistant", "b", 5), ("user", "c\nd", 6), ("assistant", "e: f\nContext", 9)]
+    for commit in (512, 1):
+        monkeypatch.setattr(chat, "COMMIT", commit)
+        out = chat.format_chat(spark.createDataFrame(rows, schema)).collect()
+
+        def turns(conv, turn):
+            return [(r["role"], r["rendered"].split("\n", 1)[1].rsplit("\n", 2)[0], r["line"]) for r in out if (r["conv_id"], r["turn"]) == (conv, turn)]
+        got = turns(90, 0)
+        again = [x[2] for x in got].index(0, 1)
+        for part in (got[:again], got[again:]):  # equal rows do not mix; the unmarked beginning may have any role
+            assert "\n".join(x for _, x, _ in part) == "Log of today\na\nmore of a\nb\nc\nd\ne: f\nContext"
+            assert [x for x in part if x[2] > 2] == want[1:] and (part[1] == want[0] or part[0][1] == "Log of today\na\nmore of a")
+        assert turns(91, 0) == [("user", "hi", 0), ("assistant", "hello", 1), ("user", "bye", 2)] and turns(91, 1)[0][1:] == ("more", 0)
+        assert [x[1:] for x in turns(92, 0)] == [(plain, 0)]
+    none = chat.format_chat(spark.createDataFrame(rows, schema).withColumn("role", F.lit(None).cast("string"))).collect()
+    assert len(none) == len(rows) and {r["role"] for r in none} == {"user"}
+
+
 # ----------------------------------------------------------------------------------- embeddings
 
 def brute_vectors(rows, least=0.93):
