@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
 from tidemark.operators import inventory as inv
-from tidemark.plans.chunked import guarded_fold, running_sum
+from tidemark.plans.chunked import running_sum
+from tidemark.plans.guarded import guarded_fold
 from tidemark.sources import driver as src
 
 
@@ -255,7 +256,7 @@ def test_fold_pieces_equal_the_sequential_fold():
 
     import numpy as np
 
-    from tidemark.plans.chunked import apply_pieces, fold_pieces, fold_rows
+    from fold_helpers import apply_pieces, fold_pieces, fold_rows
 
     rng = random.Random(1)
     for _ in range(200):

@@ -1,12 +1,10 @@
-"""Property tests of the chunked engine's pure parts (no Spark): fold tables, block regrouping
-and the edge-chunk combine of the guarded fold."""
+"""Property tests of the guarded fold's pure parts (no Spark): tables of a chunk, and chunks chained."""
 
 import numpy as np
-import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.plans.chunked import KEY, PID, _blocks, apply_pieces, fold_pieces, fold_rows
+from fold_helpers import apply_pieces, fold_pieces, fold_rows
 
 deltas = st.lists(st.integers(min_value=-30, max_value=20), min_size=1, max_size=40)
 
@@ -22,19 +20,6 @@ def test_fold_pieces_equal_direct_fold(ds, cs, top):
         assert apply_pieces(low, off, b) == bal[-1]
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(min_value=0, max_value=6), min_size=1, max_size=300), st.integers(min_value=1, max_value=50))
-def test_blocks_hold_whole_keys_in_order(keys, batch):
-    keys = sorted(keys)
-    df = pd.DataFrame({PID: 0, KEY: [str(k) for k in keys], "k": keys, "v": range(len(keys))})
-    batches = [df.iloc[i:i + batch] for i in range(0, len(df), batch)]
-    blocks = list(_blocks(iter(batches)))
-    assert pd.concat(blocks).v.tolist() == list(range(len(keys)))
-    seen = [set(b.k) for b in blocks]
-    flat = [k for s in seen for k in s]
-    assert len(flat) == len(set(flat))
-
-
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(min_value=-9, max_value=4), min_size=2, max_size=60), st.integers(min_value=1, max_value=5),
        st.integers(min_value=0, max_value=40))

@@ -1,9 +1,9 @@
 """Inventory, carts and events (I01-I15, J07), re-aimed from per-request service calls to jobs
 over request logs.
 
-Order-dependent work (guarded decrement, cart expiry, cancels, movement balances) runs through
-``tidemark.plans.chunked``, which keeps a hot (warehouse, product) or a hot user parallel.
-Everything else is joins and aggregations.
+Order-dependent work keeps a hot (warehouse, product) or a hot user parallel: guarded decrements and
+cancels run through ``tidemark.plans.guarded``, movement balances through ``tidemark.plans.chunked``, cart
+expiry as windows over spans of time.  Everything else is joins and aggregations.
 
 Corrections of faults in the reference service (each is stated where it applies): expired carts
 return their stock; reserved totals are derived from live carts; a failed event write returns
@@ -13,13 +13,12 @@ requests.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.plans.chunked import KEY, PID, Combine, _columns, _key_change, guarded_fold, running_sum, segmented_scan
+from tidemark.functions.dates import ntz_micros
+from tidemark.plans.chunked import _columns, running_sum
+from tidemark.plans.guarded import guarded_fold
 
 STOCK_KEYS = ["warehouse_id", "product_id"]
 
@@ -31,17 +30,19 @@ def settle(stock: DataFrame, requests: DataFrame, order: list, keys=STOCK_KEYS,
     """Per key, in ``order``, accept a request if the balance covers it (and take it),
     else reject it and keep the balance.  Adds ``accepted`` and ``balance_after``.
 
-    Requests for a key without a stock row are rejected, with balance 0.  ``consume_col`` = False marks a request that is checked but gives its units back at
-    once (a compensated saga step).
+    A stock row is the first row of its key, so the requests are not joined to the stock before they
+    are cut.  Requests for a key without a stock row are rejected, with balance 0; so are requests of
+    a null or negative quantity, with the balance as it is.  ``consume_col`` = False marks a request
+    that is checked but gives its units back at once (a compensated saga step).
     """
     keys = list(keys)
-    s = stock.select(*keys, F.col("quantity").cast("long").alias("_start"))
-    r = requests.join(s, keys, "left").withColumn("_delta", -F.col(qty).cast("long"))
-    r = r.withColumn("_known", F.col("_start").isNotNull()).withColumn("_start", F.coalesce("_start", F.lit(0).cast("long")))
-    if keep is not None:
-        keep = list(dict.fromkeys([*keep, qty, "_known"] + ([consume_col] if consume_col else [])))
-    out = guarded_fold(r, keys, order, "_delta", "_start", consume_col, keep=keep)
-    return out.withColumn("accepted", F.col("accepted") & F.col("_known")).drop("_delta", "_start", "_known")
+    asked = F.col(qty).cast("long")
+    cols = requests.columns if keep is None else list(dict.fromkeys([*keys, *keep, qty, *([consume_col] if consume_col else [])]))
+    first = stock.select(*keys, F.col("quantity").cast("long").alias("_start0"), F.lit(0).alias("_row"))
+    r = requests.withColumns({"_delta": F.when(asked >= 0, -asked), "_row": F.lit(1)})
+    both = r.unionByName(first, allowMissingColumns=True)
+    out = guarded_fold(both, keys, ["_row", *order], "_delta", "_start0", consume_col, keep=[*cols, "_row"])
+    return out.filter("_row = 1").select(*cols, "accepted", "balance_after")
 
 
 def final_stock(stock: DataFrame, outcomes: DataFrame, keys=STOCK_KEYS, qty: str = "quantity",
@@ -110,14 +111,7 @@ def reserve(stock: DataFrame, requests: DataFrame, order: list, keys=STOCK_KEYS)
 
 # ---------------------------------------------------------------------------------- carts
 
-_CART_OUT = [
-    T.StructField("expires_at", T.TimestampNTZType()),
-    T.StructField("cart_no", T.LongType()),
-    T.StructField("cart_live", T.BooleanType()),
-]
-
-
-def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event_id")) -> DataFrame:
+def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event_id"), span_seconds: int = 3600) -> DataFrame:
     """Number each user's carts.
 
     A reserve sets the whole cart's expiry to its own ts + ttl (replacing the previous one, also
@@ -128,64 +122,36 @@ def assign_carts(cart_log: DataFrame, user: str = "user_id", order=("ts", "event
 
     Adds expires_at (reserves), cart_no (reserves; live cancels and confirms), cart_live (cancels
     and confirms: a cart was live).
+
+    Plain windows, but over (user, span of time), so that a hot user is many groups: the last expiry and
+    the number of carts of the spans before come from one row per (user, span).  ``order`` starts with ts.
     """
-    order = list(order)
-    log = cart_log.withColumn(
-        "expires_at",
-        F.when(F.col("action") == "reserve",
-               F.timestamp_add("SECOND", F.col("ttl").cast("long"), F.col("ts"))).cast("timestamp_ntz"))
-    out_schema = T.StructType([f for f in log.schema.fields if f.name != "expires_at"] + _CART_OUT)
-
-    def summarize(g: pd.DataFrame) -> dict:
-        res = g[g["action"] == "reserve"]
-        if len(res) == 0:
-            return {"first_res_ts": None, "last_exp": None, "flags_after": 0}
-        exp = res["expires_at"]
-        prev = exp.shift(1)
-        flags = (res["ts"] >= prev).iloc[1:]
-        return {"first_res_ts": res["ts"].iloc[0], "last_exp": exp.iloc[-1], "flags_after": int(flags.sum())}
-
-    summary_fields = [T.StructField("first_res_ts", T.TimestampNTZType()),
-                      T.StructField("last_exp", T.TimestampNTZType()),
-                      T.StructField("flags_after", T.LongType())]
-
-    def step(st, r):
-        # st: (expiry of the live cart or None, carts so far)
-        prev_exp, count = st
-        first = r["first_res_ts"]
-        if pd.isna(first):
-            return st
-        new_first = prev_exp is None or pd.isna(prev_exp) or first >= prev_exp
-        return r["last_exp"], count + int(new_first) + int(r["flags_after"])
-
-    combine = Combine(first=lambda r: step((None, 0), r), step=step,
-                      carry=lambda st: {"_prev_exp": st[0], "_offset": st[1]})
-
-    carry_fields = [T.StructField("_prev_exp", T.TimestampNTZType()), T.StructField("_offset", T.LongType())]
-
-    def scan(block: pd.DataFrame) -> pd.DataFrame:
-        grp = np.cumsum(_key_change(block))
-        is_res = (block["action"] == "reserve").to_numpy()
-        exp = block["expires_at"]
-        prev = exp.groupby(grp).shift(1)
-        prev = prev.groupby(grp).ffill()
-        prev = prev.fillna(block["_prev_exp"])
-        ts = block["ts"]
-        flag = is_res & (prev.isna() | (ts >= prev)).to_numpy()
-        offset = block["_offset"].fillna(0).astype("int64").to_numpy()
-        cart_no = pd.Series(flag.astype("int64")).groupby(grp).cumsum().to_numpy() + offset
-        live = (prev.notna() & (ts < prev)).to_numpy()
-        takes = block["action"].isin(["cancel", "confirm"]).to_numpy()
-        out = block.drop(columns=["_prev_exp", "_offset", PID, KEY])
-        keep = is_res | (takes & live)
-        out["cart_no"] = pd.array(np.where(keep, cart_no, 0), dtype="Int64")
-        out.loc[~keep, "cart_no"] = pd.NA
-        out["cart_live"] = pd.array(np.where(takes, live, False), dtype="boolean")
-        out.loc[~takes, "cart_live"] = pd.NA
-        return out
-
-    return segmented_scan(log, [user], order, summarize, summary_fields, combine, carry_fields, scan, out_schema,
-                          summary_cols=["action", "ts", "expires_at"])
+    order = _columns(list(order))
+    is_res = F.col("action") == "reserve"
+    takes = F.col("action").isin("cancel", "confirm")
+    cut = ["_user", "_span"]
+    log = cart_log.withColumns({
+        "expires_at": F.when(is_res, F.timestamp_add("SECOND", F.col("ttl").cast("long"), F.col("ts"))).cast("timestamp_ntz"),
+        "_user": F.struct(user),  # null users are one user
+        "_span": F.coalesce(F.floor(ntz_micros("ts") / (span_seconds * 1_000_000)), F.lit(-(1 << 62)))})
+    within = Window.partitionBy(*cut).orderBy(*order)
+    sofar, earlier = within.rowsBetween(Window.unboundedPreceding, 0), within.rowsBetween(Window.unboundedPreceding, -1)
+    rows = log.withColumn("_prev", F.last("expires_at", ignorenulls=True).over(earlier))
+    # the first reserve of a span depends on the spans before, the others do not
+    rows = rows.withColumn("_inner", (is_res & F.coalesce(F.col("ts") >= F.col("_prev"), F.lit(False))).cast("long"))
+    rows = rows.withColumns({"_own": F.sum("_inner").over(sofar), "_seen": F.max(is_res).over(sofar)})
+    at = F.when(is_res, F.struct(*order))
+    per = rows.groupBy(*cut).agg(F.max_by("expires_at", at).alias("_latest"), F.min_by("ts", at).alias("_first"), F.sum("_inner").alias("_n"))
+    spans = Window.partitionBy("_user").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_carried", F.last("_latest", ignorenulls=True).over(spans))
+    per = per.withColumn("_opens", (F.col("_first").isNotNull() & (F.col("_carried").isNull() | (F.col("_first") >= F.col("_carried")))).cast("long"))
+    per = per.select(*cut, "_carried", "_opens", F.coalesce(F.sum(F.col("_n") + F.col("_opens")).over(spans), F.lit(0)).alias("_before"))
+    rows = rows.join(per, cut)
+    prev = F.coalesce("_prev", "_carried")
+    live = prev.isNotNull() & (F.col("ts") < prev)
+    number = F.col("_before") + F.col("_own") + F.when(F.col("_seen"), F.col("_opens")).otherwise(F.lit(0))
+    return rows.select(*cart_log.columns, "expires_at", F.when(is_res | (takes & live), number).alias("cart_no"),
+                       F.when(takes, live).alias("cart_live"))
 
 
 def carts(assigned: DataFrame, as_of, user: str = "user_id", order=("ts", "event_id")) -> DataFrame:
@@ -210,17 +176,18 @@ def apply_cancels(assigned: DataFrame, user: str = "user_id", order=("ts", "even
     without a live cart, is refused; a confirm of such units is a sale that leaves the reservations
     alone (the reference's counter would go below zero).  Adds ``outcome`` (reserved / cancelled /
     refused_exceeds / refused_no_cart / confirmed / confirmed_unreserved) and ``line_after``
-    (units still reserved on the line; 0 means the line is gone).
+    (units still reserved on the line; 0 means the line is gone).  In a cart, a null or negative
+    quantity changes nothing (refused_invalid).
     """
     rows = assigned.filter(F.col("action").isin("reserve", "cancel", "confirm"))
     is_sale = F.col("action") == "confirm"
     in_cart = rows.filter(F.col("cart_no").isNotNull()) \
-        .withColumn("_delta", F.when(F.col("action") == "reserve", F.col("quantity").cast("long"))
-                    .otherwise(-F.col("quantity").cast("long"))) \
+        .withColumn("_delta", F.when(F.col("quantity") >= 0, F.when(F.col("action") == "reserve", F.col("quantity").cast("long"))
+                                     .otherwise(-F.col("quantity").cast("long")))) \
         .withColumn("_start", F.lit(0).cast("long"))
     folded = guarded_fold(in_cart, [user, "cart_no", *line], list(order), "_delta", "_start")
     folded = folded.withColumn(
-        "outcome", F.when(F.col("action") == "reserve", "reserved")
+        "outcome", F.when(F.col("_delta").isNull(), "refused_invalid").when(F.col("action") == "reserve", "reserved")
         .when(F.col("accepted"), F.when(is_sale, "confirmed").otherwise("cancelled"))
         .otherwise(F.when(is_sale, "confirmed_unreserved").otherwise("refused_exceeds"))) \
         .withColumnRenamed("balance_after", "line_after").drop("_delta", "_start", "accepted")

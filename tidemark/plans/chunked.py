@@ -1,71 +1,28 @@
-"""Ordered per-key scans that stay parallel when one key holds a large share of the rows.
+"""Ordered per-key windows that stay parallel when one key holds a large share of the rows.
 
-Several jobs are sequential per key: a guarded stock decrement (a rejected request does not
-consume stock), cart expiry, running balances, runs of failed probes.  The usual Spark form
-(``groupBy(key).applyInPandas`` or a window partitioned by key) puts a whole key in one task,
-so a key holding a third of the table becomes one task holding a third of the table.
+Running balances, runs of failed probes and sessions are windows partitioned by a key; Spark puts a whole key
+in one task, so a key holding a third of the table becomes one task holding a third of the table.
 
-``segmented_scan`` splits keys instead:
+Keys are split instead: ``repartitionByRange`` on (key, order) cuts the table into sorted partitions of
+similar size, a hot key simply spans several; the result is checkpointed to ``spark.checkpoint.dir`` (the
+range sampler is seeded per RDD, so the cut must be fixed once).  Windows run over (partition, key), and what
+a key's earlier partitions add comes from one summary row per (partition, key), joined back.
 
-1. ``repartitionByRange`` on (key, order) cuts the table into sorted partitions of similar size;
-   a hot key simply spans several partitions.  The result is checkpointed to
-   ``spark.checkpoint.dir`` (the range sampler is seeded per RDD, so the cut must be fixed once).
-2. Only the first and the last key of a partition can continue in a neighbour, so per partition
-   at most two *edge chunks* are summarised (``summarize``); interior keys need nothing.
-3. Summaries of one key are combined in partition order into the state each chunk starts from.
-   They stream to one Python function per key in Arrow batches and only the running state is
-   kept, so a key spanning many partitions is never held whole.  This table has at most two rows
-   per partition.
-4. Every partition is scanned once more with its carried state (``scan``), in Arrow batches.
-
-Python runs inside tasks on Arrow batches, for the folds that no window expresses (guarded
-balances, cart expiry); Spark does the partitioning, sorting and joins.  Keys are compared as one
-JSON text made in the JVM, and integer columns travel as nullable integers, so null keys form one
-group and values above 2**53 stay exact.  Memory per task is one partition's rows of a single key
-at most.
-
-Running sums, runs and sessions need no Python: the same cut, window functions over (partition,
-key), one summary row per (partition, key), and the carry of the partitions before joined back.
+Guarded balances, which no window expresses, are in ``tidemark.plans.guarded``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import NamedTuple
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.session import ensure_checkpoint_dir, range_partitions, ship_package
+from tidemark.session import ensure_checkpoint_dir, range_partitions
 
 PID = "_pid"
 KEY = "_key"
 
-# Integers stay integers next to a null (plain pandas would turn them into floats).
-_NULLABLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
-
-
-def _map_frames(df: DataFrame, fn, schema: T.StructType) -> DataFrame:
-    """``mapInPandas`` with exact nullable integers."""
-    arrow = to_arrow_schema(schema)
-
-    def run(batches):
-        frames = (b.to_pandas(types_mapper=_NULLABLE.get) for b in batches)
-        for out in fn(frames):
-            if len(out):
-                yield pa.RecordBatch.from_pandas(out[arrow.names], schema=arrow, preserve_index=False)
-
-    return df.mapInArrow(run, schema)
-
-
-def _key_text(columns: list) -> Column:
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-
 
 def _cut(df: DataFrame, keys: list[str], order: list, num_partitions: int | None) -> tuple[DataFrame, list]:
     """``df`` cut by (keys, order) and checkpointed, with its partition number; the sort columns."""
@@ -80,308 +37,6 @@ def _columns(order: list) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _key_change(pdf: pd.DataFrame) -> np.ndarray:
-    """Boolean array: row i starts a new chunk (another key, or another range partition)."""
-    n = len(pdf)
-    if n == 0:
-        return np.zeros(0, dtype=bool)
-    change = np.ones(n, dtype=bool)
-    key, pid = pdf[KEY].to_numpy(dtype=object), pdf[PID].to_numpy(dtype=np.int64)
-    change[1:] = (key[1:] != key[:-1]) | (pid[1:] != pid[:-1])
-    return change
-
-
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Regroup a sorted stream of Arrow batches into blocks that hold whole chunks."""
-    pending: list[pd.DataFrame] = []    # rows of one chunk that may continue in the next batch
-    pending_key = None
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        starts = np.flatnonzero(_key_change(pdf))
-        lead_end = int(starts[1]) if len(starts) > 1 else len(pdf)
-        first_key = (pdf[PID].iloc[0], pdf[KEY].iloc[0])
-        if pending and first_key == pending_key:
-            pending.append(pdf.iloc[:lead_end])
-            if lead_end == len(pdf):
-                continue                  # the whole batch continues the pending chunk
-            yield pd.concat(pending, ignore_index=True)
-            rest = pdf.iloc[lead_end:]
-        else:
-            if pending:
-                yield pd.concat(pending, ignore_index=True)
-            rest = pdf
-        cut = int(np.flatnonzero(_key_change(rest))[-1])
-        if cut > 0:
-            yield rest.iloc[:cut].reset_index(drop=True)
-        pending = [rest.iloc[cut:]]
-        pending_key = (rest[PID].iloc[-1], rest[KEY].iloc[-1])
-    if pending:
-        yield pd.concat(pending, ignore_index=True)
-
-
-def _leading_group(block: pd.DataFrame) -> pd.DataFrame:
-    starts = np.flatnonzero(_key_change(block))
-    end = int(starts[1]) if len(starts) > 1 else len(block)
-    return block.iloc[:end]
-
-
-def _trailing_group(block: pd.DataFrame) -> pd.DataFrame:
-    return block.iloc[int(np.flatnonzero(_key_change(block))[-1]):]
-
-
-def segmented_scan(
-    df: DataFrame,
-    keys: list[str],
-    order: list,
-    summarize: Callable[[pd.DataFrame], dict],
-    summary_fields: list[T.StructField],
-    combine: Combine,
-    carry_fields: list[T.StructField],
-    scan: Callable[[pd.DataFrame], pd.DataFrame],
-    out_schema: T.StructType,
-    num_partitions: int | None = None,
-    summary_cols: list[str] | None = None,
-    scan_cols: list[str] | None = None,
-) -> DataFrame:
-    """Run an ordered scan per key over range-partitioned chunks (see the module docstring).
-
-    ``summary_cols`` names the columns ``summarize`` reads (all columns when None); only those
-    columns of the edge chunks' rows are sent to Python for the summaries.  ``scan_cols`` does
-    the same for the final scan (order columns are only needed by the sort, which is done).
-
-    ``summarize(chunk)`` -> dict of ``summary_fields`` for one edge chunk (rows of one key).
-    ``combine`` is a ``Combine(first, step, carry)``: over one key's summaries in partition order,
-    ``first(row)`` is the state after the key's first chunk, ``step(state, row)`` the state after
-    a later chunk, and ``carry(state)`` the carry columns of the chunk that follows ``state``.
-    ``scan(block)`` gets whole key groups in order, with the carry columns (null when the chunk
-    starts its key) and returns rows of ``out_schema``.
-    """
-    ship_package(df.sparkSession)
-    ranged, sort_cols = _cut(df, keys, order, num_partitions)
-    ranged = ranged.withColumn(KEY, _key_text(keys))
-
-    own = [T.StructField(PID, T.IntegerType(), False), T.StructField(KEY, T.StringType(), False)]
-    summary_schema = T.StructType([*own, *summary_fields])
-    carry_schema = T.StructType([*own, *carry_fields])
-
-    def edge_summaries(it):
-        first_key = None
-        last = None
-        for block in _blocks(it):
-            if first_key is None:
-                g = _leading_group(block)
-                first_key = g[KEY].iloc[0]
-                yield _summary_frame(g, summarize, summary_schema)
-            last = _trailing_group(block)
-        if last is not None and last[KEY].iloc[0] != first_key:
-            yield _summary_frame(last, summarize, summary_schema)
-
-    # The first and last key of every partition, found in the JVM (one row per partition);
-    # only rows of those keys are summarised.  Keys sort ascending, so min/max of the key
-    # struct are the partition's first and last key.
-    key_struct = F.struct(*keys)
-    bounds = ranged.groupBy(PID).agg(F.min(key_struct).alias("_lo"), F.max(key_struct).alias("_hi"))
-    edges = bounds.select(PID, F.explode(F.array("_lo", "_hi")).alias("_k")) \
-        .select(PID, F.to_json("_k", {"ignoreNullFields": "false"}).alias(KEY)).distinct()
-    edge_rows = ranged.join(edges, [PID, KEY], "left_semi").sortWithinPartitions(PID, *sort_cols)
-    if summary_cols is not None:
-        edge_rows = edge_rows.select(PID, KEY, *dict.fromkeys(summary_cols))
-    summaries = _map_frames(edge_rows, _per_partition(edge_summaries), summary_schema)
-
-    def combine_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _carry_stream(_in_pid_order(batches), combine)
-
-    # Hash-partitioned on the key and sorted by (key, partition): the grouped operator's own
-    # requirements are met by this layout, so each key's batches stream in partition order.
-    ordered = summaries.repartition(KEY).sortWithinPartitions(KEY, PID)
-    carries = ordered.groupBy(KEY).applyInPandas(combine_stream, carry_schema)
-    # at most two rows per partition; the planner chooses how to join them
-    joined = ranged.join(carries, [PID, KEY], "left").sortWithinPartitions(PID, *sort_cols)
-    if scan_cols is not None:
-        joined = joined.select(PID, KEY, *dict.fromkeys([*keys, *scan_cols]), *[f.name for f in carry_fields])
-
-    def scan_blocks(it):
-        for block in _blocks(it):
-            yield scan(block)
-
-    return _map_frames(joined, scan_blocks, out_schema)
-
-
-def _per_partition(fn):
-    """``fn`` over each run of rows of one range partition (a task may hold several)."""
-    def run(frames):
-        from itertools import groupby
-
-        def pieces():
-            for pdf in frames:
-                pids = pdf[PID].to_numpy(dtype=np.int64)
-                cuts = np.flatnonzero(pids[1:] != pids[:-1]) + 1
-                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pdf)]):
-                    if b > a:
-                        yield int(pids[a]), pdf.iloc[a:b].reset_index(drop=True)
-
-        for _, group in groupby(pieces(), key=lambda x: x[0]):
-            yield from fn(pdf for _, pdf in group)
-
-    return run
-
-
-class Combine(NamedTuple):
-    """A sequential combine of one key's chunk summaries (see ``segmented_scan``)."""
-    first: Callable[[dict], object]
-    step: Callable[[object, dict], object]
-    carry: Callable[[object], dict]
-
-
-def _in_pid_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last = -1
-    for pdf in batches:
-        pids = pdf[PID].to_numpy()
-        if len(pids) == 0:
-            continue
-        if pids[0] <= last or (np.diff(pids) <= 0).any():
-            raise RuntimeError("summaries of a key arrived out of partition order")
-        last = int(pids[-1])
-        yield pdf
-
-
-def _carry_stream(batches: Iterator[pd.DataFrame], c: Combine) -> Iterator[pd.DataFrame]:
-    """Carry rows for every chunk but a key's first, one batch at a time."""
-    started = False
-    state = None
-    for pdf in batches:
-        out = []
-        for r in pdf.to_dict("records"):
-            if started:
-                out.append({PID: int(r[PID]), KEY: r[KEY], **c.carry(state)})
-                state = c.step(state, r)
-            else:
-                state, started = c.first(r), True
-        if out:
-            yield pd.DataFrame(out)
-
-
-def _summary_frame(g: pd.DataFrame, summarize, schema) -> pd.DataFrame:
-    row = {PID: int(g[PID].iloc[0]), KEY: g[KEY].iloc[0], **summarize(g)}
-    return pd.DataFrame([row])[[f.name for f in schema.fields]]
-
-
-# ------------------------------------------------------------------ guarded balance fold
-#
-# A row either adds units (delta > 0), takes units (delta < 0) only if the balance covers them,
-# or probes (consume = False): it is accepted if the balance covers it but changes nothing.
-# Over an edge chunk the start balance b is unknown; the chunk acts as a function F(b) = b + off
-# with an offset for each range of start balances.  A take splits a range where its balances
-# start to cover it.  Above the most that the chunk ever needs every take passes, so the number of
-# ranges is bounded by the chunk's own demand, whatever the stock.
-
-def fold_pieces(deltas: np.ndarray, consume: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(lower ends, offsets) of the ranges of start balances, sorted."""
-    low, off = np.array([-(1 << 62)]), np.array([0])
-    for d, c in zip(deltas.tolist(), consume.tolist()):
-        if d >= 0:
-            off = off + d
-        elif c:
-            covered = low + off >= d * -1
-            high = np.append(low[1:], 1 << 62) + off  # the first balance beyond the range
-            split = np.flatnonzero(~covered & (high > -d))
-            if len(split):
-                low, fresh = np.insert(low, split + 1, -d - off[split]), off[split] + d
-                off = np.insert(np.where(covered, off + d, off), split + 1, fresh)
-            else:
-                off = np.where(covered, off + d, off)
-            if len(low) > 64 and (same := off[1:] == off[:-1]).any():
-                keep = np.append(True, ~same)
-                low, off = low[keep], off[keep]
-    return low, off
-
-
-def apply_pieces(low, off, b: int) -> int:
-    return b + int(off[int(np.searchsorted(np.asarray(low), b, side="right")) - 1])
-
-
-def fold_rows(deltas: list, consume: list, start: int) -> tuple[list, list]:
-    """Sequential fold from a known start: (accepted flags, balance after each row)."""
-    b = start
-    acc = []
-    bal = []
-    for d, c in zip(deltas, consume):
-        if d >= 0:
-            b += d
-            acc.append(True)
-        elif b >= -d:
-            if c:
-                b += d
-            acc.append(True)
-        else:
-            acc.append(False)
-        bal.append(b)
-    return acc, bal
-
-
-def guarded_fold(df: DataFrame, keys: list[str], order: list, delta_col: str, start_col: str,
-                 consume_col: str | None = None, num_partitions: int | None = None,
-                 keep: list[str] | None = None) -> DataFrame:
-    """Per key, in ``order``: apply each row's ``delta`` to a balance starting at ``start_col``
-    (taken from the key's first row).  Adds ``accepted`` and ``balance_after``.
-
-    ``keep`` limits the output to these input columns (all by default), which also limits what
-    is sent through Python.
-    """
-    in_fields = list(df.schema.fields) if keep is None else \
-        [df.schema[c] for c in dict.fromkeys([*keys, *keep])]
-    out_schema = T.StructType(in_fields + [T.StructField("accepted", T.BooleanType(), False),
-                                           T.StructField("balance_after", T.LongType(), False)])
-
-    def _consume(g):
-        return g[consume_col].to_numpy(dtype=bool) if consume_col else np.ones(len(g), dtype=bool)
-
-    def summarize(g: pd.DataFrame) -> dict:
-        low, off = fold_pieces(g[delta_col].to_numpy(dtype=np.int64), _consume(g))
-        return {"start": int(g[start_col].iloc[0]), "low": low.tolist(), "off": off.tolist()}
-
-    summary_fields = [T.StructField("start", T.LongType()), T.StructField("low", T.ArrayType(T.LongType())),
-                      T.StructField("off", T.ArrayType(T.LongType()))]
-
-    def apply(b: int, r: dict) -> int:
-        return apply_pieces(r["low"], r["off"], b)
-
-    combine = Combine(first=lambda r: apply(int(r["start"]), r), step=apply,
-                      carry=lambda b: {"_carry": b})
-
-    carry_fields = [T.StructField("_carry", T.LongType())]
-
-    def scan(block: pd.DataFrame) -> pd.DataFrame:
-        starts = np.flatnonzero(_key_change(block)).tolist() + [len(block)]
-        deltas = block[delta_col].to_numpy(dtype=np.int64).tolist()
-        cons = _consume(block).tolist()
-        carry = block["_carry"]
-        known, carry = carry.notna().to_numpy(), carry.fillna(0).to_numpy(dtype=np.int64)
-        start_v = block[start_col].to_numpy(dtype=np.int64)
-        acc_all: list = []
-        bal_all: list = []
-        for a, b in zip(starts[:-1], starts[1:]):
-            s = int(carry[a]) if known[a] else int(start_v[a])
-            acc, bal = fold_rows(deltas[a:b], cons[a:b], s)
-            acc_all += acc
-            bal_all += bal
-        out = block.drop(columns=["_carry", PID, KEY])
-        out["accepted"] = np.array(acc_all, dtype=bool)
-        out["balance_after"] = np.array(bal_all, dtype=np.int64)
-        return out
-
-    cols = [delta_col, start_col] + ([consume_col] if consume_col else [])
-    scan_cols = None if keep is None else [*keep, *cols]
-    if keep is not None:
-        # nothing else is needed past this point: prune before the checkpoint is written
-        order_names = [o for o in order if isinstance(o, str)]
-        if len(order_names) == len(order):
-            df = df.select(*dict.fromkeys([*keys, *order_names, *keep, *cols]))
-    return segmented_scan(df, keys, order, summarize, summary_fields, combine, carry_fields, scan,
-                          out_schema, num_partitions, summary_cols=cols, scan_cols=scan_cols)
-
-
 # --------------------------------------------------- running sums, runs and sessions (JVM only)
 
 def _windowed(df: DataFrame, keys: list[str], order: list, num_partitions: int | None):

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import inventory as inv
+from tidemark.operators import reservations
 from tidemark.plans.registry import register
+from tidemark.session import saved
 from tidemark.sources import driver as src
 
 STOCK0 = src.INITIAL_STOCK
@@ -203,9 +205,9 @@ def _cancelled(spark, d):
 
 
 def _cart_state(spark, d):
-    """(cancelled, lines), built on one cart assignment.  Each chunked scan cuts and checkpoints
-    its input when it is built, so the assignment is built once and shared by both branches."""
-    assigned = _assigned(spark, d)
+    """(cancelled, lines), built on one cart assignment, written once: the range cut of the lines
+    reads it twice, the carts a third time."""
+    assigned = saved(_assigned(spark, d), "assigned")
     cancelled = inv.apply_cancels(assigned)
     return cancelled, inv.cart_lines(cancelled, inv.carts(assigned, AS_OF))
 
@@ -330,6 +332,60 @@ def i08_reserve(spark, d):
     return out.select("event_id", "user_id", "warehouse_id", "product_id", "reserved_quantity", "remaining_quantity")
 
 
+SCARCE = 5  # units of every product, so that reserves compete for what comes back
+
+# One warehouse's log, row by row: ``lines`` are the lines of live carts (user, product, units, expiry of the
+# cart), ``sold`` the units sold of products 0..99.
+GIVE_BACK = f"""
+ev AS (SELECT l.*, CASE WHEN p_partkey IS NULL THEN 0 ELSE {SCARCE} END AS stock,
+              row_number() OVER (PARTITION BY warehouse_id ORDER BY ts, event_id) AS rn
+       FROM log l LEFT JOIN part ON p_partkey = product_id),
+sim AS (
+  SELECT DISTINCT warehouse_id, 0::BIGINT AS rn, NULL::BIGINT AS event_id, NULL::VARCHAR AS outcome, 0::BIGINT AS reserved_quantity,
+         0::BIGINT AS remaining_quantity, NULL::TIMESTAMP AS expires_at, NULL::BIGINT AS line_after,
+         []::STRUCT(u BIGINT, p BIGINT, n BIGINT, e TIMESTAMP)[] AS lines, list_transform(range(0, 100), lambda x: 0::BIGINT) AS sold
+  FROM ev
+  UNION ALL
+  SELECT warehouse_id, rn, event_id,
+         CASE WHEN action = 'reserve' THEN CASE WHEN ok THEN 'reserved' ELSE 'refused_stock' END
+              WHEN action = 'confirm' THEN CASE WHEN ok THEN 'confirmed' ELSE 'confirmed_unreserved' END
+              WHEN ok THEN 'cancelled' WHEN cart IS NULL THEN 'refused_no_cart' ELSE 'refused_exceeds' END,
+         CASE WHEN ok AND action = 'reserve' THEN quantity ELSE 0 END,
+         avail + CASE WHEN NOT ok OR action = 'confirm' THEN 0 WHEN action = 'reserve' THEN -quantity ELSE quantity END,
+         CASE WHEN ok AND action = 'reserve' THEN expiry END,
+         CASE WHEN action = 'reserve' THEN CASE WHEN ok THEN own + quantity END
+              WHEN cart IS NOT NULL THEN own - CASE WHEN ok THEN quantity ELSE 0 END END,
+         CASE WHEN NOT ok THEN live
+              WHEN action = 'reserve' THEN list_append(
+                list_transform(live, lambda x: {{'u': x.u, 'p': x.p, 'n': x.n, 'e': CASE WHEN x.u = user_id THEN expiry ELSE x.e END}}),
+                {{'u': user_id, 'p': product_id, 'n': quantity, 'e': expiry}})
+              ELSE list_append(list_filter(live, lambda x: NOT (x.u = user_id AND x.p = product_id)),
+                               {{'u': user_id, 'p': product_id, 'n': own - quantity, 'e': cart}}) END,
+         CASE WHEN ok AND action = 'confirm' THEN list_transform(sold, lambda x, i: x + CASE WHEN i = product_id + 1 THEN quantity ELSE 0 END)
+              ELSE sold END
+  FROM (SELECT *, CASE WHEN action = 'reserve' THEN avail >= quantity ELSE cart IS NOT NULL AND own >= quantity END AS ok
+        FROM (SELECT *, stock - sold[product_id + 1]
+                        - coalesce(list_sum(list_transform(list_filter(live, lambda x: x.p = product_id), lambda x: x.n)), 0)::BIGINT AS avail,
+                     coalesce(list_sum(list_transform(list_filter(live, lambda x: x.p = product_id AND x.u = user_id), lambda x: x.n)), 0)::BIGINT AS own,
+                     list_max(list_transform(list_filter(live, lambda x: x.u = user_id), lambda x: x.e)) AS cart
+              FROM (SELECT e.warehouse_id, e.rn, e.event_id, e.user_id, e.product_id, e.action, e.quantity, e.stock, s.sold,
+                           e.ts + to_seconds(e.ttl) AS expiry, list_filter(s.lines, lambda x: x.e > e.ts) AS live
+                    FROM sim s JOIN ev e ON e.warehouse_id = s.warehouse_id AND e.rn = s.rn + 1))))
+"""
+
+
+@register("i08_reserve_give_back", f"""WITH RECURSIVE {CART.split("x AS (")[0]} {GIVE_BACK}
+SELECT sim.event_id, l.user_id, l.warehouse_id, l.product_id, l.action, outcome, reserved_quantity, remaining_quantity,
+       expires_at, line_after
+FROM sim JOIN log l ON l.event_id = sim.event_id
+""")
+def i08_reserve_give_back(spark, d):
+    """The whole cart log on scarce stock: what cancels and expired carts return can be reserved again."""
+    out = reservations.reserve_with_give_back(src.warehouse_stock(spark, d, SCARCE), src.cart_log(spark, d))
+    return out.select("event_id", "user_id", "warehouse_id", "product_id", "action", "outcome", "reserved_quantity",
+                      "remaining_quantity", "expires_at", "line_after")
+
+
 # ------------------------------------------------------------------------------ events
 
 EVENTS = """

@@ -1,10 +1,10 @@
-"""Registered streaming queries.
+"""Registered streaming queries.
 
 Each writes its input (derived from the driver's tables) as a file source under the shared
-checkpoint folder, runs the stream with ``availableNow`` into a sink with its own checkpoint,
-and returns the sink read back.  Windows, carts and requests still open at the end of the log are
-closed by an end marker that arrives later (a second run from the checkpoint), so the results are
-those of the whole log.
+checkpoint folder, in time order and in several arrivals, runs the stream with ``availableNow`` after each of them
+into a sink with its own checkpoint, and returns the sink read back.  Sessions, carts and requests
+still open at the end of the log are closed by an end marker that arrives last, so the results
+are those of the whole log.
 """
 
 from __future__ import annotations
@@ -21,22 +21,36 @@ from tidemark.plans.registry import register
 from tidemark.plans.stock import CANCELS, CART, EVENTS, FOLD_ALL, REQ
 from tidemark.session import scratch_path
 from tidemark.sources import driver as src
-from tidemark.session import ship_package
-from tidemark.streaming import stateful
+from tidemark.streaming import jobs
 from tidemark.streaming import streams as st
+from tidemark.streaming.microbatch import run_event_time
+
+
+ARRIVALS = 3
 
 
 def _source(spark, df, name, ts_col, after=None):
-    """The input as files in the shared folder, read as a stream.  All files are taken in one
-    trigger: files written by one job carry no usable arrival order (the file source orders by
-    modification time), and replaying them out of order would make in-time rows late.  With
-    ``after``, also returns the arrival of the end marker, that much later."""
+    """The stream of a source in the shared folder, and the functions that let the rest of it arrive.
+
+    ``df`` arrives in ``ARRIVALS`` parts by time, each in one trigger (files written by one job carry no usable
+    order among themselves).  With ``after``, an end marker that much later arrives last.
+    """
     path = os.path.join(scratch_path(spark, name), "source")
-    st.write_source(df, path, ts_col)
-    stream = st.read_source(spark, path, df.schema, files_per_trigger=None)
-    if after is None:
-        return stream
-    return stream, lambda: st.write_source(st.closing_row(df, ts_col, after), path, ts_col, 1)
+    at = F.unix_micros(F.col(ts_col).cast("timestamp")) if df.schema[ts_col].dataType.typeName().startswith("timestamp") else F.col(ts_col)
+    shares = [i / ARRIVALS for i in range(1, ARRIVALS)]
+    cuts = df.agg(F.percentile_approx(at, shares, 1000).alias("c")).first()["c"] or []
+    if len(cuts) < ARRIVALS - 1 or len(set(cuts)) < len(cuts):
+        parts = [df]
+    else:
+        bounds = [None, *cuts, None]
+        parts = [df.filter((F.lit(True) if lo is None else at > lo) & (F.lit(True) if hi is None else at <= hi))
+                 for lo, hi in zip(bounds[:-1], bounds[1:])]
+        parts[-1] = df.filter(at.isNull() | (at > cuts[-1]))
+    st.write_source(parts[0], path, ts_col)
+    later = [lambda p=p: st.write_source(p, path, ts_col) for p in parts[1:]]
+    if after is not None:
+        later.append(lambda: st.write_source(st.closing_row(df, ts_col, after), path, ts_col, 1))
+    return st.read_source(spark, path, df.schema, files_per_trigger=None), later
 
 
 @register("z01_ingest_events", f"""WITH {EVENTS}
@@ -44,8 +58,8 @@ SELECT event_id, event_type, product_id, warehouse_id, quantity, timestamp FROM
 """)
 def z01_ingest_events(spark, d):
     ev = src.inventory_events(spark, d).drop("metadata", "delivery")
-    stream = _source(spark, ev, "z01", "timestamp")
-    out = st.run_append(spark, st.ingest_events(stream), "z01")
+    stream, later = _source(spark, ev, "z01", "timestamp")
+    out = st.run_append(spark, st.ingest_events(stream), "z01", *later)
     return out.select("event_id", "event_type", "product_id", "warehouse_id", "quantity", "timestamp")
 
 
@@ -58,7 +72,7 @@ def z01_ingest_keyed(spark, d):
     path = os.path.join(scratch_path(spark, "z01k"), "source")
     st.write_source(ev.filter("delivery = 0"), path, "timestamp")
     stream = st.read_source(spark, path, ev.schema, files_per_trigger=None)
-    out = st.run_ingest(spark, stream, "z01k", lambda: st.write_source(ev.filter("delivery > 0"), path, "timestamp"))
+    out = st.run_ingest(spark, stream, "z01k", lambda: st.write_source(ev.filter("delivery > 0"), path, "timestamp"), folder="quarter")
     return out.select("event_id", "event_type", "product_id", "warehouse_id", "quantity", "timestamp")
 
 
@@ -70,8 +84,8 @@ FROM actc GROUP BY 1, 2, 3
 """)
 def z02_stream_rollup(spark, d):
     ev = src.activity_events(spark, d, with_country=True)
-    stream, end = _source(spark, ev, "z02", "ts", "3 DAYS")
-    out = st.run_append(spark, st.stream_rollup(stream), "z02", end)
+    stream, later = _source(spark, ev, "z02", "ts")
+    out = act.rollup_estimates(st.run_rollup(spark, stream, "z02", *later))
     exact = act.daily_rollup(ev).select(F.col("day").alias("_d"), F.col("country").alias("_c"),
                                         F.col("device_type").alias("_t"), "unique_users")
     met = out.join(exact, (out["day"] == exact["_d"]) & out["country"].eqNullSafe(exact["_c"])
@@ -86,8 +100,8 @@ SELECT warehouse_id, product_id, sum(CASE WHEN action = 'reserve' THEN quantity
 FROM log GROUP BY 1, 2
 """)
 def z04_stream_reserved(spark, d):
-    stream = _source(spark, src.cart_log(spark, d), "z04", "ts")
-    return st.run_update(spark, st.stream_reserved(stream), "z04", ["warehouse_id", "product_id"])
+    stream, later = _source(spark, src.cart_log(spark, d), "z04", "ts")
+    return st.run_update(spark, st.stream_reserved(stream), "z04", ["warehouse_id", "product_id"], *later)
 
 
 @register("z06_stream_worker_counts", f"""WITH {JOBS}, {RANKED}
@@ -95,8 +109,8 @@ SELECT CAST((claim_rank - 1) // 1000 + 1 AS BIGINT) AS worker_id, count(*) AS ta
 """)
 def z06_stream_worker_counts(spark, d):
     log = wq.claim_log(wq.claim_batch(src.jobs(spark, d), None, 1000), NOW)
-    stream = _source(spark, log, "z06", "id")
-    return st.run_update(spark, st.stream_worker_counts(stream), "z06", ["worker_id"])
+    stream, later = _source(spark, log, "z06", "id")
+    return st.run_update(spark, st.stream_worker_counts(stream), "z06", ["worker_id"], *later)
 
 
 @register("z07_stream_sessions", f"""WITH {ACT},
@@ -110,25 +124,25 @@ SELECT * FROM ses
 """)
 def z07_stream_sessions(spark, d):
     ev = src.activity_events(spark, d).select("user_id", "ts")
-    stream, end = _source(spark, ev, "z07", "ts", "3 HOURS")
-    return st.run_append(spark, st.stream_sessions(stream), "z07", end)
+    stream, later = _source(spark, ev, "z07", "ts", "3 HOURS")
+    return run_event_time(spark, stream, jobs.sessions_job(), "z07", *later).output
 
 
 @register("z05_stream_settle", f"""WITH RECURSIVE {REQ}, {FOLD_ALL}
 SELECT warehouse_id, product_id, order_id, line_no, supplier_id, quantity, ts, accepted, balance_after FROM fold
 """)
 def z05_stream_settle(spark, d):
-    ship_package(spark)
     reqs = src.stock_requests(spark, d).select("order_id", "line_no", "product_id", "warehouse_id",
                                                 "supplier_id", "quantity", "ts")
-    stream, end = _source(spark, reqs, "z05", "ts", "3 DAYS")
-    return st.run_append(spark, stateful.stream_settle(stream, src.warehouse_stock(spark, d), "1 day"), "z05", end)
+    stream, later = _source(spark, reqs, "z05", "ts", "3 DAYS")
+    job = jobs.settle_job(src.warehouse_stock(spark, d), reqs.schema, ["ts", "order_id", "line_no", "supplier_id", "quantity"])
+    out = run_event_time(spark, stream, job, "z05", *later, delay="1 day", span_seconds=90 * 86_400).output
+    return out.select("warehouse_id", "product_id", "order_id", "line_no", "supplier_id", "quantity", "ts", "accepted", "balance_after")
 
 
 @register("z03_stream_carts", f"""WITH RECURSIVE {CANCELS}
 SELECT user_id, cart_no, warehouse_id, product_id, units, expires_at FROM lines
 """)
 def z03_stream_carts(spark, d):
-    ship_package(spark)
-    stream, end = _source(spark, src.cart_log(spark, d), "z03", "ts", f"{src.CART_TTL_SECONDS + 7200} SECONDS")
-    return st.run_append(spark, stateful.stream_carts(stream, "1 hour"), "z03", end)
+    stream, later = _source(spark, src.cart_log(spark, d), "z03", "ts", f"{src.CART_TTL_SECONDS + 7200} SECONDS")
+    return run_event_time(spark, stream, jobs.carts_job(), "z03", *later).output

@@ -78,6 +78,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def saved(df, name: str):
+    """Write ``df`` under the shared checkpoint folder and read it back: cuts the lineage, and what
+    several consumers read is computed once.  A small table read back is small to the planner too."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_shared_file(spark: SparkSession, path: str, data: bytes) -> None:
     """Write ``data`` to ``path`` with the Hadoop file system of its scheme (local, HDFS, object
     stores), creating parent folders."""
@@ -91,6 +99,26 @@ def write_shared_file(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (none if it does not exist), on any Hadoop file system."""
+    fs, p = _hadoop(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()) if fs.exists(p) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder; one that is not under the checkpoint folder is refused."""
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    if not path.removeprefix("file:").startswith(base.rstrip("/") + "/"):
+        raise ValueError(f"{path} is no scratch folder")
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -149,10 +177,29 @@ def range_partitions(df, num_partitions: int | None = None) -> int:
     sizes; they are counted, at the schema's default row size."""
     if num_partitions:
         return num_partitions
-    spark = df.sparkSession
-    floor_n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    target = max(1, int(spark.conf.get(CHUNK_BYTES_CONF, str(DEFAULT_CHUNK_BYTES))))
+    floor_n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(floor_n, _partitions_of(df, input_bytes(df)))
+
+
+def input_bytes(df) -> int:
+    """Bytes of the files that ``df`` scans; of rows that come from elsewhere, their estimate."""
     size = _scan_bytes(df._jdf.queryExecution().optimizedPlan())
-    if size is None:
-        size = df.count() * df._jdf.schema().defaultSize()
-    return max(floor_n, -(-size // target))
+    return df.count() * df._jdf.schema().defaultSize() if size is None else size
+
+
+def _partitions_of(df, size: int) -> int:
+    target = max(1, int(df.sparkSession.conf.get(CHUNK_BYTES_CONF, str(DEFAULT_CHUNK_BYTES))))
+    return -(-size // target)
+
+
+SMALL_BYTES = 1024 * 1024
+
+
+def ordered_partitions(df, num_partitions: int | None = None) -> int:
+    """As ``range_partitions``, but small inputs get one partition per ``SMALL_BYTES`` only: for scans whose
+    every cut costs more than the rows of a small partition do."""
+    if num_partitions:
+        return num_partitions
+    size = input_bytes(df)
+    floor_n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(floor_n, -(-size // SMALL_BYTES)), _partitions_of(df, size))

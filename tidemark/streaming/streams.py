@@ -1,4 +1,5 @@
-"""Structured Streaming forms of the event-shaped jobs.
+"""Structured Streaming forms of the event-shaped jobs (Z01, Z02, Z04, Z06); those that wait for the
+order of their rows (Z03, Z05, Z07) are in ``jobs`` and ``microbatch``.
 
 Sources are Parquet folders read with ``readStream`` (one file per trigger when asked), sinks
 are Parquet folders with a checkpoint under the shared checkpoint folder, so a restarted query
@@ -18,11 +19,19 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.dates import wall_clock, wall_instant
+from tidemark.operators.activity import daily_rollup, merge_rollups
 from tidemark.operators.inventory import append_events
-from tidemark.session import range_partitions, scratch_path
+from tidemark.session import list_folders, range_partitions, remove_folder, scratch_path
+from tidemark.streaming.microbatch import struct
+
+MERGE_EVERY = 16   # batches of a rollup between merges
+INGEST_FILES = 8   # files of a folder and batch of ingested events, at most
+ROLLUP = struct(day=T.DateType(), country=T.StringType(), device_type=T.StringType(), event_count=T.LongType(),
+                total_duration=T.LongType(), total_value=T.DecimalType(28, 2), users_sketch=T.BinaryType())
 
 
 def write_source(df: DataFrame, path: str, ts_col: str, files: int | None = None) -> str:
@@ -97,19 +106,6 @@ def ingest_events(stream: DataFrame, key: str = "event_id", ts_col: str = "times
         .withColumn(ts_col, wall_clock(ts_col))
 
 
-def stream_rollup(stream: DataFrame, delay: str = "1 hour", user_col: str = "user_id") -> DataFrame:
-    """Daily rollup per (day, country, device) emitted when the day closes.  Distinct users
-    are an estimate (exact distinct counts are not allowed in streaming aggregates)."""
-    s = _with_event_time(stream, "ts", delay)
-    agg = s.groupBy(F.window("ts", "1 day").alias("w"), "country", "device_type").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.sum("duration").cast("long").alias("total_duration"),
-        F.sum(F.col("event_value").cast("decimal(18,2)")).alias("total_value"),
-        F.approx_count_distinct(user_col, 0.01).alias("unique_users_est"))
-    return agg.select(F.to_date(wall_clock("w.start")).alias("day"), "country", "device_type",
-                      "event_count", "total_duration", "total_value", "unique_users_est")
-
-
 def stream_reserved(stream: DataFrame) -> DataFrame:
     """The running reservation counter per (warehouse, product): reserves add, cancels and
     confirms take.  It trusts its log, as the reference's counter does; the totals that refuse
@@ -124,16 +120,6 @@ def stream_worker_counts(stream: DataFrame, action: str = "started") -> DataFram
     return stream.filter(F.col("action") == action).groupBy("worker_id").agg(F.count(F.lit(1)).alias("tasks"))
 
 
-def stream_sessions(stream: DataFrame, gap: str = "30 minutes", delay: str = "1 hour",
-                    user_col: str = "user_id") -> DataFrame:
-    """Sessions per user, emitted once the watermark passes their end."""
-    s = _with_event_time(stream, "ts", delay)
-    agg = s.groupBy(F.col(user_col).alias("user_id"), F.session_window("ts", gap).alias("w")).agg(
-        F.count(F.lit(1)).alias("events"))
-    return agg.select("user_id", wall_clock("w.start").alias("session_start"),
-                      wall_clock("w.end").alias("session_end"), "events")
-
-
 def run_append(spark: SparkSession, stream: DataFrame, name: str, *arrivals) -> DataFrame:
     """Run the stream over its source; then, after each of ``arrivals`` (functions that add files to
     the source), resume it from its checkpoint."""
@@ -145,25 +131,87 @@ def run_append(spark: SparkSession, stream: DataFrame, name: str, *arrivals) ->
     return spark.read.parquet(sink)
 
 
-def run_ingest(spark: SparkSession, stream: DataFrame, name: str, *arrivals, order_col: str = "delivery") -> DataFrame:
+def _each_batch(stream: DataFrame, write_batch, checkpoint: str, arrivals) -> None:
+    for arrive in (lambda: None, *arrivals):
+        arrive()
+        (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+
+
+def run_ingest(spark: SparkSession, stream: DataFrame, name: str, *arrivals, order_col: str = "delivery",
+               ts_col: str = "timestamp", folder: str = "day") -> DataFrame:
     """Z01 without a time limit: every batch appends the first delivery of the ids that no earlier
-    batch holds (an anti join), however late they are.  A batch owns the folder of its number and
-    rewrites it, so a retried batch changes nothing."""
+    batch holds (an anti join), however late they are.
+
+    An event is immutable, so its copies carry its time: the table is in folders by time of the event (one
+    a day, or whatever ``folder`` holds enough rows), and a batch reads the ids of its own folders only, not
+    the whole table.  A batch owns the folders of its number and rewrites them, so a retried batch
+    changes nothing.
+    """
+    table, ckpt = _paths(spark, name)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        own = batch.withColumn("_from", F.to_date(F.date_trunc(folder, ts_col)))
+        base = stored_ids(own.sparkSession, table, [r["_from"] for r in own.select("_from").distinct().collect()], batch_id)
+        (append_events(base, own, order_col).withColumn("_batch", F.lit(batch_id).cast("long"))
+         .repartition("_from", F.pmod(F.xxhash64("event_id"), F.lit(INGEST_FILES)))
+         .write.partitionBy("_from", "_batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(table))
+
+    _each_batch(stream, write_batch, ckpt, arrivals)
+    return spark.read.schema(stream.schema).parquet(table).drop("_from", "_batch")
+
+
+def stored_ids(spark: SparkSession, table: str, starts: list, below: int) -> DataFrame | None:
+    """The event ids of the folders that begin at these dates, stored by batches before ``below``."""
+    there = set(list_folders(spark, table))
+    folders = [f"_from={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in starts]
+    folders = [os.path.join(table, f) for f in folders if f in there]
+    if not folders:
+        return None
+    rows = spark.read.schema("event_id string, _batch long").option("basePath", table).parquet(*folders)
+    return rows.filter(F.col("_batch") < below).select("event_id")
+
+
+def run_rollup(spark: SparkSession, stream: DataFrame, name: str, *arrivals, user_col: str = "user_id") -> DataFrame:
+    """The daily rollup (A15, with user sketches), kept up to date batch by batch.
+
+    A batch adds the rollup of its own rows; a late row adds to its day like any other, nothing is
+    dropped and nothing waits.  Rows of one (day, country, device) merge: the counts add, the sketches
+    unite, here and with any other rollup of other rows (``merge_rollups``).  Every ``MERGE_EVERY`` batches what
+    there is becomes one copy, and what went into it is removed when the next batch begins.
+    """
     table, ckpt = _paths(spark, name)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        base = own.read.parquet(table).filter(F.col("_batch") < batch_id) if batch_id else None
-        append_events(base, batch, order_col).write.mode("overwrite").parquet(os.path.join(table, f"_batch={batch_id}"))
+        whole = [int(f.split("=")[1]) for f in list_folders(own, os.path.join(table, "whole"))]
+        done = max((w for w in whole if w < batch_id), default=-1)
+        for kind, keep in (("parts", done + 1), ("whole", done)):
+            for f in list_folders(own, os.path.join(table, kind)):
+                if int(f.split("=")[1]) < keep:
+                    remove_folder(own, os.path.join(table, kind, f))
+        daily_rollup(batch, sketch=True, user_col=user_col).write.mode("overwrite").parquet(os.path.join(table, "parts", f"_batch={batch_id}"))
+        if batch_id % MERGE_EVERY == MERGE_EVERY - 1:
+            stored_rollup(own, table, batch_id + 1).select([F.col(f.name).cast(f.dataType) for f in ROLLUP]).write.mode("overwrite").parquet(os.path.join(table, "whole", f"_batch={batch_id}"))
 
-    for arrive in (lambda: None, *arrivals):
-        arrive()
-        (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(table).drop("_batch")
+    _each_batch(stream, write_batch, ckpt, arrivals)
+    return stored_rollup(spark, table, 1 << 62)
 
 
-def run_update(spark: SparkSession, stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def stored_rollup(spark: SparkSession, table: str, below: int) -> DataFrame:
+    """The rollup that the batches before ``below`` add up to."""
+    def numbers(kind: str) -> list[int]:
+        return sorted(n for n in (int(f.split("=")[1]) for f in list_folders(spark, os.path.join(table, kind))) if n < below)
+
+    whole = numbers("whole")[-1:]
+    parts = [n for n in numbers("parts") if not whole or n > whole[0]]
+    paths = [os.path.join(table, k, f"_batch={n}") for k, own in (("whole", whole), ("parts", parts)) for n in own]
+    return merge_rollups(spark.read.schema(ROLLUP).parquet(*paths) if paths else spark.createDataFrame([], ROLLUP))
+
+
+def run_update(spark: SparkSession, stream: DataFrame, name: str, keys: list[str], *arrivals) -> DataFrame:
     sink, ckpt = _paths(spark, name)
-    run_upserts(stream, sink, ckpt)
+    for arrive in (lambda: None, *arrivals):
+        arrive()
+        run_upserts(stream, sink, ckpt)
     return current_totals(spark, sink, keys)
