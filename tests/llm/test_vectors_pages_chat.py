@@ -38,7 +38,7 @@ def paragraph_rows():
 
 def brute_paragraphs(rows):
     paras = [(i, n, w) for i, t in rows if i is not None for n, w in substring_dedup.paragraphs(t)]
-    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for _, _, w in paras]
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for _, _, w in paras]  # a short line is one shingle
     links = [(a, b) for a in range(len(paras)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
     roots = brute_components(range(len(paras)), links)
     groups = {}
@@ -335,6 +335,6 @@ def test_sql(spark, name):
     from conftest import assert_same
 
     con = duck(SMALL)
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     assert_same(queries.QUERIES[name](spark, SMALL), con, queries.SQL[name])

@@ -71,16 +71,17 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict = {}
-        for ids, labels, vs, counts in rows_in(batches, "rep", "label", "v", "count"):
-            keys: list = [None] * len(ids)
+        for reps, labels, vs, counts, firsts in rows_in(batches, "rep", "label", "v", "count", "first"):
+            keys: list = [None] * len(reps)
             for size in {len(v) for v in vs}:
                 own = [i for i, v in enumerate(vs) if len(v) == size]
                 x = unit(np.frombuffer(b"".join(vs[i] for i in own)).reshape(len(own), -1))
                 for i, k in zip(own, bucket_keys(x, made)):
                     keys[i] = k
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(labels, pa.string()), pa.array(vs, pa.binary()), pa.array(counts),
-                                              pa.array([len(v) for v in vs], pa.int32()), pa.array(keys, pa.list_(pa.int32()))],
-                                             ["rep", "label", "v", "count", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(labels, pa.string()), pa.array(vs, pa.binary()), pa.array(counts),
+                                              pa.array(firsts, pa.int64()), pa.array([len(v) for v in vs], pa.int32()),
+                                              pa.array(keys, pa.list_(pa.int32()))],
+                                             ["rep", "label", "v", "count", "first", "size", "keys"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return in_batches(linked(batches), ["a", "b", "n"])
@@ -117,9 +118,10 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                      F.col(vector_col).cast("array<double>").alias("vector"))
     rows = saved(rows.mapInArrow(normal, "id long, label string, v binary"), "vectors")
-    reps = saved(rows.filter("v is not null").groupBy("label", "v")
-                 .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("count")).filter("rep is not null")
-                 .mapInArrow(keyed, "rep long, label string, v binary, count long, size int, keys array<int>"), "classes")
+    # a class is a label and a vector, told by a number: ids may repeat or be null
+    classes = (rows.filter("v is not null").groupBy("label", "v").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("count"))
+               .withColumn("rep", F.monotonically_increasing_id()))
+    reps = saved(classes.mapInArrow(keyed, "rep long, label string, v binary, count long, first long, size int, keys array<int>"), "classes")
     narrow = (reps.select("rep", "label", "size", F.posexplode("keys").alias("t", "key")))
     tiles = colliding(narrow, ["label", "size", "t", "key"], "rep", TILE)
     met = (tiles.join(reps.select("rep", "label", "v", "count", "keys"), ["label", "rep"])
@@ -128,9 +130,11 @@ def vector_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     found = saved(met.mapInArrow(compare, "a long, b long, n long"), "links")
     links = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "_a")
     roots = components(found.filter("b is not null").select("a", "b"))
-    of = (reps.join(links, reps["rep"] == links["_a"], "left").join(roots, reps["rep"] == roots["node"], "left")
-          .select(F.col("label").alias("_label"), F.col("v").alias("_v"),
-                  (F.col("count") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component")))
+    rooted = (reps.join(links, reps["rep"] == links["_a"], "left").join(roots, reps["rep"] == roots["node"], "left")
+              .select(F.col("label").alias("_label"), F.col("v").alias("_v"), "first",
+                      (F.col("count") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("root")))
+    least_id = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    of = rooted.join(least_id, "root").drop("first", "root")
     out = rows.join(of, (rows["label"] == of["_label"]) & (rows["v"] == of["_v"]), "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce("component", "id").alias("component_id"),

@@ -101,7 +101,7 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int
     does not tie their components together."""
     fps = saved(fingerprints(docs, id_col, text_col, words_per_shingle), "simhash")
     reps = fps.groupBy("fp").agg(F.min("id").alias("rep"))
-    roots = components(close_pairs(reps.filter("rep is not null").select("fp", F.col("fp").alias("rep"))))
+    roots = components(close_pairs(reps.select("fp", F.col("fp").alias("rep"))))
     rooted = (reps.join(roots, reps["fp"] == roots["node"], "left")
               .select("fp", "rep", F.coalesce("component", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))

@@ -1,7 +1,7 @@
 """Substring dedup: near-equal paragraphs by MinHash banding.
 
-Paragraphs are the lines of a text that hold five words or more; their items are 5-word shingles
-of the lower-case words.  Equal paragraphs collapse to a class first (a 64-bit hash of the words),
+Paragraphs are the lines of a text that hold a word; their items are 5-word shingles of the lower-case
+words, a shorter line's its whole word sequence (so it is near to equal lines only).  Equal paragraphs collapse to a class first (a 64-bit hash of the words),
 so a paragraph in a third of all documents is one item later on.  Classes get ``BANDS`` bands of
 ``ROWS`` minimum hashes, a tuning for high recall: a pair at Jaccard 0.8 shares a band with
 probability 0.998.  Buckets with two or more classes are cut into tiles, members' shingle sets
@@ -10,8 +10,9 @@ and returns a spanning forest.  Components of classes are clusters; of each clus
 paragraph (smallest id, then place) stays and the others are removed.
 
 Defined results: a null text has no paragraphs; a null id's row removes nothing and is no source;
-rows that repeat an id are one document to the removal; shorter paragraphs always stay; an empty
-table gives no rows.
+a document is an id and a text: equal rows are one document, different texts of one id are searched and
+cut each for itself (of equal ids, the first in the order of a hash of the text); an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Forest, colliding, components, groups_in, in_batches, pairs_of_tile, prepare, rows_in, saved
+from tidemark.llm.common import Forest, colliding, components, groups_in, in_batches, pairs_of_tile, prepare, rows_in, saved, text_key
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 12, 4
@@ -35,11 +36,11 @@ _B = _RNG.integers(1, 1 << 62, BANDS * ROWS, dtype=np.int64).astype(np.uint64)
 
 
 def paragraphs(text: str | None) -> list[tuple[int, list[bytes]]]:
-    """(line number, lower-case words) of the lines with at least ``WORDS`` words."""
+    """(line number, lower-case words) of the lines that hold a word."""
     out = []
     for i, line in enumerate((text or "").split("\n")):
         words = line.lower().encode("utf-8", "surrogatepass").split()
-        if len(words) >= WORDS:
+        if words:
             out.append((i, words))
     return out
 
@@ -57,7 +58,7 @@ def shingle_hashes(words: list[bytes]) -> list[int]:
         at += len(w)
         ends.append(at)
         at += 1
-    return [digest(joined[a:b]) for a, b in zip(starts, ends[WORDS - 1:])]
+    return [digest(joined[a:b]) for a, b in zip(starts, ends[WORDS - 1:] or ends[-1:])]
 
 
 def shingles(words: list[bytes]) -> np.ndarray:
@@ -92,13 +93,14 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def list_paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts in rows_in(batches, "id", "text"):
-        out = [(i, n, class_of(words), len(words)) for i, t in zip(ids, texts) if i is not None for n, words in paragraphs(t)]
+    for ids, keys, texts in rows_in(batches, "id", "key", "text"):
+        out = [(i, k, n, class_of(words), len(words)) for i, k, t in zip(ids, keys, texts) if i is not None for n, words in paragraphs(t)]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["id", "place", "class", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["id", "key", "place", "class", "words"])
 
 
 def list_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Band keys of paragraphs of ``WORDS`` words or more; of shorter ones, equal words are the class already."""
     for ids, texts in rows_in(batches, "id", "text"):
         seen, sets, classes, held = set(), [], [], 0
 
@@ -108,8 +110,8 @@ def list_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         for i, text in zip(ids, texts):
             for _, words in paragraphs(text) if i is not None else ():
-                c = class_of(words)
-                if c not in seen:
+                c = class_of(words) if len(words) >= WORDS else None
+                if c is not None and c not in seen:
                     seen.add(c)
                     sets.append(shingle_hashes(words))
                     classes.append(c)
@@ -162,30 +164,31 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def paragraph_clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per paragraph of five words or more: (id, place, words, cluster, first_id,
-    first_place, removed)."""
+    """One row per paragraph: (id, key, place, words, cluster, first_id, first_place, removed), ``key``
+    the ``text_key`` of its text."""
     prepare(docs.sparkSession)
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    listed = saved(plain.mapInArrow(list_paragraphs, "id long, place long, class long, words long"), "paragraphs")
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
+    listed = saved(plain.mapInArrow(list_paragraphs, "id long, key long, place long, class long, words long"), "paragraphs")
     keyed = plain.mapInArrow(list_bands, "key long, class long").repartition("key").sortWithinPartitions("key", "class")
     members = saved(keyed.mapInArrow(buckets, "bucket long, class long").distinct(), "buckets")
     # one paragraph of each class in a bucket, by document
     wanted = (listed.join(members.select("class").distinct(), "class", "left_semi").groupBy("class")
-              .agg(F.min(F.struct("id", "place")).alias("at"))
-              .groupBy(F.col("at.id").alias("_id")).agg(F.collect_list("at.place").alias("places")))
-    sets = (plain.join(wanted, plain["id"] == wanted["_id"]).select("text", "places")
+              .agg(F.min(F.struct("id", "key", "place")).alias("at"))
+              .groupBy(F.col("at.id").alias("_id"), F.col("at.key").alias("_key")).agg(F.collect_list("at.place").alias("places")))
+    sets = (plain.join(wanted, (plain["id"] == wanted["_id"]) & (plain["key"] == wanted["_key"])).select("text", "places")
             .mapInArrow(list_sets, "class long, items binary").dropDuplicates(["class"]))
     tiles = colliding(members, ["bucket"], "class", TILE).join(sets, "class")
     met = (tiles.select("bucket", "ta", "tb", "part", "class", "items")
            .repartition("bucket", "ta", "tb").sortWithinPartitions("bucket", "ta", "tb"))
     roots = components(met.mapInArrow(verify, "a long, b long"))
     clustered = (listed.join(roots, listed["class"] == roots["node"], "left")
-                 .select("id", "place", "words", F.coalesce("component", "class").alias("cluster")))
-    firsts = clustered.groupBy("cluster").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = firsts.filter("n > 1").select(F.col("cluster").alias("_c"), F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"))
-    out = clustered.join(repeated, clustered["cluster"] == repeated["_c"], "left").drop("_c")
-    removed = F.col("first_id").isNotNull() & ((F.col("id") != F.col("first_id")) | (F.col("place") != F.col("first_place")))
-    return out.withColumn("removed", removed)
+                 .select("id", "key", "place", "words", F.coalesce("component", "class").alias("cluster")))
+    firsts = clustered.groupBy("cluster").agg(F.min(F.struct("id", "key", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = firsts.filter("n > 1").select(F.col("cluster").alias("_c"), F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"),
+                                             F.col("first.key").alias("_k"))
+    out = clustered.join(repeated, clustered["cluster"] == repeated["_c"], "left")
+    first = (F.col("id") == F.col("first_id")) & (F.col("key") == F.col("_k")) & (F.col("place") == F.col("first_place"))
+    return out.withColumn("removed", F.col("first_id").isNotNull() & ~first).drop("_c", "_k")
 
 
 def paragraph_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,10 +197,11 @@ def paragraph_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``removed`` lists (place, first_id, first_place); ``class_id`` is the smallest document that
     a removed paragraph was first found in, or the document itself where nothing is removed."""
     cut = F.when(F.col("removed"), F.struct("place", "first_id", "first_place"))
-    per = (paragraph_clusters(docs, id_col, text_col).groupBy(F.col("id").alias("_id"))
-           .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(cut)).alias("removed")))
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
-    out = ids.join(per, ids["id"] == per["_id"], "left")
+    # sets, as equal rows list their paragraphs twice
+    per = (paragraph_clusters(docs, id_col, text_col).groupBy(F.col("id").alias("_id"), F.col("key").alias("_key"))
+           .agg(F.size(F.collect_set("place")).alias("n"), F.array_sort(F.collect_set(cut)).alias("removed")))
+    ids = docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("key"))
+    out = ids.join(per, (ids["id"] == per["_id"]) & (ids["key"] == per["_key"]), "left")
     none = F.array().cast("array<struct<place:long,first_id:long,first_place:long>>")
     removed = F.coalesce("removed", none)
     return out.select(F.col("id").alias(id_col),
