@@ -13,7 +13,6 @@ from tidemark.functions.dates import (  # noqa: F401
 from tidemark.functions.numeric import (  # noqa: F401
     as_money,
     avg_seconds,
-    exact_sum,
     line_revenue,
     pct,
     readable_size,

@@ -34,11 +34,6 @@ def line_revenue(quantity=None, price="unit_price", discount="discount", discoun
     return p * factor
 
 
-def exact_sum(c) -> Column:
-    """Sum of a decimal expression, returned as DOUBLE (exact sum, one final rounding)."""
-    return F.sum(c).cast("double")
-
-
 def round_half_up(c, digits: int = 0) -> Column:
     """Round half up at ``digits`` decimals through DECIMAL(38,10); result is DOUBLE."""
     return F.round(_col(c).cast("decimal(38,10)"), digits).cast("double")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.ranking import TOP_ROWS, ranked_between
 from tidemark.functions.dates import months_before, ts_lit
 
 
@@ -101,10 +102,10 @@ def page(df: DataFrame, skip: int = 0, limit: int = 20, tag: str | None = None,
          order_col: str = "created_at", key_col: str = "id", tags_col: str = "tags", after: tuple | None = None):
     """Newest first, skip ``skip``, at most ``limit`` (1..100) rows, plus the total count.
 
-    Returns ``(items_df, total_df)``; both are lazy.  The page is a top-(skip+limit) per
-    partition followed by an offset, never a full sort on one task.  A deep page costs skip rows
-    per partition; ``after`` = (order value, key) of the last row seen continues from there with a
-    filter instead, whatever the depth.
+    Returns ``(items_df, total_df)``.  A page near the top is a top-(skip+limit) per partition followed
+    by an offset; a deep one is found by the counts of the sorted partitions, so no task sees the rows
+    that are skipped (``ranked_between``).  ``after`` = (order value, key) of the last row seen continues
+    from there with a filter instead, whatever the depth.
     """
     if not 1 <= limit <= 100:
         raise ValueError("limit must be within 1..100")
@@ -115,8 +116,12 @@ def page(df: DataFrame, skip: int = 0, limit: int = 20, tag: str | None = None,
     if after is not None:
         value, key = F.lit(after[0]), F.lit(after[1])
         rest = base.filter((F.col(order_col) < value) | ((F.col(order_col) == value) & (F.col(key_col) > key)))
-    items = rest.orderBy(F.col(order_col).desc(), F.col(key_col).asc())
-    items = items.offset(skip).limit(limit) if skip else items.limit(limit)
+    order = [F.col(order_col).desc(), F.col(key_col).asc()]
+    if skip + limit > TOP_ROWS:
+        items = ranked_between(rest, order, skip + 1, skip + limit, "_rank").orderBy("_rank").drop("_rank")
+    else:
+        items = rest.orderBy(*order)
+        items = items.offset(skip).limit(limit) if skip else items.limit(limit)
     total = base.agg(F.count(F.lit(1)).alias("total"))
     return items, total
 

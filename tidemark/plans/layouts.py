@@ -16,7 +16,8 @@ from tidemark.operators import activity as act
 from tidemark.plans.activity import (ACT, HOUR_HI, HOUR_LO, PROFILE_HI, PROFILE_LO, PROFILE_USER,
                                      RANGE_HI, RANGE_LO, R)
 from tidemark.plans.registry import register
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, table_state
+from tidemark.sources import contracts
 from tidemark.sources import driver as src
 from tidemark.sources import layout as lay
 
@@ -24,8 +25,9 @@ _WRITTEN: dict[tuple, dict] = {}
 
 
 def four_layouts(spark, d) -> dict[str, str]:
-    """Paths of the four layouts of ``d``'s activity events (written on first use)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    """Paths of the four layouts of ``d``'s activity events (written on first use, and again when the
+    tables have changed)."""
+    key = (spark.sparkContext.applicationId, d, *(table_state(spark, os.path.join(d, f"{t}.parquet")) for t in ("events", "customer", "nation")))
     if key not in _WRITTEN:
         base = scratch_path(spark, "layouts")
         _WRITTEN[key] = lay.write_four_layouts(src.activity_events(spark, d), base)
@@ -166,3 +168,34 @@ def s19_export_csv(spark, d):
     schema = T.StructType([T.StructField("event_type", T.StringType()), T.StructField("events", T.LongType()),
                            T.StructField("unique_users", T.LongType()), T.StructField("pct_of_total", T.DoubleType())])
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@register("s01_read_orders", """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 40 <> 9 THEN o_custkey END AS client_id, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS order_date,
+       CASE WHEN o_orderkey % 40 = 4 THEN 'new' WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderstatus = 'P' THEN 'paid' ELSE 'new' END AS status,
+       CASE WHEN o_orderkey % 40 <> 6 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS total_amount
+FROM orders WHERE o_orderkey % 40 NOT IN (1, 2, 3, 5, 7, 8, 10)
+""")
+def s01_read_orders(spark, d):
+    """Orders sent as text, read by their contract: the rows that keep it."""
+    return _read_orders(spark, d).rows.withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
+@register("s01_order_rejects", """
+WITH f(k, fault) AS (VALUES (1, 'id: missing'), (8, 'id: not a bigint'), (2, 'client_id: not a bigint'), (3, 'status: not allowed'),
+                            (5, 'total_amount: not allowed'), (10, 'total_amount: not allowed'), (10, 'order_date: not a timestamp_ntz'),
+                            (7, 'line: malformed'))
+SELECT fault, count(*) AS orders, max(n) AS most_faults FROM f JOIN orders ON o_orderkey % 40 = k
+JOIN (SELECT k AS kk, count(*) AS n FROM f GROUP BY k) ON kk = k GROUP BY fault
+""")
+def s01_order_rejects(spark, d):
+    """The others, by what is wrong with them."""
+    rejects = _read_orders(spark, d).rejects
+    return rejects.withColumn("n", F.size("faults").cast("long")).select(F.explode("faults").alias("fault"), "n").groupBy("fault").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("n").alias("most_faults"))
+
+
+def _read_orders(spark, d):
+    path = scratch_path(spark, "order-lines")
+    src.order_lines(spark, d).write.text(path)
+    return contracts.read_text(spark, path, "orders")

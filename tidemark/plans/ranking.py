@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import ensure_checkpoint_dir, range_partitions
 
+
 def global_rank(df: DataFrame, order, rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row in the total order ``order``."""
     n = range_partitions(df, num_partitions)
@@ -35,12 +36,26 @@ def global_rank(df: DataFrame, order, rank_col: str = "rank", num_partitions: in
     return out.withColumn(rank_col, F.col("_off") + F.col("_pos") + 1).drop("_mid", "_pid", "_pos", "_off")
 
 
+TOP_ROWS = 10_000  # rows that are merged and numbered in one task, at most
+
+
+def ranked_between(df: DataFrame, order, first: int, last: int | None, rank_col: str = "rank") -> DataFrame:
+    """Rows ranked ``first``..``last`` (to the end when ``last`` is None) in ``order``.
+
+    Up to ``TOP_ROWS`` rows from the top are a top-k, numbered where they were merged.  Further down the
+    partition counts of the sorted order say which ranks a partition holds (``global_rank``): no task sees
+    the rows before the first."""
+    if last is not None and last <= TOP_ROWS:
+        top = df.orderBy(*order).limit(last)
+        ranked = top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    else:
+        ranked = global_rank(df, order, rank_col)
+    rank = F.col(rank_col)
+    if first > 1:
+        ranked = ranked.filter(rank >= first)
+    return ranked if last is None else ranked.filter(rank <= last)
+
+
 def first_k_ranked(df: DataFrame, order, k: int | None, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..k in ``order`` (all rows when ``k`` is None).
-
-    A given ``k`` (a batch to claim) is a top-k, whose k rows are numbered where they were
-    merged; ranking every row is ``global_rank``."""
-    if k is None:
-        return global_rank(df, order, rank_col)
-    top = df.orderBy(*order).limit(k)
-    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    """Rows ranked 1..k in ``order`` (all rows when ``k`` is None)."""
+    return ranked_between(df, order, 1, k, rank_col)

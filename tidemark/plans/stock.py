@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import inventory as inv
 from tidemark.operators import reservations
 from tidemark.plans.registry import register
-from tidemark.session import saved
+from tidemark.session import saved, scratch_path
 from tidemark.sources import driver as src
+from tidemark.sources import layout as lay
 
 STOCK0 = src.INITIAL_STOCK
 AS_OF = "2024-01-31 00:00:00"
@@ -443,6 +444,23 @@ def i13_project_stock(spark, d):
     return inv.project_stock(src.warehouse_stock(spark, d), _deduped(spark, d))
 
 
+SNAPSHOT_AT = "1999-01-01 00:00:00"
+
+
+@register("i13_replay_from_snapshot", f"""WITH {EVENTS}, {STOCK_SQL},
+m AS (SELECT warehouse_id, product_id, sum(quantity) AS q FROM uniq GROUP BY 1, 2)
+SELECT s.warehouse_id, s.product_id, s.quantity + COALESCE(m.q, 0) AS quantity
+FROM stock s LEFT JOIN m ON m.warehouse_id = s.warehouse_id AND m.product_id = s.product_id
+""")
+def i13_replay_from_snapshot(spark, d):
+    """The same projection from a written snapshot and the log's later months."""
+    log = lay.write_layout(src.inventory_events(spark, d).drop("metadata"), scratch_path(spark, "event-log"), "month",
+                           ("timestamp", "event_id"), ts_col="timestamp")
+    events = spark.read.parquet(log)
+    snapshot = saved(inv.stock_snapshot(src.warehouse_stock(spark, d), events, SNAPSHOT_AT), "snapshot")
+    return inv.replay_stock(snapshot, events, SNAPSHOT_AT, date_col="event_month")
+
+
 @register("i13_stock_drift", f"""WITH {EVENTS}, {STOCK_SQL},
 m AS (SELECT warehouse_id, product_id, sum(quantity) AS q FROM uniq GROUP BY 1, 2),
 n AS (SELECT warehouse_id, product_id, sum(quantity) AS q FROM delivered GROUP BY 1, 2),
@@ -479,6 +497,22 @@ def i14_movements(spark, d):
     return out.select(*cols, "running_change")
 
 
+MOVED_PRODUCT = 7
+
+
+@register("i14_product_movements", f"""WITH {EVENTS}
+SELECT event_id, warehouse_id, timestamp, quantity,
+       sum(quantity) OVER (PARTITION BY warehouse_id ORDER BY timestamp, event_id ROWS UNBOUNDED PRECEDING) AS running_change
+FROM uniq WHERE product_id = {MOVED_PRODUCT} AND timestamp >= TIMESTAMP '1996-01-01' AND timestamp < TIMESTAMP '{MOVE_HI}'
+""")
+def i14_product_movements(spark, d):
+    """One product's history: the product reaches the scan before copies are dropped."""
+    cols = ["event_id", "warehouse_id", "product_id", "timestamp", "quantity"]
+    own = src.inventory_events(spark, d).select(*cols, "delivery").filter(F.col("product_id") == MOVED_PRODUCT)
+    out = inv.movements(inv.append_events(None, own).select(*cols), "1996-01-01", MOVE_HI, MOVED_PRODUCT)
+    return out.select("event_id", "warehouse_id", "timestamp", "quantity", "running_change")
+
+
 SET_CHANGES = """
 ch AS (SELECT l_suppkey % 7 AS warehouse_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
               l_shipdate AS ts, l_orderkey, l_linenumber, l_suppkey

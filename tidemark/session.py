@@ -104,6 +104,15 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def table_state(spark: SparkSession, path: str) -> tuple:
+    """What tells a rewritten table from the one before: its bytes, files and time of change."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return ()
+    size = fs.getContentSummary(p)
+    return size.getLength(), size.getFileCount(), fs.getFileStatus(p).getModificationTime()
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path`` (none if it does not exist), on any Hadoop file system."""
     fs, p = _hadoop(spark, path)

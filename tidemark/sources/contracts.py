@@ -1,13 +1,17 @@
 """Table contracts (S01) and literal tables.
 
-A contract is an explicit ``StructType``; readers pass it to ``spark.read.schema(..)`` so no
-schema is inferred, and the checks of ``operators.quality`` enforce what the reference's
-database constraints enforced (not null, unique, foreign keys, ranges).
+A contract is an explicit ``StructType`` with defaults and rules.  ``read_text`` and ``checked`` hold rows
+against it when they are read: no schema is inferred, and what breaks the contract is an output of its own.
+What needs other rows (unique, foreign keys) is checked by ``operators.quality``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S = T.StringType()
@@ -39,7 +43,6 @@ CONTRACTS: dict[str, T.StructType] = {
     "job_log": _st(("id", L, False), ("job_id", L, True), ("worker_id", L, False), ("action", S, True),
                    ("action_time", TS, True)),
     # catalogue documents
-    "catalog_items": _st(("title", S, True), ("category", S, True), ("tags", T.ArrayType(S), True)),
     "product_documents": _st(("id", S, False), ("name", S, False), ("price", D, False), ("quantity", I, False),
                              ("tags", T.ArrayType(S), True), ("created_at", TS, True), ("updated_at", TS, True)),
     # inventory
@@ -86,15 +89,6 @@ DRIVER_EVENT_TYPES = [
     (7, "error", 0.5),
 ]
 
-# The reference's four tagged catalogue items (title, category, tags).
-REFERENCE_CATALOG_ITEMS = [
-    ("Смартфон X", "electronics", ["sale", "new", "promo", "mobile"]),
-    ("Ноутбук Y", "electronics", ["new", "laptop", "work"]),
-    ("Война и мир", "books", ["classic", "fiction", "russian"]),
-    ("Чистый код", "books", ["programming", "bestseller"]),
-]
-
-
 def contract(name: str) -> T.StructType:
     """The schema of a domain table."""
     return CONTRACTS[name]
@@ -105,21 +99,67 @@ def event_types(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or REFERENCE_EVENT_TYPES, schema=CONTRACTS["event_types"])
 
 
-def catalog_items(spark: SparkSession) -> DataFrame:
-    """The reference's literal catalogue rows."""
-    return spark.createDataFrame(REFERENCE_CATALOG_ITEMS, schema=CONTRACTS["catalog_items"])
+# ------------------------------------------------------------------------- contracts on read
+
+# What a missing value becomes.  The reference's defaults of "now" have no place in a repeatable read.
+DEFAULTS: dict[str, dict[str, object]] = {
+    "orders": {"status": "new"},
+    "order_items": {"discount": 0},
+    "jobs": {"status": "new", "priority": 0},
+}
+
+# What a value must be beside its type; a missing value of a nullable column is no breach.
+RULES: dict[str, dict[str, Callable[[Column], Column]]] = {
+    "products": {"price": lambda c: c >= 0, "category": lambda c: c.isin(PRODUCT_CATEGORIES)},
+    "orders": {"status": lambda c: c.isin(ORDER_STATUSES), "total_amount": lambda c: c >= 0},
+    "order_items": {"quantity": lambda c: c > 0, "unit_price": lambda c: c >= 0, "discount": lambda c: c.between(0, 100)},
+    "jobs": {"status": lambda c: c.isin(JOB_STATUSES), "priority": lambda c: c.between(0, 10)},
+    "job_log": {"action": lambda c: c.isin(JOB_LOG_ACTIONS)},
+    "inventory_events": {"event_type": lambda c: c.isin(INVENTORY_EVENT_TYPES)},
+    "warehouse_stock": {"quantity": lambda c: c >= 0},
+}
+
+MALFORMED = "_malformed"
+
+
+class Checked(NamedTuple):
+    """Rows that keep a contract, typed; and the others as they came, with what is wrong."""
+    rows: DataFrame
+    rejects: DataFrame
+
 
+def read_text(spark: SparkSession, path: str, name: str, **options) -> Checked:
+    """Delimited text read by a contract.  No schema is inferred; lines with too many or too few
+    fields, values that are not of their type and values that break a rule go to ``rejects``."""
+    fields = [T.StructField(f.name, S) for f in CONTRACTS[name]] + [T.StructField(MALFORMED, S)]
+    raw = (spark.read.schema(T.StructType(fields)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+           .options(**options).csv(path))
+    return checked(raw, name, MALFORMED)
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select and cast ``df`` to a contract; missing nullable columns become NULL."""
-    from pyspark.sql import functions as F
 
-    cols = []
-    for f in CONTRACTS[name].fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        elif f.nullable:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+def checked(raw: DataFrame, name: str, malformed: str | None = None) -> Checked:
+    """``raw`` held against a contract: blank text is missing, missing takes the default, a value that
+    cannot be cast, a missing value of a required column and a broken rule are faults.  Every row is in one
+    of the two results; ``rejects`` has the raw columns and ``faults``, a list of "column: what"."""
+    values, faults = {}, []
+    for f in CONTRACTS[name]:
+        given = F.col(f.name) if f.name in raw.columns else F.lit(None).cast(S)
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value, wrong = given, F.lit(False)
         else:
-            raise ValueError(f"column {f.name} is required by contract {name}")
-    return df.select(*cols)
+            text = F.nullif(F.trim(given.cast(S)), F.lit(""))
+            value = text.try_cast(f.dataType)
+            wrong = text.isNotNull() & value.isNull()
+        if f.name in DEFAULTS.get(name, {}):
+            value = F.coalesce(value, F.lit(DEFAULTS[name][f.name]).cast(f.dataType))
+        faults.append(F.when(wrong, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
+        if not f.nullable:
+            faults.append(F.when(~wrong & value.isNull(), F.lit(f"{f.name}: missing")))
+        if f.name in RULES.get(name, {}):
+            faults.append(F.when(~wrong & value.isNotNull() & ~RULES[name][f.name](value), F.lit(f"{f.name}: not allowed")))
+        values[f.name] = value
+    if malformed:
+        faults.insert(0, F.when(F.col(malformed).isNotNull(), F.lit("line: malformed")))
+    found = raw.withColumn("faults", F.array_compact(F.array(*faults)))
+    rows = found.filter(F.size("faults") == 0).select([v.alias(n) for n, v in values.items()])
+    return Checked(rows, found.filter(F.size("faults") > 0))

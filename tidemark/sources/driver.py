@@ -171,6 +171,26 @@ def stock_requests(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as lines of text, as an outside system might send them: ten of forty orders, told by
+    their number, have a field that is missing, of another type, not allowed, or one too many."""
+    o = load(spark, d, "orders")
+    k = F.pmod("o_orderkey", F.lit(40))
+    status = F.when(F.col("o_orderstatus") == "F", "done").when(F.col("o_orderstatus") == "P", "paid").otherwise("new")
+
+    def text(c):
+        return c.cast("string")
+
+    fields = [
+        F.when(k == 1, "").when(k == 8, "n17").otherwise(text(F.col("o_orderkey"))),
+        F.when(k == 2, "abc").when(k == 9, "").otherwise(text(F.col("o_custkey"))),
+        F.when(k == 10, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
+        F.when(k == 3, "lost").when(k == 4, "  ").otherwise(status),
+        F.when(k.isin(5, 10), "-5").when(k == 6, "").otherwise(text(F.col("o_totalprice").cast("decimal(12,2)"))),
+    ]
+    return o.select(F.concat(F.concat_ws(",", *fields), F.when(k == 7, ",one,more").otherwise("")).alias("value"))
+
+
 # order of requests within one (warehouse, product)
 REQUEST_ORDER = ["ts", "order_id", "line_no", "supplier_id", "quantity", "price", "discount", "tax"]
 
@@ -191,12 +211,6 @@ def step_flags() -> dict:
     return {"event_ok": F.col("return_flag") != "R", "release_ok": F.col("line_status") != "O"}
 
 
-def step_results(spark: SparkSession, d: str) -> DataFrame:
-    """The step outcomes as their own table, keyed like the requests."""
-    r = stock_requests(spark, d)
-    return r.select("order_id", "line_no", "supplier_id", "product_id", *[c.alias(n) for n, c in step_flags().items()])
-
-
 def _event_id():
     """md5 of the line's identifying columns (integers and the ship day, so every engine prints
     them the same way)."""

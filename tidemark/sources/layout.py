@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import readable_size
@@ -64,10 +64,6 @@ def replace(df: DataFrame, path: str, partition_col: str | None = None) -> str:
     return path
 
 
-def read_layout(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def retain(df: DataFrame, as_of, ts_col: str = "ts", keep: str = "INTERVAL 1 YEAR",
            date_col: str | None = None) -> DataFrame:
     """Rows with ``ts + keep > as_of`` (the reference's TTL).  With a date partition column
@@ -79,21 +75,47 @@ def retain(df: DataFrame, as_of, ts_col: str = "ts", keep: str = "INTERVAL 1 YEA
     return out
 
 
+_FOOTERS: dict[str, SparkSession] = {}
+
+
+def _counting(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet counts come from the file footers (Spark's
+    aggregate push-down): tasks open the files, no row is read."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOOTERS:
+        own = spark.newSession()
+        sources = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+        own.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in sources if x != "parquet"))
+        own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        _FOOTERS[app] = own
+    return _FOOTERS[app]
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, bytes) of a table's data files; their contents are not opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", F.col("length").alias("bytes"))
+
+
+def _folder(part_col: str) -> Column:
+    """The partition value in a file's path, as text; null for the default partition."""
+    text = F.regexp_extract("path", f"/{part_col}=([^/]+)/", 1)
+    return F.when(text != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))))
+
+
 def layout_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Per table: rows, bytes on disk, bytes per row, partitions, readable size.
 
-    Sizes come from the file metadata column; no data column is read.
+    Rows come from the Parquet footers, bytes from the file listing: no row is read.
     """
+    own = _counting(spark)
     out = None
     for name, path in paths.items():
-        df = spark.read.parquet(path)
+        df = own.read.parquet(path)
         part_cols = [c for c in df.columns if c in GRAIN_COLUMN.values()]
-        files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path") \
-            .agg(F.count(F.lit(1)).alias("rows"), F.first("file_size").alias("bytes"))
-        parts = F.count_distinct(F.regexp_extract("file_path", r"/([^/=]+=[^/]+)/[^/]*$", 1)) if part_cols \
-            else F.lit(1).cast("long")
-        one = files.agg(F.sum("rows").alias("total_rows"), F.sum("bytes").alias("total_bytes"),
-                        parts.alias("partition_count")) \
+        parts = F.count_distinct(F.coalesce(_folder(part_cols[0]), F.lit(""))) if part_cols else F.lit(1).cast("long")
+        sizes = _files(own, path).agg(F.sum("bytes").alias("total_bytes"), parts.alias("partition_count"))
+        one = df.agg(F.count(F.lit(1)).alias("total_rows")).join(sizes, how="cross") \
             .select(F.lit(name).alias("table_name"), "total_rows", "total_bytes",
                     (F.col("total_bytes") / F.col("total_rows")).alias("avg_bytes_per_row"),
                     "partition_count", readable_size("total_bytes").alias("total_size"))
@@ -102,13 +124,12 @@ def layout_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def partition_report(spark: SparkSession, path: str, part_col: str = "event_date") -> DataFrame:
-    """Per partition: rows, files, bytes and readable size."""
-    df = spark.read.parquet(path)
-    files = df.select(part_col, "_metadata.file_path", "_metadata.file_size") \
-        .groupBy(part_col, "file_path").agg(F.count(F.lit(1)).alias("rows"), F.first("file_size").alias("bytes"))
-    per = files.groupBy(part_col).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"),
-                                      F.sum("bytes").alias("bytes"))
-    return per.withColumn("size", readable_size("bytes"))
+    """Per partition: rows, files, bytes and readable size; no row is read."""
+    own = _counting(spark)
+    rows = own.read.parquet(path).groupBy(part_col).agg(F.count(F.lit(1)).alias("rows"))
+    files = _files(own, path).groupBy(_folder(part_col).alias("_part")).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+    per = rows.join(files, F.col(part_col).cast("string").eqNullSafe(F.col("_part")))
+    return per.select(part_col, "rows", "files", "bytes", readable_size("bytes").alias("size"))
 
 
 def export_csv(df: DataFrame, path: str) -> str:
