@@ -90,13 +90,20 @@ def dau_wau_mau(events: DataFrame, user_col: str = "user_id") -> DataFrame:
     return per_level.select(metric.alias("metric"), round_half_up("avg_n", 0).alias("value"))
 
 
+def sorted_report(df: DataFrame, *order) -> DataFrame:
+    """A finished report in order: a handful of rows (hours, weekdays, weeks, types, countries), sorted in one
+    partition; a global sort would sample them in a job of its own first."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def hourly_profile(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
     """Per hour of day: events, distinct users, mean duration rounded to seconds."""
-    return events.groupBy(F.hour("ts").alias("hour")).agg(
+    per = events.groupBy(F.hour("ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("events"),
         users(user_col, exact).alias("unique_users"),
         round_half_up(F.avg("duration"), 0).alias("avg_duration_sec"),
-    ).orderBy("hour")
+    )
+    return sorted_report(per, "hour")
 
 
 def top_users(events: DataFrame, k: int = 20, user_col: str = "user_id") -> DataFrame:
@@ -145,16 +152,16 @@ def retention(events: DataFrame, weeks: int = 3, user_col: str = "user_id") -> D
     per = wk.groupBy("cohort_week").agg(*aggs)
     cols = ["cohort_week", "cohort_size"] + [f"week_{i}" for i in range(weeks + 1)]
     cols += [pct(f"week_{i}", "cohort_size", 1).alias(f"retention_w{i}_pct") for i in range(1, weeks + 1)]
-    return per.select(*cols).orderBy("cohort_week")
+    return sorted_report(per.select(*cols), "cohort_week")
 
 
 def event_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
     """Per event type: events, distinct users, share of all events (%)."""
     per = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
                                            users(user_col, exact).alias("unique_users"))
-    return per.select("event_type", "events", "unique_users",
-                      pct(F.col("events"), share_total("events"), 2).alias("pct_of_total")) \
-        .orderBy(F.col("events").desc(), "event_type")
+    out = per.select("event_type", "events", "unique_users",
+                     pct(F.col("events"), share_total("events"), 2).alias("pct_of_total"))
+    return sorted_report(out, F.col("events").desc(), "event_type")
 
 
 def country_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True) -> DataFrame:
@@ -162,9 +169,10 @@ def country_mix(events: DataFrame, user_col: str = "user_id", exact: bool = True
     per = events.groupBy("country").agg(
         F.count(F.lit(1)).alias("events"), users(user_col, exact).alias("users"),
         F.avg("duration").alias("_d"))
-    return per.select("country", "events", "users",
-                      round_half_up(F.col("events") / F.col("users"), 1).alias("events_per_user"),
-                      round_half_up("_d", 1).alias("avg_duration")).orderBy(F.col("events").desc(), "country")
+    out = per.select("country", "events", "users",
+                     round_half_up(F.col("events") / F.col("users"), 1).alias("events_per_user"),
+                     round_half_up("_d", 1).alias("avg_duration"))
+    return sorted_report(out, F.col("events").desc(), "country")
 
 
 def device_conversion(events: DataFrame, purchase: str = "purchase", user_col: str = "user_id",
@@ -175,10 +183,10 @@ def device_conversion(events: DataFrame, purchase: str = "purchase", user_col: s
         F.count(F.lit(1)).alias("events"), users(user_col, exact).alias("users"),
         F.sum(F.when(is_p, F.col("event_value").cast("decimal(18,2)"))).alias("_v"),
         F.count_if(is_p).alias("purchases"))
-    return per.select("device_type", "events", "users",
-                      round_half_up(F.coalesce("_v", F.lit(0)), 2).alias("total_purchase_value"),
-                      "purchases", pct("purchases", "users", 2).alias("conversion_rate_pct")) \
-        .orderBy(F.col("events").desc(), "device_type")
+    out = per.select("device_type", "events", "users",
+                     round_half_up(F.coalesce("_v", F.lit(0)), 2).alias("total_purchase_value"),
+                     "purchases", pct("purchases", "users", 2).alias("conversion_rate_pct"))
+    return sorted_report(out, F.col("events").desc(), "device_type")
 
 
 def peak_hours(events: DataFrame, q: float = 0.95, k: int = 20, user_col: str = "user_id",
@@ -216,8 +224,7 @@ def weekday_load(events: DataFrame, literal: bool = True, user_col: str = "user_
     else:
         per_day = events.groupBy(day).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(user_col).alias("du"))
         agg = [F.avg("n").alias("avg_events"), F.avg("du").alias("avg_users")]
-    return per_day.groupBy(iso_weekday("day").alias("day_num"), weekday_name("day").alias("day_name")).agg(*agg) \
-        .orderBy("day_num")
+    return sorted_report(per_day.groupBy(iso_weekday("day").alias("day_num"), weekday_name("day").alias("day_name")).agg(*agg), "day_num")
 
 
 # --------------------------------------------------------------------------- rollups

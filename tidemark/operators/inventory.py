@@ -224,7 +224,7 @@ def returned_stock(cancelled: DataFrame, lines: DataFrame, keys=STOCK_KEYS) -> D
 def cancel_all(lines: DataFrame, users: DataFrame, user: str = "user_id", keys=STOCK_KEYS) -> DataFrame:
     """For the given users, every live line is cancelled; the list of returned items per
     user (bounded by the distinct lines of that user's live carts)."""
-    live = lines.filter(F.col("live")).join(users.select(user).distinct(), user, "left_semi")
+    live = lines.filter(F.col("live")).join(users.select(user), user, "left_semi")
     per = live.groupBy(user, *keys).agg(F.sum("units").alias("quantity"))
     return per.groupBy(user).agg(
         F.sort_array(F.collect_list(F.struct(*keys, "quantity"))).alias("cancelled_items"),
@@ -363,8 +363,8 @@ def set_stock(stock: DataFrame, changes: DataFrame, products: DataFrame, warehou
     Returns (new_stock, rejects).  Rejects carry the reason (J09 anti joins); accepted changes
     are applied last-value-wins per key (S13).
     """
-    p = products.select(F.col("id").alias("product_id")).distinct()
-    w = warehouses.select(F.col("id").alias("warehouse_id")).distinct()
+    p = products.select(F.col("id").alias("product_id"))
+    w = warehouses.select(F.col("id").alias("warehouse_id"))
     known_p = changes.join(p, "product_id", "left_semi")
     ok = known_p.join(w, "warehouse_id", "left_semi")
     rej_p = changes.join(p, "product_id", "left_anti").withColumn("reason", F.lit("product not found"))

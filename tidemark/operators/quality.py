@@ -31,7 +31,7 @@ def check_unique(df: DataFrame, keys) -> DataFrame:
 
 def check_fk(df: DataFrame, ref: DataFrame, key: str, ref_key: str) -> DataFrame:
     """Q03: rows whose ``key`` has no row in ``ref`` (NULL keys are not violations, as in SQL)."""
-    r = ref.select(F.col(ref_key).alias(key)).distinct()
+    r = ref.select(F.col(ref_key).alias(key))
     return df.filter(F.col(key).isNotNull()).join(r, key, "left_anti")
 
 

@@ -44,7 +44,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tid
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
