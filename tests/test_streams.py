@@ -54,13 +54,13 @@ def _rows(df, cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
-def _run(spark, df, job, cuts, delay, late=None):
+def _run(spark, df, job, cuts, delay, late=None, span_seconds=86_400):
     """Results of ``df`` arriving in order; then ``late``, after everything else."""
     stream = _arrive_in_order(spark, df, "ts", cuts)
     path = _arrived[-1]
     name = f"t-{uuid.uuid4().hex[:6]}"
     later = [lambda: late.coalesce(1).write.mode("append").parquet(path)] if late is not None else []
-    return run_event_time(spark, stream, job, name, *later, delay=delay)
+    return run_event_time(spark, stream, job, name, *later, delay=delay, span_seconds=span_seconds)
 
 
 def test_sessions_late_rows_and_waiting_rows(spark):
@@ -97,7 +97,7 @@ def test_settle_over_triggers_with_late_rows_and_rows_without_a_time(spark):
     stock = src.warehouse_stock(spark, SF001).filter("product_id % 10 <> 0")  # some keys have no stock row
     in_time, late = _split(reqs, "1996-01-01", 20)
     late = late.unionByName(reqs.limit(3).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
-    got = _run(spark, in_time, jobs.settle_job(stock, reqs.schema, order), ["1995-01-01", "1998-01-01"], "1 day", late)
+    got = _run(spark, in_time, jobs.settle_job(stock, reqs.schema, order), ["1995-01-01", "1998-01-01"], "1 day", late, 90 * 86_400)
     closed = in_time.agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
     exp = inv.settle(stock, in_time, order).filter(F.col("ts") <= F.lit(closed))
     cols = ["warehouse_id", "product_id", *order, "accepted", "balance_after"]
