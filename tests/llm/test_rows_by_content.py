@@ -80,3 +80,38 @@ def test_a_very_long_text_and_a_line_in_every_document(docs):
     rows = [(0, body), *((i, f"hot line\nown line {i} of this document {i}") for i in range(1, 400))]
     got = {r[0]: r for r in cut(docs, rows)}
     assert got[0][2] == 20_000 and got[1][3] == [] and all(0 in got[i][3] for i in range(2, 400))
+
+
+def test_passages_inside_paragraphs_make_classes_and_short_lines_do_not(docs):
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n))
+
+    passage, other, line = prose(55), prose(50), "All rights reserved by the same few people."
+    rows = [(1, f"{prose(200)} {passage} {prose(150)}\n{line}"), (2, f"{line}\n{prose(90)}\n{prose(31)} {passage.upper()}\n{other}"),
+            (3, f"{prose(80)}\n{line}"), (4, f"{prose(300)} {other} {prose(10)}"), (5, f"{prose(120)} {' '.join(passage.split()[:15])} {prose(60)}"),
+            (6, "copied short text"), (7, "copied short  text"), (7, f"{line}\n{prose(70)}"), (8, None), (None, passage), (9, f"{line}\n{prose(19)}")]
+    out = substring_dedup.passage_dedup(docs(rows)).collect()
+    got = sorted(((r.doc_id, r.class_id, r.n_removed) for r in out), key=repr)
+    assert got == sorted([(1, 1, 0), (2, 1, 1), (3, 3, 1), (4, 1, 0), (5, 5, 0), (6, 6, 0), (7, 6, 1), (7, 7, 1), (8, 8, 0), (None, None, 0),
+                          (9, 9, 1)], key=repr)
+    assert substring_dedup.passage_dedup(docs([])).count() == 0
+
+
+def test_any_fifty_words_in_a_row_list_a_common_window():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        run = [b"r%d" % x for x in rng.integers(0, 1 << 30, 50)]
+        a, b = ([b"o%d" % x for x in rng.integers(0, 1 << 30, n)] for n in rng.integers(0, 200, 2))
+        assert len(np.intersect1d(substring_dedup.windows(a + run + b), substring_dedup.windows(b + run + a)))
+    assert not len(substring_dedup.windows([b"word"] * 49)) and len(substring_dedup.windows([b"word"] * 50)) == 1
+
+
+def test_edges_of_a_window_that_spans_batches():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(n, pa.int64())], ["h", "node"])
+               for h, n in (([1, 2, 2], [5, 6, 7]), ([], []), ([2, 2], [8, 6]), ([2, 3, 3, 3], [9, 1, 4, 4]))]
+    edges = [e for b in substring_dedup.to_first(iter(batches)) for e in zip(*(c.to_pylist() for c in b.columns))]
+    assert edges == [(6, 7), (6, 8), (1, 4), (6, 9)]
