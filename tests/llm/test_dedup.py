@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
@@ -216,3 +217,19 @@ def test_near_copies_go_by_row(docs):
     assert got == sorted([(1, copy), (2, far), (3, clean), (None, own), (None, lone), (None, lone), (7, None)], key=str)
     of = {(r["doc_id"], r["fp"] % 2**64): r["component"] for r in simhash.near_groups(docs(rows)).collect()}
     assert of[7, brute_fingerprint(copy)] == 1 and of[7, brute_fingerprint(far)] == 2 and of[7, 0] == 7
+
+
+def test_suffix_sorting_holds_a_few_times_its_contexts():
+    import tracemalloc
+
+    n, rng = 20_000, np.random.default_rng(8)
+    body = rng.integers(97, 123, 400_000).astype(np.uint8).tobytes()
+    at = rng.integers(0, len(body) - 200, n).tolist()
+    place = np.arange(n)
+    left, right = [body[a:a + 64] for a in at], [body[a + 64:a + 164] for a in at]
+    tracemalloc.start()
+    try:
+        suffix_dedup.shared_windows(place, place, place + 64, left, right)
+        assert tracemalloc.get_traced_memory()[1] < 8 * n * 164  # 24 times before
+    finally:
+        tracemalloc.stop()

@@ -42,8 +42,8 @@ from tidemark.llm.common import prepare, rows_in, saved
 LENGTH, K = 100, 36
 LEFT = LENGTH - K            # bytes before an anchor that its windows reach
 SHALLOW = 40                 # depth of the multikey quicksort, a multiple of 8
-PIECE = 1 << 22              # bytes of a document scanned at once
-CHUNK = 100_000              # contexts sorted at once (more only for one K-gram's own contexts)
+PIECE = 1 << 20              # bytes of a document scanned at once
+CHUNK = 25_000               # contexts sorted at once (more only for one K-gram's own contexts)
 
 
 def kgram_hashes(b: np.ndarray) -> np.ndarray:
@@ -272,11 +272,8 @@ def shared_windows(ids, keys, pos, left: list[bytes], right: list[bytes]) -> tup
     n = len(ids)
     sides = []
     for strings, width in ((left, LEFT), (right, LENGTH)):
-        rows = np.zeros((n, width), np.uint8)
+        rows = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in strings]), np.uint8).reshape(n, width)
         lengths = np.array([len(s) for s in strings], np.int64)
-        flat = np.frombuffer(b"".join(strings), np.uint8)
-        where = np.repeat(np.arange(n), lengths)
-        rows[where, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
         sides.append(deep_shallow(rows, lengths))
     (left_order, left_common), (right_order, right_common) = sides
     by_age = np.lexsort((pos, keys, ids))
