@@ -100,3 +100,16 @@ def test_shared_file_write_reads_back(spark):
     write_shared_file(spark, path, data)
     with open(path, "rb") as f:
         assert f.read() == data
+
+
+def test_layouts_are_cut_by_the_bytes_that_a_task_sorts(spark, tmp_path, monkeypatch):
+    from tidemark.sources import layout as lay
+
+    raw = str(tmp_path / "raw")
+    spark.range(3000).selectExpr("id AS user_id", "timestamp_seconds(1704067200 + id)::timestamp_ntz AS ts").write.parquet(raw)
+    df = spark.read.parquet(raw)
+    monkeypatch.setattr(lay, "SORT_BYTES", 400)
+    path = lay.write_layout(df, str(tmp_path / "out"))
+    files = lay._files(spark, path).collect()
+    assert len(files) > int(spark.conf.get("spark.sql.shuffle.partitions")) and all(f.path.endswith(".zstd.parquet") for f in files)
+    assert spark.read.parquet(path).agg({"user_id": "sum"}).first()[0] == 3000 * 2999 // 2

@@ -5,7 +5,8 @@ A layout is Parquet partitioned by a date grain (``day`` or ``month``) and sorte
 file by a sort key, so partition pruning skips whole folders and row-group min/max statistics
 skip row groups inside the files.  Writing goes through ``repartitionByRange`` on
 (partition column, sort key): a day holding a third of all rows is cut into several tasks and
-files instead of landing in one task, and every file comes out sorted.
+files instead of landing in one task, and every file comes out sorted.  A task sorts all its rows, which take
+many times their bytes in a file, so a layout is cut finer than other range cuts, lest tasks spill.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import readable_size
-from tidemark.session import range_partitions
+from tidemark.session import input_bytes, range_partitions
 
 GRAIN_COLUMN = {"day": "event_date", "month": "event_month"}
 
 
+SORT_BYTES = 8 * 1024 * 1024  # on-disk bytes that a task sorts
+
+
 def with_partition_column(df: DataFrame, grain: str, ts_col: str = "ts") -> DataFrame:
     """The derived (materialised) partition column: the event date, or the first day of its month."""
     if grain == "day":
@@ -34,14 +38,16 @@ def write_layout(df: DataFrame, path: str, grain: str = "day", sort_cols=("user_
                  ts_col: str = "ts", mode: str = "overwrite", num_partitions: int | None = None,
                  max_records_per_file: int = 5_000_000) -> str:
     """Write ``df`` partitioned by ``grain`` and sorted by ``sort_cols`` inside each file.  The
-    number of tasks follows the bytes of ``df`` (``range_partitions``) unless it is given."""
+    number of tasks follows the bytes of ``df`` (``range_partitions``, and ``SORT_BYTES`` at most each) unless
+    it is given."""
     part = GRAIN_COLUMN[grain]
     out = with_partition_column(df, grain, ts_col) if part not in df.columns else df
-    n = range_partitions(out, num_partitions)
+    n = num_partitions or max(range_partitions(out), -(-input_bytes(out) // SORT_BYTES))
     keys = [part, *sort_cols]
     out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     (out.write.mode(mode).partitionBy(part)
      .option("maxRecordsPerFile", max_records_per_file)
+     .option("compression", "zstd")
      .parquet(path))
     return path
 
