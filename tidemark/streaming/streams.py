@@ -38,7 +38,7 @@ def write_source(df: DataFrame, path: str, ts_col: str, files: int | None = None
     """Add ``df`` to a stream source: Parquet files, each a contiguous range of event time; their
     number follows the bytes of ``df`` (``range_partitions``) unless it is given."""
     n = range_partitions(df, files)
-    df.repartitionByRange(n, ts_col).sortWithinPartitions(ts_col).write.mode("append").parquet(path)
+    df.repartitionByRange(n, ts_col).sortWithinPartitions(ts_col).write.mode("append").option("compression", "zstd").parquet(path)
     return path
 
 
@@ -155,7 +155,7 @@ def run_ingest(spark: SparkSession, stream: DataFrame, name: str, *arrivals, ord
         base = stored_ids(own.sparkSession, table, [r["_from"] for r in own.select("_from").distinct().collect()], batch_id)
         (append_events(base, own, order_col).withColumn("_batch", F.lit(batch_id).cast("long"))
          .repartition("_from", F.pmod(F.xxhash64("event_id"), F.lit(INGEST_FILES)))
-         .write.partitionBy("_from", "_batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(table))
+         .write.partitionBy("_from", "_batch").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").mode("overwrite").parquet(table))
 
     _each_batch(stream, write_batch, ckpt, arrivals)
     return spark.read.schema(stream.schema).parquet(table).drop("_from", "_batch")
