@@ -91,3 +91,48 @@ def test_no_rows_and_no_stock(spark):
     log = [(1, 1, 1, "reserve", 1, 0, 60), (2, None, 1, "cancel", 1, 1, 0)]
     assert reserved(spark, {}, log)[0] == simulated({}, log)
     assert reserved(spark, {1: 1}, [])[0] == []
+
+
+def chain(users):
+    """One unit of one product, asked for every minute and held for a minute and a half."""
+    return [(e, e, 1, "reserve", 1, e, 90) for e in range(users)]
+
+
+def test_chain_of_hand_overs_takes_no_rounds(spark, monkeypatch):
+    from tidemark.operators import reservations
+
+    judged, calls = reservations._judged, []
+    monkeypatch.setattr(reservations, "_judged", lambda *a: calls.append(1) or judged(*a))
+    log = chain(12)
+    got, _ = reserved(spark, {1: 1}, log)
+    assert got == simulated({1: 1}, log)
+    assert [g[1] for g in got] == ["reserved", "refused_stock"] * 6
+    assert len(calls) == 1
+
+
+def test_slices_of_time_and_users_in_two_warehouses(spark, monkeypatch):
+    """Slices of a few rows carry stock and carts on; the same log with every user in one warehouse, and not;
+    rows that are there twice."""
+    from tidemark.operators import reservations
+
+    judged, calls = reservations._judged, []
+    monkeypatch.setattr(reservations, "_judged", lambda *a: calls.append(1) or judged(*a))
+    rng = random.Random(3)
+    schema = "event_id long, user_id long, warehouse_id long, product_id long, action string, quantity long, ts timestamp_ntz, ttl int"
+    s = spark.createDataFrame([(w, p, 4) for w in range(2) for p in range(3)], "warehouse_id long, product_id long, quantity long")
+    stock = {(w, p): 4 for w in range(2) for p in range(3)}
+    for apart in (True, False):
+        log = []
+        for e in range(150):
+            user = rng.randrange(8)
+            product = (user % 2 if apart else rng.randrange(2), rng.randrange(3))
+            log.append((e, user, product, rng.choice(["reserve", "reserve", "cancel", "confirm"]), rng.choice([1, 1, 2, 3]), e // 2,
+                        rng.choice([60, 600, 1800])))
+        rows = [(e, u, *p, a, q, START + dt.timedelta(minutes=m), ttl) for e, u, p, a, q, m, ttl in log]
+        calls.clear()
+        out = reserve_with_give_back(s, spark.createDataFrame(rows, schema), slice_rows=20).orderBy("ts", "event_id").collect()
+        assert [(r.event_id, r.outcome, r.reserved_quantity, r.remaining_quantity, r.line_after) for r in out] == simulated(stock, log)
+        assert len(calls) == 1
+    twice = reserve_with_give_back(s, spark.createDataFrame(rows + rows, schema), slice_rows=20).collect()
+    want = simulated(stock, sorted(log + log, key=lambda r: (r[5], r[0])))
+    assert sorted((r.event_id, r.outcome, r.reserved_quantity, r.remaining_quantity) for r in twice) == sorted(r[:4] for r in want)
