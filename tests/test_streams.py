@@ -203,3 +203,22 @@ def test_rollup_sketch_merge_close_to_exact(spark):
     j = merged.join(exact, ["day", "country", "device_type"])
     bad = j.filter(F.abs(F.col("unique_users_est") - F.col("unique_users")) > F.greatest(F.lit(1), F.col("unique_users") * 0.02))
     assert j.count() == exact.count() and bad.count() == 0
+
+
+def test_units_of_cart_lines_judge_only_lines_with_a_cancel_or_a_confirm(spark, monkeypatch):
+    """Null users, products and quantities, cancels of too much; the units are those of the row-by-row form."""
+    day = dt.datetime(2026, 6, 1)
+    rows = [(u, 1, 0, p, "reserve", q, day + dt.timedelta(minutes=p or 0), 10 * i + j)
+            for i, u in enumerate([1, 2, None]) for j, (p, q) in enumerate([(1, 2), (1, 3), (2, None), (3, -1), (None, 4), (4, 0)])]
+    rows += [(2, 1, 0, 1, "cancel", 2, day + dt.timedelta(hours=1), 90), (2, 1, 0, 1, "confirm", 9, day + dt.timedelta(hours=2), 91),
+             (None, 1, 0, None, "cancel", 4, day + dt.timedelta(hours=1), 92), (1, None, 0, 1, "cancel", 1, day, 93)]
+    assigned = spark.createDataFrame(rows, "user_id long, cart_no long, warehouse_id long, product_id long, action string, "
+                                           "quantity long, ts timestamp_ntz, event_id long")
+    keys = ["user_id", "cart_no", "warehouse_id", "product_id"]
+    exp = inv.apply_cancels(assigned).filter("cart_no IS NOT NULL").groupBy(*keys).agg(
+        F.max_by("line_after", F.struct("ts", "event_id")).alias("units"))
+    exp = _rows(exp, [*keys, "units"])
+    fold, folded = inv.guarded_fold, []
+    monkeypatch.setattr(inv, "guarded_fold", lambda df, *a, **k: folded.append(df.count()) or fold(df, *a, **k))
+    assert _rows(inv.cart_line_units(assigned), [*keys, "units"]) == exp and len(exp) == 15
+    assert folded == [6]

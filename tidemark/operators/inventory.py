@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import ntz_micros
 from tidemark.plans.chunked import _columns, running_sum
 from tidemark.plans.guarded import guarded_fold
+from tidemark.session import saved
 
 STOCK_KEYS = ["warehouse_id", "product_id"]
 
@@ -197,6 +198,24 @@ def apply_cancels(assigned: DataFrame, user: str = "user_id", order=("ts", "even
     return folded.unionByName(no_cart)
 
 
+def cart_line_units(assigned: DataFrame, user: str = "user_id", order=("ts", "event_id"), line=STOCK_KEYS) -> DataFrame:
+    """(user, cart, warehouse, product) -> units that the line holds after all rows of ``assigned``.
+
+    Only rows of lines with a cancel or a confirm are judged one by one (``apply_cancels``): what the others
+    hold is the sum of their reserves.
+    """
+    keys = [user, "cart_no", *line]
+    rows = assigned.filter(F.col("cart_no").isNotNull() & F.col("action").isin("reserve", "cancel", "confirm"))
+    row_line = F.struct(*keys).alias("_line")  # as a struct, nulls equal each other
+    put = F.when(F.col("quantity") >= 0, F.col("quantity").cast("long"))
+    per = saved(rows.groupBy(row_line).agg(F.coalesce(F.sum(put), F.lit(0)).alias("units"), F.max(F.col("action") != "reserve").alias("_takes")),
+                "cart-lines")
+    taken = saved(rows.withColumn("_line", row_line).join(per.filter("_takes").select("_line"), "_line", "left_semi").drop("_line"), "cart-taken")
+    judged = apply_cancels(taken, user, order, line).filter(F.col("cart_no").isNotNull()).groupBy(row_line).agg(
+        F.max_by("line_after", F.struct(*_columns(list(order)))).alias("units"))
+    return per.filter("NOT _takes").select("_line", "units").unionByName(judged).select("_line.*", "units")
+
+
 def cart_lines(cancelled: DataFrame, cart_table: DataFrame, user: str = "user_id", order=("ts", "event_id"),
                line=STOCK_KEYS) -> DataFrame:
     """Lines of each cart after reserves, cancels and confirms: (user, cart, warehouse, product) ->

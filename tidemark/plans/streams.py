@@ -19,7 +19,7 @@ from tidemark.plans.activity import ACT, ACT_COUNTRY
 from tidemark.plans.queue import JOBS, NOW, RANKED
 from tidemark.plans.registry import register
 from tidemark.plans.stock import CANCELS, CART, EVENTS, FOLD_ALL, REQ
-from tidemark.session import scratch_path
+from tidemark.session import saved, scratch_path
 from tidemark.sources import driver as src
 from tidemark.streaming import jobs
 from tidemark.streaming import streams as st
@@ -144,5 +144,6 @@ def z05_stream_settle(spark, d):
 SELECT user_id, cart_no, warehouse_id, product_id, units, expires_at FROM lines
 """)
 def z03_stream_carts(spark, d):
-    stream, later = _source(spark, src.cart_log(spark, d), "z03", "ts", f"{src.CART_TTL_SECONDS + 7200} SECONDS")
+    log = saved(src.cart_log(spark, d), "z03-log")  # the arrivals read it several times
+    stream, later = _source(spark, log, "z03", "ts", f"{src.CART_TTL_SECONDS + 7200} SECONDS")
     return run_event_time(spark, stream, jobs.carts_job(), "z03", *later).output

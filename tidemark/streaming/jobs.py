@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.inventory import STOCK_KEYS, apply_cancels, assign_carts, settle
+from tidemark.operators.inventory import STOCK_KEYS, assign_carts, cart_line_units, settle
 from tidemark.plans.chunked import gap_sessions
 from tidemark.session import saved
 from tidemark.streaming.microbatch import EventTimeJob, struct
@@ -52,9 +52,10 @@ def carts_job() -> EventTimeJob:
     """
     def step(due: DataFrame, state: DataFrame, horizon):
         expiry = F.timestamp_add("SECOND", F.col("ttl"), F.col("opened_by")).cast("timestamp_ntz")
-        over = state.filter(expiry <= horizon).select("user_id")
-        users = saved(due.select("user_id").unionByName(over).distinct(), "cart-users")
-        state = saved(_of(state, users, ["user_id"]), "cart-state")
+        # a user's rows of the state have one expiry
+        asked = due.select(F.struct("user_id").alias("_m")).distinct().withColumn("_due", F.lit(True))
+        state = saved(state.withColumn("_m", F.struct("user_id")).join(asked, "_m", "left")
+                      .filter(F.col("_due") | (expiry <= horizon)).drop("_m", "_due"), "cart-state")
         again = state.filter(F.col("opened_by").isNotNull()).select(
             "user_id", F.lit(None).cast("long").alias("event_id"), F.lit("reserve").alias("action"),
             F.coalesce("warehouse_id", F.lit(-1)).alias("warehouse_id"), F.coalesce("product_id", F.lit(-1)).alias("product_id"),
@@ -62,13 +63,12 @@ def carts_job() -> EventTimeJob:
         log = again.unionByName(due.select("user_id", F.col("event_id").cast("long").alias("event_id"), "action", F.col("warehouse_id").cast("long").alias("warehouse_id"),
                                            F.col("product_id").cast("long").alias("product_id"), F.col("quantity").cast("long").alias("quantity"),
                                            "ts", F.col("ttl").cast("long").alias("ttl")))
-        rows = saved(apply_cancels(assign_carts(log)), "cart-rows").filter(F.col("cart_no").isNotNull())
+        rows = saved(assign_carts(log).filter(F.col("cart_no").isNotNull()), "cart-rows")
         # carts are numbered on from the last one; an open one keeps its number
         before = state.groupBy("user_id").agg((F.max("cart_no") - F.max(F.col("opened_by").isNotNull().cast("long"))).alias("_before"))
         cart = F.struct("user_id", "cart_no").alias("_cart")
         by = F.struct("ts", "event_id")
-        lines = rows.groupBy(cart, "warehouse_id", "product_id").agg(F.max_by("line_after", by).alias("units")) \
-            .filter("units > 0")
+        lines = cart_line_units(rows).filter("units > 0").select(cart, "warehouse_id", "product_id", "units")
         last = F.max_by(F.struct("ts", "ttl", "expires_at"), by)
         carts = rows.filter("action = 'reserve'").groupBy(cart).agg(last.alias("_r")).select(
             "_cart", F.struct("_cart.user_id").alias("_user"), F.col("_cart.cart_no").alias("_no"), "_r.*")
