@@ -222,3 +222,20 @@ def test_units_of_cart_lines_judge_only_lines_with_a_cancel_or_a_confirm(spark,
     monkeypatch.setattr(inv, "guarded_fold", lambda df, *a, **k: folded.append(df.count()) or fold(df, *a, **k))
     assert _rows(inv.cart_line_units(assigned), [*keys, "units"]) == exp and len(exp) == 15
     assert folded == [6]
+
+
+def test_settle_writes_its_rows_once(spark, monkeypatch):
+    """Beside the output a trigger writes keys and start balances only."""
+    stock = spark.createDataFrame([(0, 1, 20), (0, 2, 5)], "warehouse_id long, product_id long, quantity long")
+    schema = "warehouse_id long, product_id long, ts timestamp_ntz, order_id long, quantity long"
+    day = dt.datetime(2026, 6, 1)
+    reqs = spark.createDataFrame([(0, 1 + i % 3, day + dt.timedelta(hours=i), i, 1) for i in range(60)], schema)
+    keep, written = jobs.saved, []
+    monkeypatch.setattr(jobs, "saved", lambda df, name: written.append(keep(df, name)) or written[-1])
+    t = _tables(spark, jobs.settle_job(stock, reqs.schema, ["ts", "order_id"]), reqs.schema, delay="1 hour")
+    for k in range(2):
+        t.run(reqs.filter(F.col("order_id").between(30 * k, 30 * k + 29)), k)
+    out = spark.read.parquet(t.at("output")).drop("_batch")
+    exp = inv.settle(stock, reqs, ["ts", "order_id"]).filter("order_id < 59")
+    assert _rows(out, exp.columns) == _rows(exp, exp.columns)
+    assert sum(w.count() for w in written) <= 2 * (3 + 2)

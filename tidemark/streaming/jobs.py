@@ -27,13 +27,15 @@ def settle_job(stock: DataFrame, requests: T.StructType, order: list[str], keys=
     output = T.StructType([*requests.fields, T.StructField("accepted", T.BooleanType()), T.StructField("balance_after", T.LongType())])
 
     def step(due: DataFrame, balances: DataFrame, horizon):
-        asked = due.select(*keys).distinct()
+        asked = saved(due.select(*keys).distinct(), "settle-keys")
         known = _of(balances, asked, keys)
         first = _of(stock.select(*keys, F.col("quantity").cast("long").alias("quantity")), asked, keys)
         start = saved(_of(first, known, keys, "left_anti").unionByName(known), "settle-start")
-        out = saved(settle(start, due, order, keys), "settle-due")
-        last = out.groupBy(*keys).agg(F.max_by("balance_after", F.struct(*order)).alias("quantity"))
-        return out, _of(last, start, keys)
+
+        def last(out: DataFrame) -> DataFrame:
+            return _of(out.groupBy(*keys).agg(F.max_by("balance_after", F.struct(*order)).alias("quantity")), start, keys)
+
+        return settle(start, due, order, keys), last
 
     return EventTimeJob(keys, state, output, step, ts_col)
 

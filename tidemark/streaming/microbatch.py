@@ -51,12 +51,13 @@ class EventTimeJob(NamedTuple):
 
     ``step(due, state, horizon)`` returns (output, new state).  ``due`` has the input's columns; ``state`` the
     rows of every key (``keys`` may have several rows); ``horizon`` is a TIMESTAMP_NTZ column.  The new state
-    holds all rows of each key it mentions; a row that is null beside its keys stands for none.
+    holds all rows of each key it mentions; a row that is null beside its keys stands for none.  It may be a function
+    of the written output, which then is not worked out twice.
     """
     keys: list[str]
     state: T.StructType
     output: T.StructType
-    step: Callable[[DataFrame, DataFrame, object], tuple[DataFrame, DataFrame]]
+    step: Callable[[DataFrame, DataFrame, object], tuple[DataFrame, DataFrame | Callable[[DataFrame], DataFrame]]]
     ts_col: str = "ts"
 
 
@@ -146,6 +147,8 @@ class _Tables:
             horizon = F.timestamp_add("MICROSECOND", F.lit(upto), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
             out, new = self.job.step(self.due(after, upto, number), self.latest(number), horizon)
         self.write(out.select([f.name for f in self.job.output]), "output", number)
+        if callable(new):
+            new = new(self.read("output", self.job.output, [number]).drop("_batch"))
         self.write(new.select([f.name for f in self.job.state]), "state", number)
         if number % COPY_EVERY == COPY_EVERY - 1:
             self.write(self.latest(number + 1), "copies", number)
